@@ -25,6 +25,22 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+OP5 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 3], ' ') AS g FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(node, seen) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM r GROUP BY 1) c USING (doc_id)
+"""
+
 #: No page of the driver's tables has a canonical link or a meta refresh, so the rules alone decide here.
 OP6 = r"""
 WITH p AS (
@@ -87,6 +103,7 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTI
 
 ORACLES = {
     "op1_decontamination": OP1,
+    "op5_jaccard_join": OP5,
     "op6_url_filters": OP6,
     "op9_mixing": OP9,
     "op10_sharding": OP10,

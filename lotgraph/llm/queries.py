@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, quality_rules, sharding, url_filters
+from . import decontamination, jaccard_join, mixing, quality_rules, sharding, suffix_dedup, url_filters
 from .oracles import ORACLES
 
 #: Rules of the contract: (verdict, host, path).
@@ -39,11 +39,19 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule_fired")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_classes(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = url_filters.judge(table(spark, sf_dir, "pages"), URL_RULES)
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"), length=100)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
@@ -61,7 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_decontamination,
         op4_quality_rules,
+        op5_jaccard_join,
         op6_url_filters,
+        op7_suffix_dedup,
         op9_mixing,
         op10_sharding,
     )
