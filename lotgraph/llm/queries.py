@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, mixing, quality_rules, sharding, suffix_dedup, url_filters
+from . import decontamination, jaccard_join, language_id, mixing, quality_rules, sharding, suffix_dedup, url_filters
 from .oracles import ORACLES
 
 #: Rules of the contract: (verdict, host, path).
@@ -32,6 +32,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(language_id.remainder("doc_id") == 1, F.lit(False))
+    model = language_id.fit(docs, F.coalesce(language_id.remainder("doc_id") != 1, F.lit(False)))
+    return language_id.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
@@ -68,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination,
+        op2_language_id,
         op4_quality_rules,
         op5_jaccard_join,
         op6_url_filters,
