@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, language_id, mixing, quality_rules, sharding, suffix_dedup, url_filters
+from . import decontamination, jaccard_join, language_id, license_scan, mixing, pii_surrogates, quality_rules, sharding, suffix_dedup, url_filters
 from .oracles import ORACLES
 
 #: Rules of the contract: (verdict, host, path).
@@ -19,6 +19,8 @@ URL_RULES = (
     ("block", "net", "/fr/"),
 )
 N_SHARDS = 40
+#: Surrogates of the registered query; a production run passes its own secret.
+SURROGATE_KEY = b"registered query"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +41,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_surrogates.replace(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
@@ -59,6 +65,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"), length=100)
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
@@ -76,10 +86,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_decontamination,
         op2_language_id,
+        op3_pii_surrogates,
         op4_quality_rules,
         op5_jaccard_join,
         op6_url_filters,
         op7_suffix_dedup,
+        op8_license_scan,
         op9_mixing,
         op10_sharding,
     )
