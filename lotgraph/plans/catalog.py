@@ -1,15 +1,400 @@
-"""All registered queries of the engine itself."""
+"""All registered queries of the engine itself, with the DuckDB SQL that must give the same rows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import documents as D
+from ..functions import status as S
+from ..functions import text as X
+from ..operators import crawl, keys, pages, risk, statistics
+from ..streaming import runs
+from .streams import stream_name_dedup, stream_run_state
+from .views import BIDS, NETWORK, bidders, bids, events, facts, members, table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a query by its function's name, with its SQL if SQL can say it."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _pairs(spark, sf_dir):
+    return risk.competitor_pairs(bidders(spark, sf_dir))
+
+
+RISK_COLUMNS = ("comparison_type", "risk_type", "value", "root_a", "root_b", "company_a", "company_b", "role_a", "role_b")
+
+
+@query(f"WITH {NETWORK} SELECT {', '.join(RISK_COLUMNS)}, count(DISTINCT project_key) AS n_projects, min(project_key) AS first_project FROM shared GROUP BY ALL")
+def shared_value_risk(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir)
+    found = risk.shared_values(pairs, members(spark, sf_dir), facts(spark, sf_dir))
+    triggers = pairs.groupBy("root_a", "root_b").agg(F.count_distinct("project_key").alias("n_projects"), F.min("project_key").alias("first_project"))
+    return found.join(triggers, ["root_a", "root_b"]).select(*RISK_COLUMNS, "n_projects", "first_project")
+
+
+@query(f"WITH {NETWORK} SELECT {', '.join(RISK_COLUMNS)}, count(DISTINCT project_key) AS n_projects FROM identity GROUP BY ALL")
+def identity_risk(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir)
+    triggers = pairs.groupBy("root_a", "root_b").agg(F.count_distinct("project_key").alias("n_projects"))
+    return risk.shared_identities(pairs, members(spark, sf_dir)).join(triggers, ["root_a", "root_b"]).select(*RISK_COLUMNS, "n_projects")
+
+
+@query(f"""WITH {NETWORK}, r AS (SELECT {', '.join(RISK_COLUMNS)}, project_key FROM shared UNION ALL SELECT {', '.join(RISK_COLUMNS)}, project_key FROM identity),
+g AS (SELECT {', '.join(RISK_COLUMNS)}, count(DISTINCT project_key) AS n FROM r GROUP BY ALL)
+SELECT comparison_type, risk_type, count(*) AS n_risks, sum(n)::BIGINT AS n_triggers, max(n) AS most_triggers FROM g GROUP BY ALL""")
+def risk_grouped_projects(spark, sf_dir):
+    found = risk.detect(bidders(spark, sf_dir), members(spark, sf_dir), facts(spark, sf_dir)).withColumn("n", F.size("trigger_projects").cast("long"))
+    return found.groupBy("comparison_type", "risk_type").agg(F.count("*").alias("n_risks"), F.sum("n").alias("n_triggers"), F.max("n").alias("most_triggers"))
+
+
+RISK_ID = """sha256('run-1|' || comparison_type || '|' || risk_type || '|' || value || '|(''' || root_a || ''', ''' || root_b || ''')|((''' || root_a || ''', ''' || role_a || ''', ''' || company_a || '''), (''' || root_b || ''', ''' || role_b || ''', ''' || company_b || '''))')[:20]"""
+
+
+@query(f"WITH {NETWORK} SELECT DISTINCT {RISK_ID} AS risk_id, comparison_type, value FROM identity")
+def risk_ids(spark, sf_dir):
+    return risk.shared_identities(_pairs(spark, sf_dir), members(spark, sf_dir)).select(risk.risk_id("run-1").alias("risk_id"), "comparison_type", "value")
+
+
+@query(f"""WITH {NETWORK}, p AS (SELECT DISTINCT root_a, root_b FROM shared)
+SELECT p.root_a, p.root_b, count(*) AS n_projects, min(m.project_key) AS first_project FROM p JOIN met m ON p.root_a = m.root_a AND p.root_b = m.root_b GROUP BY ALL""")
+def common_projects(spark, sf_dir):
+    b = bidders(spark, sf_dir)
+    found = risk.shared_values(risk.competitor_pairs(b), members(spark, sf_dir), facts(spark, sf_dir))
+    return risk.common_projects(found, b).groupBy("root_a", "root_b").agg(F.count("*").alias("n_projects"), F.min("project_key").alias("first_project"))
+
+
+@query(f"WITH {NETWORK} SELECT count(*) AS pairs FROM (SELECT DISTINCT root_a, root_b FROM shared)")
+def cross_pair_count(spark, sf_dir):
+    found = risk.shared_values(_pairs(spark, sf_dir), members(spark, sf_dir), facts(spark, sf_dir))
+    return statistics.visible(found).select("root_a", "root_b").distinct().agg(F.count("*").alias("pairs"))
+
+
+@query(f"""WITH {NETWORK}, m AS (SELECT DISTINCT role, company_key FROM members), has AS (SELECT DISTINCT company_key FROM facts WHERE risk_type = 'shared_email' AND value >= 'b5')
+SELECT role, count(*) AS companies, count(h.company_key) AS matched, count(*) - count(h.company_key) AS unmatched FROM m LEFT JOIN has h ON m.company_key = h.company_key GROUP BY 1""")
+def coverage_summary(spark, sf_dir):
+    return risk.coverage(members(spark, sf_dir), facts(spark, sf_dir).where("risk_type = 'shared_email' and value >= 'b5'"))
+
+
+@query("SELECT lower(s_name) AS company_key FROM supplier WHERE s_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 9000)")
+def unmatched(spark, sf_dir):
+    m = members(spark, sf_dir)
+    return m.where("role = 'root'").join(m.where("role = 'related'"), "root_key", "left_anti").select("company_key")
+
+
+K = lambda *parts: f"sha256(concat_ws(chr(31), {', '.join(parts)}))"
+KEY = lambda c: f"lower(replace({c}, ' ', ''))"
+
+
+@query(f"""WITH {BIDS} SELECT source_path,
+CASE WHEN project_code <> '' THEN 'project_code_lot_code' ELSE 'project_name_lot_code' END AS key_source,
+'project_lot:' || CASE WHEN project_code <> '' THEN {K("'project_code_lot_code'", KEY('project_code'), KEY('lot_code'))} ELSE {K("'project_name_lot_code'", KEY('project_name'), KEY('lot_code'))} END AS project_key FROM bids""")
+def project_key(spark, sf_dir):
+    made = bids(spark, sf_dir).withColumn("k", keys.project_key())
+    return made.select("source_path", F.col("k.source").alias("key_source"), F.col("k.key").alias("project_key"))
+
+
+@query(f"""WITH {BIDS} SELECT {K("'business'", KEY("CASE WHEN project_code <> '' THEN project_code ELSE project_name END"), KEY('lot_code'), KEY('company_name'))} AS business_key, count(*) AS n FROM bids GROUP BY 1""")
+def business_key(spark, sf_dir):
+    return bids(spark, sf_dir).groupBy(keys.business_key().alias("business_key")).agg(F.count("*").alias("n"))
+
+
+MERGED = f"""{BIDS},
+pr AS (SELECT *, CASE WHEN project_code <> '' THEN 'code' ELSE 'name' END AS kind, CASE WHEN project_code <> '' THEN upper(project_code) ELSE project_name END AS pkey,
+  CASE category WHEN 'award_notice' THEN 6 WHEN 'bid_announcement' THEN 6 WHEN 'bid_candidates' THEN 5 WHEN 'bid_evaluation_report' THEN 5 WHEN 'archive_info' THEN 4 WHEN 'tender_cover' THEN 3 WHEN 'bid_list' THEN 2 ELSE 0 END AS prio FROM bids),
+lk AS (SELECT project_name, lot_name, company_name, min(pkey) AS k, min(lot_code) AS l FROM pr WHERE kind = 'code' GROUP BY 1, 2, 3 HAVING count(DISTINCT (pkey, lot_code)) = 1),
+g AS (SELECT pr.*, CASE WHEN kind = 'name' AND lk.k IS NOT NULL THEN 'code' ELSE kind END AS gkind, CASE WHEN kind = 'name' AND lk.k IS NOT NULL THEN lk.k ELSE pkey END AS gkey
+  FROM pr LEFT JOIN lk ON pr.project_name = lk.project_name AND pr.lot_code = lk.lot_name AND pr.company_name = lk.company_name),
+o AS (SELECT *, row_number() OVER (PARTITION BY gkind, gkey, lot_code, company_name ORDER BY prio DESC, ord) AS rn FROM g),
+mg AS (
+  SELECT gkind, gkey, lot_code, company_name, coalesce(arg_min(award_status, rn) FILTER (WHERE award_status IN ('是', '否')), arg_min(award_status, rn)) AS award_status,
+    coalesce(arg_min(rank, rn) FILTER (WHERE award_status IN ('是', '否')), arg_min(rank, rn)) AS rank, arg_min(project_name, rn) AS project_name,
+    coalesce(arg_min(project_code, rn) FILTER (WHERE project_code <> ''), '') AS project_code, max(confidence) AS confidence, max(generated_at) AS generated_at,
+    count(DISTINCT award_status) FILTER (WHERE award_status IN ('是', '否')) > 1 AS conflict, max((review_status <> '通过')::INT) AS rev, count(*) AS n_records, arg_min(source_path, rn) AS first_source
+  FROM o GROUP BY 1, 2, 3, 4
+)"""
+
+
+def _merged(spark, sf_dir):
+    return keys.merge_records(bids(spark, sf_dir))
+
+
+@query(f"""WITH {MERGED} SELECT project_name, project_code, lot_code, company_name, award_status, rank, confidence, generated_at, n_records, first_source,
+CASE WHEN conflict THEN '冲突待复核' WHEN rev = 1 THEN '待复核' ELSE '通过' END AS review_status FROM mg""")
+def merge_dedup(spark, sf_dir):
+    return _merged(spark, sf_dir).select("project_name", "project_code", "lot_code", "company_name", "award_status", "rank", "confidence", "generated_at", "n_records", F.element_at(F.split("source_path", "；"), 1).alias("first_source"), "review_status")
+
+
+@query(f"WITH {MERGED} SELECT project_name, lot_code, company_name, award_status, n_records FROM mg WHERE conflict")
+def merge_conflicts(spark, sf_dir):
+    return _merged(spark, sf_dir).where(F.col("review_status") == keys.CONFLICT).select("project_name", "lot_code", "company_name", "award_status", "n_records")
+
+
+@query(f"WITH {MERGED} SELECT project_name, lot_code, company_name FROM mg WHERE conflict OR rev = 1")
+def review_queue(spark, sf_dir):
+    return keys.review_queue(_merged(spark, sf_dir)).select("project_name", "lot_code", "company_name")
+
+
+@query(f"WITH {BIDS} SELECT category, count(*) AS n_records, count(DISTINCT source_path) AS n_files, count_if(review_status <> '通过') AS n_review FROM bids GROUP BY 1")
+def category_split_counts(spark, sf_dir):
+    return bids(spark, sf_dir).groupBy("category").agg(F.count("*").alias("n_records"), F.count_distinct("source_path").alias("n_files"), F.count_if(F.col("review_status") != "通过").alias("n_review"))
+
+
+@query("""WITH t AS (SELECT o_orderkey AS k, o_orderstatus AS status, 'run-1' AS run_id FROM orders),
+b AS (SELECT o_custkey AS k, max(o_orderkey) AS last FROM orders GROUP BY 1)
+SELECT k, status, run_id FROM t WHERE k NOT IN (SELECT k FROM b) UNION ALL SELECT b.k, o_orderstatus, 'run-2' FROM b JOIN orders ON o_orderkey = b.last""")
+def upsert_latest(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    old = o.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"), F.lit("run-1").alias("run_id"))
+    batch = o.select(F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("status"), F.lit("run-2").alias("run_id"), F.col("o_orderkey").alias("ord"))
+    return keys.upsert(old, batch, "k")
+
+
+def _order_records(spark, sf_dir):
+    """Orders as companies, parts as projects, returned lines as wins: enough bidders with few projects for losers."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").cast("string").alias("project_key"), F.concat(F.lit("O"), F.col("l_orderkey")).alias("company_name"), (F.col("l_returnflag") == "R").alias("awarded"))
+    return statistics.bid_records(rows)
+
+
+STATS = """s AS (SELECT company, count(*) AS bids, sum(won)::BIGINT AS wins FROM (SELECT 'O' || l_orderkey AS company, l_partkey, max((l_returnflag = 'R')::INT) AS won FROM lineitem GROUP BY 1, 2) GROUP BY 1)"""
+
+
+@query(f"WITH {STATS} SELECT company, bids, wins, bids - wins AS losses, round(wins * 100 / bids, 4) AS win_rate FROM s")
+def bid_statistics(spark, sf_dir):
+    return statistics.company_statistics(_order_records(spark, sf_dir))
+
+
+@query(f"WITH {STATS} SELECT company, bids FROM s WHERE bids >= 4 AND wins = 0")
+def long_term_losers(spark, sf_dir):
+    return statistics.long_term_losers(statistics.company_statistics(_order_records(spark, sf_dir))).select("company", "bids")
+
+
+@query(f"WITH {STATS} SELECT company, bids, wins, round(wins * 100 / bids, 2) AS win_rate FROM s WHERE bids >= 3 AND wins * 100 / bids >= 33.33")
+def high_win_rate(spark, sf_dir):
+    return statistics.high_win_rate(statistics.company_statistics(_order_records(spark, sf_dir))).select("company", "bids", "wins", F.round("win_rate", 2).alias("win_rate"))
+
+
+@query("""WITH s AS (SELECT o_custkey::VARCHAR AS company, list_sort(list(DISTINCT o_orderpriority)) AS p FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) >= 4),
+seeds AS (SELECT DISTINCT p FROM s),
+m AS (SELECT seeds.p, list_sort(list(company)) AS companies FROM seeds JOIN s ON list_has_all(s.p, seeds.p) GROUP BY 1 HAVING count(*) >= 2),
+g AS (SELECT companies, arg_max(p, len(p)) AS p FROM m GROUP BY 1)
+SELECT array_to_string(p, ',') AS projects, len(p)::INT AS n_projects, len(companies)::INT AS n_companies, companies[1] AS first_company FROM g
+WHERE NOT EXISTS (SELECT 1 FROM g x WHERE len(x.companies) > len(g.companies) AND list_has_all(x.companies, g.companies))""")
+def maximal_groups(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("company"), F.col("o_orderpriority").alias("project_key")).distinct()
+    found = statistics.maximal_groups(rows)
+    return found.select(F.array_join("projects", ",").alias("projects"), "n_projects", F.size("companies").alias("n_companies"), F.element_at("companies", 1).alias("first_company"))
+
+
+@query("""WITH w AS (SELECT DISTINCT l_orderkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal < 0)
+SELECT l_orderkey, count(*) AS n_bids, count(DISTINCT l_suppkey) AS n_bidders FROM lineitem JOIN w USING (l_orderkey) GROUP BY 1""")
+def historical_projects(spark, sf_dir):
+    names = table(spark, sf_dir, "supplier").where("s_acctbal < 0").select(F.col("s_name").alias("company_name"))
+    rows = bids(spark, sf_dir).withColumn("project_code", F.concat(F.lit("P"), F.col("l_orderkey"))).withColumn("lot_code", F.lit("all"))
+    return risk.history(rows, names).groupBy("l_orderkey").agg(F.count("*").alias("n_bids"), F.count_distinct("l_suppkey").alias("n_bidders"))
+
+
+@query("""WITH n AS (SELECT DISTINCT n_name AS name FROM nation UNION SELECT DISTINCT c_name FROM customer WHERE c_acctbal < 0),
+r AS (SELECT c_name AS a, n_name AS b, c_mktsegment AS seg, c_custkey AS ord FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment <> 'MACHINERY'),
+m AS (SELECT n.name, r.ord, r.seg FROM n JOIN r ON n.name = r.a UNION SELECT n.name, r.ord, r.seg FROM n JOIN r ON n.name = r.b)
+SELECT n.name, count(DISTINCT m.ord) AS n_rows, arg_min(m.seg, m.ord) AS segment FROM n LEFT JOIN m USING (name) GROUP BY 1""")
+def verify_many(spark, sf_dir):
+    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    company = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_name").alias("company_name"), F.col("n_name").alias("search_value"), F.col("c_mktsegment").alias("segment"), F.col("c_custkey").alias("ord"),
+        F.when(F.col("c_mktsegment") == "MACHINERY", "DELETE").alias("delete_flag"),
+    )
+    names = n.select(F.col("n_name").alias("company_name")).union(c.where("c_acctbal < 0").select("c_name"))
+    return risk.verify(names, company, ("segment",))
+
+
+@query("""SELECT c_mktsegment AS segment, count_if(k IS NOT NULL) AS known, count_if(k IS NULL) AS missing
+FROM customer LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_totalprice > 300000) ON c_custkey = k GROUP BY 1""")
+def precheck_split(spark, sf_dir):
+    names = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("name"), F.col("c_mktsegment").alias("segment"))
+    known, missing = crawl.precheck(names, table(spark, sf_dir, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("name")))
+    both = known.withColumn("k", F.lit(1)).unionByName(missing.withColumn("k", F.lit(0)))
+    return both.groupBy("segment").agg(F.count_if(F.col("k") == 1).alias("known"), F.count_if(F.col("k") == 0).alias("missing"))
+
+
+@query(r"""WITH e AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}')) AS a FROM documents),
+p AS (SELECT doc_id, regexp_replace(part, '[^0-9]', '', 'g') AS d FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '[,，;；/、|\n]+')) AS part FROM documents)),
+q AS (SELECT doc_id, CASE WHEN length(d) = 13 AND starts_with(d, '86') THEN substr(d, 3) ELSE d END AS d FROM p)
+SELECT doc_id, 'email' AS kind, lower(a) AS value FROM e GROUP BY ALL UNION ALL SELECT doc_id, 'phone', d FROM q WHERE length(d) BETWEEN 7 AND 12 GROUP BY ALL""")
+def contact_extraction(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    mails = docs.select("doc_id", F.lit("email").alias("kind"), F.explode(X.emails(F.col("text"))["value"]).alias("value"))
+    return mails.union(docs.select("doc_id", F.lit("phone").alias("kind"), F.explode(X.phones(F.col("text"))["value"]).alias("value")))
+
+
+DOC_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{2000}-\x{200a}\x{3000}]"
+
+
+@query(rf"""WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{DOC_SPACE}+', '', 'g') AS t FROM documents)
+SELECT doc_id, length(t)::INT AS n_chars, length(t) >= 20 AND NOT contains(t, chr(65533)) AND len(regexp_extract_all(t, '[\x{{4e00}}-\x{{9fff}}]')) >= greatest(6, 0.12 * length(t)) AS readable, length(t) < 30 AS is_short FROM d""")
+def text_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    t = X.no_space(X.blank_to_empty(F.col("text")))
+    return docs.select("doc_id", F.length(t).alias("n_chars"), X.readable(F.col("text")).alias("readable"), (F.length(t) < 30).alias("is_short"))
+
+
+@query(rf"""SELECT doc_id, round(least(length(regexp_replace(text, '{DOC_SPACE}+', '', 'g')), 240) * 0.2 + coalesce(quality, 0) * 10, 4) AS score, coalesce(quality, 0) < 0.45 OR length(text) > 0 AS fragmented
+FROM documents LEFT JOIN labels USING (doc_id)""")
+def cover_score(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    mean, company = F.coalesce(F.col("quality"), F.lit(0)), F.lit("")
+    return docs.select("doc_id", F.round(D.cover_score(F.col("text"), mean, company), 4).alias("score"), D.fragmented(F.col("text"), mean, company).alias("fragmented"))
+
+
+@query(rf"""SELECT sha256(replace(lower(regexp_replace(text, '{DOC_SPACE}+', '', 'g')), 'ß', 'ss')) AS digest, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1""")
+def doc_dedup_first_seen(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.groupBy(X.fingerprint(F.col("text")).alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+
+
+@query(r"""WITH p AS (SELECT page_id, regexp_replace(regexp_extract(url, '://([^?#]*)', 1), '^[^/]*', '') AS path FROM pages),
+s AS (SELECT page_id, list_filter(string_split(path, '/'), lambda x: x <> '') AS parts FROM p)
+SELECT page_id, CASE WHEN len(parts) = 0 THEN 'unknown' WHEN regexp_replace(parts[len(parts)], '\.[^.]*$', '') = '1' THEN 'unknown' WHEN len(parts) > 1 AND parts[1] = 'en' THEN 'en_folder' ELSE 'unknown' END AS category,
+  coalesce(parts[1], '') AS folder, len(parts)::INT AS depth FROM s""")
+def page_classify(spark, sf_dir):
+    path = F.regexp_replace(F.regexp_extract("url", "://([^?#]*)", 1), "^[^/]*", "")
+    rows = table(spark, sf_dir, "pages").select("page_id", path.alias("path"))
+    parts = F.filter(F.split("path", "/"), lambda x: x != "")
+    found = D.classify(F.col("path"), F.lit(1), F.lit(""))
+    alias = F.when((found == "unknown") & (D.stem(F.col("path")) != "1") & (F.get(D.folders(F.col("path")), F.lit(0)) == "en"), "en_folder").otherwise(found)
+    return rows.select("page_id", alias.alias("category"), F.coalesce(F.get(parts, F.lit(0)), F.lit("")).alias("folder"), F.size(parts).alias("depth"))
+
+
+@query(r"""SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, 'lang="([^"]*)"', 1) AS lang, length(regexp_replace(html, '<[^>]*>', '', 'g')) AS n_text FROM pages""")
+def label_value_extract(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages")
+    return rows.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract("html", 'lang="([^"]*)"', 1).alias("lang"), F.length(F.regexp_replace("html", "<[^>]*>", "")).cast("long").alias("n_text"))
+
+
+@query("""WITH h AS (SELECT conv_id, turn FROM conversations WHERE contains(text, 'the'))
+SELECT DISTINCT c.conv_id, c.turn FROM conversations c WHERE c.turn <= 3 OR EXISTS (SELECT 1 FROM h WHERE h.conv_id = c.conv_id AND abs(h.turn - c.turn) <= 1)""")
+def neighbour_pages(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    return pages.with_neighbours(c.where(F.contains("text", F.lit("the"))), c, "conv_id", "turn", 1, 3).select("conv_id", "turn").distinct()
+
+
+@query("""WITH e AS (SELECT user_id, event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events),
+g AS (SELECT *, sum(CASE WHEN epoch_us(ts) - epoch_us(p) > 86400000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS grp FROM e)
+SELECT user_id, grp::BIGINT AS grp, count(*) AS n FROM g GROUP BY 1, 2""")
+def gap_groups(spark, sf_dir):
+    gap = F.col("ts") - F.col("previous") > F.expr("interval 1 day")
+    return pages.gap_groups(table(spark, sf_dir, "events"), ["user_id"], "ts", gap).groupBy("user_id", F.col("group").alias("grp")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS last_user FROM conversations""")
+def carry_forward(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").withColumn("_u", F.when(F.col("role") == "user", F.col("turn")))
+    return pages.carried_forward(c, ["conv_id"], ["turn", "role", "text"], "_u", "last_user").select("conv_id", "turn", "last_user")
+
+
+@query("""WITH f AS (SELECT *, coalesce(max((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS i FROM conversations),
+g AS (SELECT *, max((i = 1 AND role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS o FROM f)
+SELECT conv_id, turn, role FROM g WHERE i = 1 AND o = 0""")
+def locate_block(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    return pages.block(c, ["conv_id"], ["turn", "role", "text"], F.col("role") == "user", F.col("role") == "user").select("conv_id", "turn", "role")
+
+
+@query("""SELECT event_id, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'waiting' END AS state, CASE WHEN value > 50 THEN 'existing' WHEN event_type = 'error' THEN 'failed' ELSE 'unknown' END AS with_data FROM events""")
+def status_normalise(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", S.entity_state(F.col("event_type")).alias("state"), S.entity_state(F.col("event_type"), F.col("value") > 50, "unknown").alias("with_data"))
+
+
+@query("""WITH e AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'root' ELSE 'related' END AS company_type, CASE WHEN event_type = 'error' THEN 'failed' WHEN event_type IN ('purchase', 'signup') THEN 'success' WHEN event_type = 'view' THEN 'pending' END AS s FROM events)
+SELECT company_type, count(*) AS total, count_if(s = 'success') AS success, count_if(s = 'failed') AS failed, count_if(s = 'existing') AS existing, count_if(s = 'pending') AS pending FROM e GROUP BY ROLLUP (company_type)""")
+def status_rollup(spark, sf_dir):
+    e = events(spark, sf_dir)
+    status = F.when(F.col("event_type") == "view", "timeout").otherwise(F.col("status"))
+    return crawl.status_counts(e.withColumns({"company_type": F.when(F.col("run_id") % 2 == 0, "root").otherwise("related"), "status": status}))
+
+
+@query("""SELECT event_id, (props->>'k')::BIGINT AS k, coalesce((props->>'k')::DOUBLE <> 0, false) AS flag, CASE WHEN props->>'k' IS NULL THEN '' ELSE props->>'k' END AS text FROM events""")
+def props_json(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    k = F.variant_get(F.try_parse_json("props"), "$.k", "bigint")
+    return e.select("event_id", k.alias("k"), S.truth(F.get_json_object("props", "$.k")).alias("flag"), S.first_text(F.col("props"), "missing", "k").alias("text"))
+
+
+@query("""WITH e AS (SELECT user_id AS run_id, event_id, CASE WHEN event_type = 'error' THEN 'failed' WHEN event_type IN ('purchase', 'signup') THEN 'success' WHEN event_type = 'click' THEN 'running' ELSE 'waiting' END AS status, value FROM events),
+r AS (SELECT *, CASE status WHEN 'success' THEN 5 WHEN 'failed' THEN 4 WHEN 'running' THEN 1 ELSE 0 END AS p FROM e)
+SELECT run_id, arg_max(status, p) AS status, count(*) AS attempts, max(value::BIGINT) AS database_rows, max((value > 90)::INT) = 1 AS has_data, count(*) AS n_results FROM r GROUP BY 1""")
+def run_consolidate(spark, sf_dir):
+    e = events(spark, sf_dir).select("run_id", "status", F.lit(1).alias("attempts"), F.round("value", 0).cast("long").alias("database_rows"), (F.col("value") > 90).alias("has_data"), F.lit("").alias("message"), F.col("event_id").alias("ord"))
+    return crawl.fold(e, ["run_id"]).select("run_id", "status", "attempts", "database_rows", "has_data", "n_results")
+
+
+STALL = """WITH e AS (SELECT user_id AS run_id, event_type, ts, event_id, lag(event_type) OVER w AS k, lag(ts) OVER w AS p FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT run_id, count(*) AS events, count_if(k IS NULL OR k <> event_type) AS changes, arg_max(event_type, (ts, event_id)) AS last_state, coalesce(max((epoch_us(ts) - epoch_us(p) > 1800000000)::INT), 0) = 1 AS stalled FROM e GROUP BY 1"""
+
+
+@query(STALL)
+def stall_detection(spark, sf_dir):
+    return runs.run_states_batch(events(spark, sf_dir))
+
+
+@query("""WITH e AS (SELECT user_id AS run_id, event_type, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events),
+g AS (SELECT *, sum(CASE WHEN epoch_us(ts) - epoch_us(p) < 86400000000 THEN 0 ELSE 1 END) OVER (PARTITION BY run_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM e)
+SELECT run_id, min(ts) AS started, count(*) AS events, count_if(event_type = 'error') AS failed FROM g GROUP BY run_id, s""")
+def session_progress(spark, sf_dir):
+    return runs.sessions(events(spark, sf_dir), "86400 seconds").select("run_id", F.col("w.start").alias("started"), "events", "failed")
+
+
+@query("""WITH f AS (SELECT user_id % 10 AS run_id, count(*) AS results, count_if(event_type = 'view') AS pending, arg_max(event_type, event_id) AS expansion_status FROM events GROUP BY 1)
+SELECT run_id, results, pending, expansion_status, CASE WHEN pending > 0 THEN 'provisional' ELSE 'final' END AS finality FROM f""")
+def crawl_audit(spark, sf_dir):
+    e = events(spark, sf_dir).withColumns({"run_id": F.col("run_id") % 10, "status": F.when(F.col("event_type") == "view", "timeout").otherwise(F.col("status")), "expansion_status": F.col("event_type"), "ord": F.col("event_id")})
+    return crawl.audit(e).select("run_id", "results", "pending", "expansion_status", "finality")
+
+
+@query("""SELECT user_id AS run_id, count_if(event_type = 'error') = 1 AS retry FROM events GROUP BY 1""")
+def retry_decision(spark, sf_dir):
+    e = events(spark, sf_dir).withColumn("message", F.when(F.col("status") == "failed", crawl.NO_RESULT).otherwise(""))
+    found = crawl.retry_runs(e).join(e.groupBy("run_id").agg(F.count_if(F.col("status") == "failed").alias("n")), "run_id")
+    return found.select("run_id", (F.col("retry") & (F.col("n") < 3)).alias("retry"))
+
+
+@query("""SELECT count(*) AS n, count(DISTINCT lower(c_mktsegment)) AS names, min(lower(c_mktsegment)) AS first_name FROM customer""")
+def ordered_names(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("company_name"), F.col("c_custkey").alias("ord"))
+    return crawl.distinct_names(c).agg(F.count("*").alias("names"), F.min("name_key").alias("first_name")).join(c.agg(F.count("*").alias("n"))).select("n", "names", "first_name")
+
+
+@query("""SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS quantity, round(avg(l_discount), 4) AS discount FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)""")
+def cube_totals(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").cube("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"), F.round(F.avg("l_discount"), 4).alias("discount"))
+
+
+@query("""SELECT o_orderkey, rank() OVER w AS rnk, round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS last_three FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_totalprice DESC)""")
+def ranked_orders(spark, sf_dir):
+    by = Window.partitionBy("o_custkey")
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.rank().over(by.orderBy(F.desc("o_totalprice"))).cast("long").alias("rnk"), F.round(F.sum("o_totalprice").over(by.orderBy("o_orderdate", "o_orderkey").rowsBetween(-2, 0)), 2).alias("last_three"))
+
+
+query(None)(stream_name_dedup)
+query(STALL)(stream_run_state)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
