@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 #: One explicit class for Unicode white space, so that no engine's idea of \s matters.
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
@@ -29,7 +30,7 @@ PRICE_PREFIXES = (
 NAME_ENDINGS = ("公司", "集团", "企业", "事务所", "中心")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfkc(value: pd.Series) -> pd.Series:
     """Unicode compatibility composition, batch by batch; null stays null."""
     return value.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,31 +45,26 @@ def consolidate(results: DataFrame) -> DataFrame:
     homes = keyed.where("id_key <> ''").groupBy("company_type", "id_key").agg(F.min_by("name_key", "ord").alias("home"))
     dealt = keyed.join(homes, ["company_type", "id_key"], "left").withColumn("home", F.coalesce("home", "name_key"))
 
-    def follow(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in groups:
-            frame = frame.sort_values(["company_type", "home", "ord"])
-            entity, ids, names, has_id, last = [], {}, {}, {}, None
-            for kind, home, i, n in zip(frame.company_type, frame.home, frame.id_key, frame.name_key, strict=True):
-                if (kind, home) != last:
-                    ids, names, last = {}, {}, (kind, home)
-                at = ids.get(i) if i else None
-                if at is None and n and (not i or not has_id.get(names.get(n), True)):
-                    at = names.get(n)
-                if at is None:
-                    at = f"{kind}|{home}|{len(entity)}"
-                    has_id[at] = False
-                entity.append(at)
-                if i:
-                    ids.setdefault(i, at)
-                    has_id[at] = True
-                if n:
-                    names[n] = at
-            frame["entity"] = entity
-            yield frame[["ord", "entity"]]
-
-    whole = dealt.select("company_type", "home", "ord", "id_key", "name_key")
+    def follow(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("ord")
+        entity, ids, names, has_id = [], {}, {}, []
+        for i, n in zip(frame.id_key, frame.name_key, strict=True):
+            at, by_name = ids.get(i) if i else None, names.get(n) if n else None
+            if at is None and by_name is not None and (not i or not has_id[by_name]):
+                at = by_name
+            if at is None:
+                at = len(has_id)
+                has_id.append(False)
+            entity.append(f"{frame.company_type.iloc[0]}|{frame.home.iloc[0]}|{at}")
+            if i:
+                ids[i] = at
+                has_id[at] = True
+            if n:
+                names[n] = at
+        return pd.DataFrame({"ord": frame.ord, "entity": entity})
+
     kind = results.schema["ord"].dataType.simpleString()
-    marked = whole.groupBy("company_type", "home").applyInPandas(lambda f: next(follow(iter([f]))), f"ord {kind}, entity string")
+    marked = dealt.select("company_type", "home", "ord", "id_key", "name_key").groupBy("company_type", "home").applyInPandas(follow, f"ord {kind}, entity string")
     return keyed.join(marked, "ord").drop("id_key", "name_key")
 
 
