@@ -36,7 +36,7 @@ def test_candidates_and_low_confidence(spark):
 
 
 def test_evaluation_report(spark):
-    got = run(spark, "bid_evaluation_report", (["工程名称", "投标人排序表"], {"at": [(5, 5), (5, 50)]}), (["1 甲建设有限公司", "2 乙建设有限公司", "推荐的中标候选人", "第一名 乙建设有限公司"], {}))
+    got = run(spark, "bid_evaluation_report", (["工程名称", "投标人排序表"], {"at": [(5, 5), (5, 50)]}), (["1 甲建设有限公司", "2 乙建设有限公司", "推荐的中标候选人", "第一名", "乙建设有限公司"], {}))
     assert [(r["company_name"], r["award_status"], r["rank"]) for r in got] == [("甲建设有限公司", "否", "1"), ("乙建设有限公司", "是", "2")]
 
 
