@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotgraph.llm import decontamination, jaccard_join, language_id, mixing, sharding
-from lotgraph.llm.common import Scratch
+from lotgraph.llm.common import Scratch, shuffled
 
 N_SHARDS = 40
 #: A text is rejected if no language has this mean marginal: it is no text in one of the learned languages.
@@ -31,7 +31,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     scratch = Scratch(spark)
     classes = scratch.keep(jaccard_join.link_classes(docs, k=5, percent=80), "classes")
     gone = classes.where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(shuffled(gone), "doc_id", "left_anti").select(*docs.columns)
     if classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept
     return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
@@ -43,14 +43,14 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     scratch = Scratch(spark)
     found = scratch.keep(decontamination.decontaminate(docs, items).where("n_hit > 0").select("k"), "found")
     key = decontamination.doc_key("doc_id", "text")
-    return docs.withColumn("_k", key).join(found.withColumnRenamed("k", "_k").distinct(), "_k", "left_anti").select(*docs.columns)
+    return docs.withColumn("_k", key).join(shuffled(found.withColumnRenamed("k", "_k").distinct()), "_k", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: rows are repeated, documents that it leaves out go."""
     keyed = docs.withColumn("_k", F.xxhash64("doc_id", "text"))
     taken = Scratch(spark).keep(mixing.mix(keyed, id_col="_k").where("repeats > 0").groupBy(F.col("doc_id").alias("_k")).agg(F.max("repeats").alias("_n")), "taken")
-    return keyed.join(taken, "_k").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(*docs.columns)
+    return keyed.join(shuffled(taken), "_k").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

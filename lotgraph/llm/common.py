@@ -73,6 +73,11 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """df as the hashed side of a shuffle join at every size, so that small and large inputs have the same plan."""
+    return df.hint("shuffle_hash")
+
+
 def ordered_prefix(df: DataFrame, scratch: Scratch, name: str, order: Sequence[str], values: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
     """For each row the sums of ``values``, and the number of rows, before it in ``order`` within ``group``.
 
