@@ -56,6 +56,20 @@ m AS (
 SELECT page_id, host, path, rule, coalesce(said, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)
 """
 
+OP7 = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(greatest(length(h) // 2 - 99, 0))) AS i FROM d)),
+g AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM w),
+m AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS n FROM g WHERE r > 1),
+k AS (SELECT doc_id, i, sum(n) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM m),
+r AS (SELECT doc_id, run, min(i) AS f, max(i) + 100 AS t FROM k GROUP BY 1, 2),
+p AS (SELECT doc_id, f, t, coalesce(lag(t) OVER (PARTITION BY doc_id ORDER BY f), 0) AS prev FROM r),
+q AS (SELECT p.doc_id, sum(t - f) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * prev + 1, 2 * (f - prev)), '' ORDER BY f) AS head, max(t) AS last FROM p JOIN d USING (doc_id) GROUP BY 1)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN q USING (doc_id)
+"""
+
 OP9 = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5('9:' || coalesce(doc_id::VARCHAR, '')) AS draw FROM documents
@@ -105,6 +119,7 @@ ORACLES = {
     "op1_decontamination": OP1,
     "op5_jaccard_join": OP5,
     "op6_url_filters": OP6,
+    "op7_suffix_dedup": OP7,
     "op9_mixing": OP9,
     "op10_sharding": OP10,
 }
