@@ -29,16 +29,17 @@ class Scratch:
         if not base:
             base = "file://" + tempfile.mkdtemp(prefix="lotgraph-")
         self.root = f"{base.rstrip('/')}/lotgraph-{uuid.uuid4().hex}"
+        self.paths: dict[str, str] = {}
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
+        path = self.paths[name] = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path = jvm.org.apache.hadoop.fs.Path(self.paths[name])
             path.getFileSystem(conf).delete(path, True)
 
     def release(self) -> None:

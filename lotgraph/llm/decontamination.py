@@ -50,7 +50,7 @@ class PositionalIndex:
         return rows.withColumn("r", F.row_number().over(window.orderBy("df", "o"))).drop("least")
 
     def candidates(self, length: int) -> DataFrame:
-        """(k, item, d): item word 0 would stand at position d. The postings of each window's rarest word, intersected, after
+        """(k, item, d): item word 0 would stand at position d, which is negative if a text begins inside the item. The postings of each window's rarest word, intersected, after
         the shift by their offsets, with those of its second rarest."""
         ranked = self.windows(length).where("r <= 2")
         pairs = ranked.groupBy("item", "s").agg(F.min_by(F.struct("o", "term"), "r").alias("x"), F.max_by(F.struct("o", "term"), "r").alias("y"))
@@ -58,7 +58,7 @@ class PositionalIndex:
         first = self.postings.join(small(pairs, MAX_BROADCAST), "term").select("k", "item", (F.col("pos") - F.col("o")).alias("d"), "term2", (F.col("pos") - F.col("o") + F.col("o2")).alias("pos2"))
         partner = self.postings.join(small(pairs.select(F.col("term2").alias("term")).distinct(), MAX_BROADCAST), "term", "left_semi")
         partner = partner.select("k", F.col("term").alias("term2"), F.col("pos").alias("pos2"))
-        return first.join(partner, ["k", "term2", "pos2"]).where("d >= 0").select("k", "item", "d").distinct()
+        return first.join(partner, ["k", "term2", "pos2"]).select("k", "item", "d").distinct()
 
     def phrases(self, length: int = 10) -> DataFrame:
         """(k, item, from_pos, to_pos): maximal runs of words equal to consecutive item words, of at least ``length`` words, or the
@@ -72,7 +72,7 @@ class PositionalIndex:
 
     def proximity(self, length: int = 10, slop: int = 2) -> DataFrame:
         """(k, item, s, at): windows all of whose words stand within ``slop`` positions of their place, the rarest word at its place ``at``."""
-        listed = self.scratch.keep(self.windows(length), f"near{length}")
+        listed = self.scratch.keep(self.windows(length), f"near{length}-{slop}")
         first = self.postings.join(small(listed.where("r = 1").select("term", "item", "s", "len", F.col("o").alias("o1")), MAX_BROADCAST), "term").select("k", "item", "s", "len", "o1", F.col("pos").alias("at"))
         wanted = first.join(small(listed.select("item", "s", "o", "term"), MAX_BROADCAST), ["item", "s"])
         wanted = wanted.select("k", "item", "s", "len", "at", "o", "term", F.explode(F.sequence(F.col("at") + F.col("o") - F.col("o1") - slop, F.col("at") + F.col("o") - F.col("o1") + slop)).alias("pos"))

@@ -92,7 +92,7 @@ def test_decision_list(spark):
     r = random.Random(5)
     rows = []
     for _ in range(900):
-        x = {"n_words": r.randint(20, 900), "mean_chars": r.uniform(3, 9), "symbol_ratio": r.choice([0, 0, r.random()]), "dup_line_ratio": r.random() / 4, "repeat_ratio": 0.0}
+        x = {"n_words": r.randint(20, 900), "mean_chars": r.uniform(3, 9), "symbol_ratio": r.choice([0.0, 0.0, r.random()]), "dup_line_ratio": r.random() / 4, "repeat_ratio": 0.0}
         rows.append(x | {"bad": int(x["symbol_ratio"] > 0.3 or (x["mean_chars"] > 7 and x["n_words"] < 300))})
     rules = quality_rules.learn(rows)
     fires = lambda x: any(all(c.holds(x) for c in rule) for rule in rules)
