@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import rolling
-from .common import Scratch, components, slices
+from .common import Scratch, components, shuffled, slices
 
 U = np.uint64
 #: Documents of a family are searched in blocks of about so many; two blocks meet in a task.
@@ -256,7 +256,7 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
                 sets = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((np.concatenate(([0], np.cumsum(n))) * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(h))])
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("doc", "family", "blocks", "block")), sets], names=["doc", "family", "blocks", "block", "grams"])
 
-    sets = source.join(members, "doc").select("doc", "text", "family", "blocks", "block").mapInArrow(gather, "doc long, family long, blocks long, block long, grams binary")
+    sets = source.join(shuffled(members), "doc").select("doc", "text", "family", "blocks", "block").mapInArrow(gather, "doc long, family long, blocks long, block long, grams binary")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tasks = sets.select("doc", "family", "blocks", "block", other, "grams").select(
         F.xxhash64("family", F.least("block", "other"), F.greatest("block", "other")).alias("task"), "doc",
