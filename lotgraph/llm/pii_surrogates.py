@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, shuffled
 
 #: Honorifics by gender: fixed values.
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος")
@@ -178,7 +178,7 @@ def replace(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str =
     mentions = scratch.keep(keyed.select("k", "text").mapInArrow(detect, "k long, s int, e int, kind string, value string").distinct(), "mentions")
     mapping = resolve(mentions, key, scratch)
     spans = mentions.join(mapping, ["kind", "value"]).groupBy("k").agg(F.array_sort(F.collect_list(F.struct("s", "e", "kind", "replacement"))).alias("spans"))
-    joined = keyed.join(spans, "k", "left").select("doc_id", "text", "spans")
+    joined = keyed.join(shuffled(spans), "k", "left").select("doc_id", "text", "spans")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
