@@ -371,6 +371,14 @@ def retry_decision(spark, sf_dir):
     return found.select("run_id", (F.col("retry") & (F.col("n") < 3)).alias("retry"))
 
 
+@query("""WITH r AS (SELECT event_id // 8 AS run_id, count_if(event_type = 'error') AS failed, count_if(event_type = 'error' AND value < 80) AS none FROM events GROUP BY 1)
+SELECT run_id, (failed = 1 AND none = 1) OR (failed >= 3 AND none / failed >= 0.8) AS retry FROM r""")
+def retry_verdict(spark, sf_dir):
+    """Both rules of the first try: eight events in a row are a run; failures of a value below 80 found nothing."""
+    message = F.when((F.col("status") == "failed") & (F.col("value") < 80), crawl.NO_RESULT).otherwise("")
+    return crawl.retry_runs(events(spark, sf_dir).withColumns({"run_id": F.expr("event_id div 8"), "message": message}))
+
+
 @query("""SELECT count(*) AS n, count(DISTINCT lower(c_mktsegment)) AS names, min(lower(c_mktsegment)) AS first_name FROM customer""")
 def ordered_names(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("company_name"), F.col("c_custkey").alias("ord"))
