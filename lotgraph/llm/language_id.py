@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -16,6 +17,8 @@ from pyspark.sql import Window
 
 BUCKETS = 1 << 15
 UNKNOWN = "und"
+#: Runs of scripts written without blanks: Thai, Lao, Tibetan (to the syllable mark), Burmese, Khmer, kana, Han. Digits aren't among them.
+UNSPACED = re.compile("([\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ecf\u0edc-\u0edf\u0f40-\u0fbc\u1000-\u103f\u1050-\u108f\u1780-\u17d3\u3005-\u3007\u3041-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff]+)")
 
 
 def letters(token: str) -> str:
@@ -28,11 +31,31 @@ def letters(token: str) -> str:
     return token[a:b].lower()
 
 
+def elements(token: str) -> list[str]:
+    """The chain elements of a token: its letters; each letter of a run without blanks with its marks and the letter after it."""
+    if token.isascii() or not UNSPACED.search(token):
+        word = letters(token)
+        return [word] if word else []
+    out = []
+    for i, run in enumerate(UNSPACED.split(token)):
+        if i % 2:
+            signs: list[str] = []
+            for c in run:
+                if c.isalpha():
+                    signs.append(c)
+                elif signs:
+                    signs[-1] += c
+            out += [a + b for a, b in zip(signs, [*signs[1:], ""], strict=True)]
+        elif word := letters(run):
+            out.append(word)
+    return out
+
+
 def features(word: str, lexicons: list[set[str]]) -> list[int]:
     """Hashed affixes of one to three letters, letter trigrams, the word, its script, and the lexicons that have it."""
     made = [f"w{word}", f"p{word[:1]}", f"p{word[:2]}", f"p{word[:3]}", f"s{word[-1:]}", f"s{word[-2:]}", f"s{word[-3:]}", "a" if word.isascii() else f"u{max(word) >= 'Ͱ'}"]
     padded = f"^{word}$"
-    made += [f"g{padded[i : i + 3]}" for i in range(min(len(padded) - 2, 24))]
+    made += [f"g{padded[i : i + 3]}" for i in range(len(padded) - 2)]
     made += [f"l{k}" for k, lexicon in enumerate(lexicons) if word in lexicon]
     return [zlib.crc32(x.encode()) % BUCKETS for x in made]
 
@@ -159,7 +182,7 @@ def fit(docs: DataFrame, learn: Column, per_label: int = 120, words: int = 250,
     for row in ranked.where(F.col("_r") <= per_label).orderBy(lang_col, "_r").select(lang_col, text_col).collect():
         left = words
         for line in row[1].split("\n"):
-            chain = [w for w in map(letters, line.split()) if w][:left]
+            chain = [w for token in line.split() for w in elements(token)][:left]
             left -= len(chain)
             if chain:
                 lines.append((chain, labels.index(row[0])))
@@ -179,26 +202,31 @@ class Tagger:
         self.new: list[str] = []
         self.table = np.zeros((1, len(self.model.labels)))
 
-    def row(self, token: str) -> int:
-        word = letters(token)
+    def at(self, word: str) -> int:
         at = self.of_word.get(word)
         if at is None:
             at = self.of_word[word] = len(self.of_word)
             self.new.append(word)
-        self.of_token[token] = at
+        return at
+
+    def row(self, token: str) -> int:
+        at = self.of_token[token] = self.at(letters(token))
         return at
 
     def tag(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(words with letters, sum of their marginals by label) of each text; the chains are its lines."""
-        if len(self.of_token) > self.keep:
+        if max(len(self.of_token), len(self.of_word)) > self.keep:
             self.reset()
         rows, lengths, owner = [], [], []
-        known, row = self.of_token, self.row
+        known, row, at = self.of_token, self.row, self.at
         for i, text in enumerate(texts):
             for line in (text or "").split("\n"):
                 tokens = line.split()
                 if tokens:
-                    got = [known[t] if t in known else row(t) for t in tokens]
+                    if line.isascii() or not UNSPACED.search(line):
+                        got = [known[t] if t in known else row(t) for t in tokens]
+                    else:
+                        got = [at(w) for t in tokens for w in elements(t)] or [0]
                     rows += got
                     lengths.append(len(got))
                     owner.append(i)
@@ -221,7 +249,8 @@ class Tagger:
 def predict(docs: DataFrame, model: Field, text_col: str = "text", at_once: int = 1 << 20) -> DataFrame:
     """All columns of ``docs`` and lang_pred, score, n_letter_words, lang_shares.
 
-    Words are split at blanks; those with a letter are labelled in the chain of their line. The document's language is the label
+    Words are split at blanks, and runs of scripts without blanks into their letters (see elements); those with a letter are labelled
+    in the chain of their line, by all of their trigrams. The document's language is the label
     with the greatest mean marginal, which is its score; ``und`` with score 0 for null or letterless texts, or without any label.
     lang_shares: mean marginal by label, sorted as the labels (empty for und). An input column of one of these names is replaced.
     Repeated rows: a row each. An empty table gives no rows.
