@@ -15,15 +15,15 @@ from lotgraph.llm import decontamination, jaccard_join, language_id, mixing, sha
 from lotgraph.llm.common import Scratch, shuffled
 
 N_SHARDS = 40
-#: A text is rejected if no language has this mean marginal: it is no text in one of the learned languages.
-LEAST_SCORE = 0.5
+#: A text is in no learned language if less than this share of its words' signs (letter trigrams) occurs in any of them.
+LEAST_FAMILIAR = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents of a learned language. Documents without a letter (und) or below LEAST_SCORE go."""
+    """Keep documents of learned languages, one or several. Documents without a letter (und) or below LEAST_FAMILIAR go."""
     model = language_id.fit(docs, F.lit(True))
-    out = language_id.predict(docs, model)
-    return out.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    out = language_id.predict(docs, model, familiar=True)
+    return out.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("familiar") >= LEAST_FAMILIAR)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

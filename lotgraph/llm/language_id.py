@@ -60,14 +60,26 @@ def features(word: str, lexicons: list[set[str]]) -> list[int]:
     return [zlib.crc32(x.encode()) % BUCKETS for x in made]
 
 
+def signs(word: str) -> list[str]:
+    """What tells whether a word can be of a language: its letter trigrams; in a script without blanks its first letter."""
+    return [word[0]] if UNSPACED.match(word) else [f"^{word}$"[i : i + 3] for i in range(len(word))]
+
+
 @dataclass
 class Field:
-    """The model: labels, feature weights by label, transition weights and each language's lexicon of frequent words."""
+    """The model: labels, feature weights by label, transition weights, each language's lexicon of frequent words, and the signs
+    of all words learned from."""
 
     labels: list[str]
     weights: np.ndarray
     transitions: np.ndarray
     lexicons: list[set[str]] = field(default_factory=list)
+    seen: set[str] = field(default_factory=set)
+
+    def familiar(self, word: str) -> float:
+        """Share of a word's signs that some learned language has."""
+        found = signs(word)
+        return sum(x in self.seen for x in found) / max(1, len(found))
 
     def emissions(self, words: list[str]) -> np.ndarray:
         if not words:
@@ -132,7 +144,7 @@ def train(lines: list[tuple[list[str], int]], labels: list[str], rounds: int = 3
     sizes = np.array([len(x) for x in listed], np.int64)
     flat = np.fromiter((f for x in listed for f in x), np.int64, int(sizes.sum()))
     of = np.repeat(np.arange(len(listed)), sizes)
-    model = Field(labels, np.zeros((BUCKETS, k)), np.zeros((k, k)), lexicons)
+    model = Field(labels, np.zeros((BUCKETS, k)), np.zeros((k, k)), lexicons, {x for w in vocabulary for x in signs(w)})
     if not len(rows):
         return model
     follows = np.ones(len(rows), bool)
@@ -190,10 +202,10 @@ def fit(docs: DataFrame, learn: Column, per_label: int = 120, words: int = 250,
 
 
 class Tagger:
-    """Marginals for whole texts; the scores of words seen are kept up to a bound."""
+    """Marginals for whole texts; the scores of words seen are kept up to a bound. ``familiar``: sum the words' familiarity too."""
 
-    def __init__(self, model: Field, keep: int = 400_000):
-        self.model, self.keep = model, keep
+    def __init__(self, model: Field, keep: int = 400_000, familiar: bool = False):
+        self.model, self.keep, self.familiar = model, keep, familiar
         self.reset()
 
     def reset(self) -> None:
@@ -201,6 +213,7 @@ class Tagger:
         self.of_word: dict[str, int] = {"": 0}
         self.new: list[str] = []
         self.table = np.zeros((1, len(self.model.labels)))
+        self.met = np.zeros(1)
 
     def at(self, word: str) -> int:
         at = self.of_word.get(word)
@@ -215,6 +228,10 @@ class Tagger:
 
     def tag(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(words with letters, sum of their marginals by label) of each text; the chains are its lines."""
+        return self.read(texts)[:2]
+
+    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As tag, and the sum of the words' familiarity (0 unless asked for)."""
         if max(len(self.of_token), len(self.of_word)) > self.keep:
             self.reset()
         rows, lengths, owner = [], [], []
@@ -232,6 +249,7 @@ class Tagger:
                     owner.append(i)
         if self.new:
             self.table = np.concatenate((self.table, self.model.emissions(self.new)))
+            self.met = np.concatenate((self.met, [self.model.familiar(w) if self.familiar else 0.0 for w in self.new]))
             self.new = []
         rows, lengths, owner = np.array(rows, np.int64), np.array(lengths, np.int64), np.array(owner, np.int64)
         chain = np.repeat(np.arange(len(lengths)), lengths)
@@ -240,43 +258,48 @@ class Tagger:
         lengths = np.bincount(chain, minlength=len(lengths))
         k = len(self.model.labels)
         if not len(rows) or not k:
-            return np.bincount(owner[chain], minlength=len(texts)), np.zeros((len(texts), k))
+            return np.bincount(owner[chain], minlength=len(texts)), np.zeros((len(texts), k)), np.zeros(len(texts))
         marginal, _, _ = forward_backward(self.table[rows], lengths[lengths > 0], self.model.transitions)
         doc = owner[chain]
-        return np.bincount(doc, minlength=len(texts)), np.stack([np.bincount(doc, marginal[:, j], len(texts)) for j in range(k)], axis=1)
+        total = np.stack([np.bincount(doc, marginal[:, j], len(texts)) for j in range(k)], axis=1)
+        return np.bincount(doc, minlength=len(texts)), total, np.bincount(doc, self.met[rows], len(texts))
 
 
-def predict(docs: DataFrame, model: Field, text_col: str = "text", at_once: int = 1 << 20) -> DataFrame:
-    """All columns of ``docs`` and lang_pred, score, n_letter_words, lang_shares.
+def predict(docs: DataFrame, model: Field, text_col: str = "text", at_once: int = 1 << 20, familiar: bool = False) -> DataFrame:
+    """All columns of ``docs`` and lang_pred, score, n_letter_words, lang_shares; if asked, familiar.
 
     Words are split at blanks, and runs of scripts without blanks into their letters (see elements); those with a letter are labelled
     in the chain of their line, by all of their trigrams. The document's language is the label
     with the greatest mean marginal, which is its score; ``und`` with score 0 for null or letterless texts, or without any label.
+    familiar: mean share of the words' signs that any learned language has, whichever label wins (0 for und).
     lang_shares: mean marginal by label, sorted as the labels (empty for und). An input column of one of these names is replaced.
     Repeated rows: a row each. An empty table gives no rows.
     """
     made = {"lang_pred": T.StringType(), "score": T.DoubleType(), "n_letter_words": T.LongType(), "lang_shares": T.ArrayType(T.DoubleType())}
+    if familiar:
+        made["familiar"] = T.DoubleType()
     docs = docs.drop(*(set(made) - {text_col}))
     schema = T.StructType([*docs.schema.fields, *(T.StructField(name, kind) for name, kind in made.items())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = list(model.labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tagger = Tagger(shared.value)
+        tagger = Tagger(shared.value, familiar=familiar)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
             sizes = np.cumsum(np.array([len(x) if x else 0 for x in texts.to_pylist()]))
             a = 0
             while a < len(batch):
                 b = min(len(batch), max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + at_once, "right"))))
-                n, total = tagger.tag(texts.slice(a, b - a).to_pylist())
+                n, total, met = tagger.read(texts.slice(a, b - a).to_pylist())
                 mean = total / np.maximum(n, 1)[:, None]
                 best = mean.argmax(axis=1) if names else np.zeros(b - a, np.int64)
                 named = [names[j] if c and names else UNKNOWN for j, c in zip(best.tolist(), n.tolist(), strict=True)]
                 score = np.clip(mean[np.arange(b - a), best], 0, 1) if names else np.zeros(b - a)
                 shares = [x if c else [] for x, c in zip(mean.tolist(), n.tolist(), strict=True)]
                 piece = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(named, pa.string()), pa.array(score), pa.array(n.astype(np.int64)), pa.array(shares, pa.list_(pa.float64()))], names=schema.names)
+                extra = [pa.array(met / np.maximum(n, 1))] if familiar else []
+                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(named, pa.string()), pa.array(score), pa.array(n.astype(np.int64)), pa.array(shares, pa.list_(pa.float64())), *extra], names=schema.names)
                 a = b
 
     return docs.mapInArrow(run, schema)
