@@ -180,13 +180,11 @@ def fit(docs: DataFrame, learn: Column, per_label: int = 120, words: int = 250,
     The counts of all labelled rows fix what share of each language is looked at, so no group is ever gathered whole.
     """
     usable = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    counted = {r[0]: r[1] for r in usable.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(200).collect()}
+    counted = {r[0]: r[1] for r in usable.groupBy(lang_col).count().collect()}
     labels = sorted(counted)
     if not labels:
         return Field([], np.zeros((BUCKETS, 0), np.float32), np.zeros((0, 0)))
-    share = F.lit(0.0)
-    for label in labels:
-        share = F.when(F.col(lang_col) == label, F.lit(min(1.0, 3.0 * per_label / counted[label]))).otherwise(share)
+    share = F.create_map(*(F.lit(x) for label in labels for x in (label, min(1.0, 3.0 * per_label / counted[label]))))[F.col(lang_col)]
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
     small = usable.withColumn("_draw", draw).where(F.conv(F.substring("_draw", 1, 8), 16, 10).cast("double") / 2.0**32 < share)
     ranked = small.select(lang_col, text_col, "_draw", F.row_number().over(Window.partitionBy(lang_col).orderBy("_draw", text_col)).alias("_r"))
