@@ -34,15 +34,19 @@ SURNAME = {
 TITLE = "|".join(sorted(MALE + FEMALE, key=len, reverse=True))
 PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
-    r"|(?P<secret>\bAKIA[0-9A-Z]{16}\b|(?<=password=)[^\s\"']{6,}|(?<=token = \")[0-9a-fA-F]{16,}(?=\"))"
+    r"|(?P<secret>\bAKIA[0-9A-Z]{16}\b|(?=[pPtT])(?:(?i:password)[\"']?[ \t]*[=:][ \t]*(?:(?P<quote>[\"'])(?P<quoted>(?:(?!(?P=quote))[^\n]){6,})(?P=quote)|[\"']?(?P<bare>[^\s\"']{6,}))"
+    r"|(?i:token)[\"']?[ \t]*[=:][ \t]*[\"']?(?P<token>[0-9a-fA-F]{16,}(?![\w.+/=~-])|(?=[^\s\"']*\d)[\w.+/=~-]{16,})))"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
-    r"|(?P<phone>(?<![\w+])\+\d{1,3}[ -]?\(?\d{2,4}\)?[ -]?\d{3,4}[ -]?\d{3,4}(?!\d)|(?<![\w(])\(\d{3}\) \d{3}-\d{4}(?!\d))"
+    r"|(?P<phone>(?<![\w+])\+\d{1,3}[ -]?\(?\d{2,4}\)?[ -]?\d{3,4}[ -]?\d{3,4}(?!\d)|(?<![\w(])\(\d{3}\) \d{3}-\d{4}(?!\d)"
+    r"|(?<![\w+])\+(?=(?:[ ().-]*\d){9})\d{1,3}(?:[ .-]\(?\d{1,4}\)?){3,5}(?!\d)"
+    r"|(?<![\w(])\(\d{2,5}\)[ -]?\d{3,4}[ -]?\d{3,5}(?!\w)"
+    r"|(?<![\w.+/-])(?:0\d{2,4}[ /-]\d{3,4}[ -]?\d{3,5}|[2-9]\d{2}[ .-]\d{3}[ .-]\d{4})(?!\w|[.-]\d| \d{4}(?!\d)))"
     r"|(?P<card>(?<![\d.])\d{4}(?:[ -]?\d{4}){3}(?!\d)(?!\.\d))"
     rf"|(?P<name>\b(?P<title>{TITLE})\b\.? +(?P<parts>[^\W\d_a-zа-яα-ωß-ÿ]\w+(?: [^\W\d_a-zа-яα-ωß-ÿ]\w+){{0,2}}))"
 )
 #: A text without any of these has no entity.
-HINT = re.compile(rf"[@\d]|password=|\b(?:{TITLE})\b")
+HINT = re.compile(rf"[@\d]|(?i:password|token)|\b(?:{TITLE})\b")
 
 
 def script(word: str) -> str:
@@ -56,6 +60,10 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     out = []
     for m in PATTERN.finditer(text) if HINT.search(text) else ():
         kind = m.lastgroup if m.lastgroup not in ("title", "parts") else "name"
+        part = next((x for x in ("quoted", "bare", "token") if m[x] is not None), None)
+        if part:
+            out.append((m.start(part), m.end(part), "secret", m[part]))
+            continue
         if kind != "name":
             out.append((m.start(), m.end(), kind, m[0]))
             continue
@@ -98,16 +106,23 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "ip":
         return ".".join(str((1, 10, 100)[len(o) - 1] + pick(i, (9, 90, 155)[len(o) - 1])) for i, o in enumerate(value.split(".")))
 
+    upper_hex = kind == "secret" and re.fullmatch("[0-9A-F]{16,}", value) is not None
+
     def shift(i: int, c: str) -> str:
         if c.isdigit():
             return str(pick(i, 10))
         if "a" <= c <= "f" and kind == "secret":
             return "abcdef"[pick(i, 6)]
+        if upper_hex:
+            return "ABCDEF"[pick(i, 6)]
         return chr(97 + pick(i, 26)) if "a" <= c <= "z" else chr(65 + pick(i, 26)) if "A" <= c <= "Z" else c
 
-    fixed = 4 if kind == "secret" and value.startswith("AKIA") else value.find(" ") + 1 if kind == "phone" else 0
+    fixed = 4 if kind == "secret" and value.startswith("AKIA") else value.find(" ") + 1 or int(value.startswith("0")) if kind == "phone" else 0
     end = value.rfind(".") if kind == "email" else len(value)
     out = value[:fixed] + "".join(shift(i, c) for i, c in enumerate(value[fixed:end])) + value[end:]
+    if kind == "secret" and attempt >= 8:
+        # too few letters and digits to stay apart, as in a row of asterisks
+        out += "".join("abcdefghijklmnopqrstuvwxyz"[b % 26] for b in stream[-8:])
     if kind == "card" and luhn(value):
         out = next(out[:-1] + d for d in "0123456789" if luhn(out[:-1] + d))
     return out
@@ -157,7 +172,9 @@ def resolve(found: DataFrame, key: bytes, scratch: Scratch, rounds: int = 30) ->
 def replace(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Texts with every entity replaced; the same entity gets the same surrogate in all documents, different ones different surrogates.
 
-    Entities: e-mail addresses, secrets, IPv4 addresses, social security, phone and card numbers, and names behind a title. Surrogates
+    Entities: e-mail addresses, secrets, IPv4 addresses, social security, phone and card numbers, and names behind a title (no others). Secrets stand
+    behind password or token in any case, with = or : and with or without quotes; phones have a country code, an area code in
+    brackets, a leading zero or the form ddd-ddd-dddd. Surrogates
     depend on the key, the type and the entity alone, but for collisions (see resolve). A null text stays null; an empty one empty.
     Repeated rows: a row each; rows of one id need not have one text. An empty table gives no rows.
     Returns doc_id, text, n_entities, kinds (sorted, joined by commas).
