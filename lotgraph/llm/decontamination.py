@@ -91,7 +91,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, length: int = 10, id_col: s
     scratch = Scratch(docs.sparkSession)
     index = PositionalIndex(docs, items, scratch, id_col, text_col, item_col, item_text)
     runs = scratch.keep(index.phrases(length), "phrases")
-    scratch.release()
     hit = runs.select("k", F.explode(F.sequence("from_pos", "to_pos")).alias("pos")).distinct().groupBy("k").agg(F.count("*").alias("n_hit"))
     of = runs.select("k", "item").distinct().join(small(index.items.select("item", "item_id"), MAX_BROADCAST), "item")
     of = of.groupBy("k").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))

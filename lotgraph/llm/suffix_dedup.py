@@ -161,7 +161,6 @@ def dedup(docs: DataFrame, length: int = 100, q: int = 32, id_col: str = "doc_id
     marks = scratch.keep(marks, "marks")
     hot = not marks.where((F.col("kinds") > LOCAL) & ~F.col("copy")).isEmpty()
     del posted, ranked
-    scratch.release()
 
     run = lambda at: F.struct(F.shiftright(at, 16).alias("f"), (F.shiftright(at, 16) + F.shiftright(at, 8).bitwiseAND(255) + length).alias("t"))
     by_doc = marks.groupBy("doc").agg(
@@ -177,7 +176,6 @@ def dedup(docs: DataFrame, length: int = 100, q: int = 32, id_col: str = "doc_id
     staged = scratch.keep(staged, "staged")
     del joined
     scratch.drop("marks")
-    scratch.release()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
