@@ -1,4 +1,4 @@
-"""Similarity self-join on word shingles: blocks by pigeonhole, T-occurrence search with DivideSkip inside them."""
+"""Similarity self-join on word shingles: inverted lists of the rarest shingles, T-occurrence search with DivideSkip."""
 
 from __future__ import annotations
 
@@ -14,8 +14,8 @@ from . import rolling
 from .common import Scratch, components, shuffled, slices
 
 U = np.uint64
-#: Documents of a family are searched in blocks of about so many; two blocks meet in a task.
-BLOCK = 512
+#: Documents of a list are searched in blocks of about so many, or so many shingles; two blocks meet in a task.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -34,88 +34,52 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
     n = np.bincount(doc, minlength=len(offsets) - 1)
     docs, hashes = [], []
     for size in range(1, k + 1):
-        h = np.full(max(len(word) - size + 1, 0), size, U)
+        m = max(len(word) - size + 1, 0)
+        h = np.full(m, size, U)
         for j in range(size):
-            h = rolling.mix(h * U(0x9E3779B97F4A7C15) + word[j : len(word) - size + 1 + j])
+            h = rolling.mix(h * U(0x9E3779B97F4A7C15) + word[j : j + m])
         at = doc[: len(h)]
         here = (at == doc[size - 1 : size - 1 + len(h)]) & ((size == k) | (n[at] == size))
         docs.append(at[here])
         hashes.append(h[here])
     doc, h = np.concatenate(docs), np.concatenate(hashes)
-    order = np.lexsort((h, doc))
-    doc, h = doc[order], h[order]
+    many = len(offsets) - 1
+    small = np.uint16 if many <= 1 << 16 else np.uint32
+    if len(h) < 32 * many:
+        order = np.argsort(h)
+        order = order[np.argsort(doc[order].astype(small), kind="stable")]
+        doc, h = doc[order], h[order]
+    else:  # sorting each document's own is many times faster if they are long
+        order = np.argsort(doc.astype(small), kind="stable")
+        doc, h = doc[order], h[order]
+        ends = np.cumsum(np.bincount(doc, minlength=many)).tolist()
+        for a, b in zip([0, *ends], ends, strict=False):
+            h[a:b].sort()
     new = np.ones(len(h), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
     return doc[new], h[new]
 
 
-class Parts:
-    """How sets are cut so that linked ones agree in a part.
-
-    Sets that link differ in at most (1 - t) / t of the smaller one's size. A class of sizes [lo, hi) has one part more than
-    that for hi - 1, and spare parts for empty ones: so a linked pair whose smaller set is in the class has an equal part that isn't
-    empty. Sets with more empty parts than spares file their empty parts too.
-    """
-
-    def __init__(self, percent: int, growth: float = 1.5):
-        self.percent, lo = percent, math.ceil(percent / (100 - percent))
-        self.lo, self.hi, self.p, self.spare = [], [], [], []
-        while lo < 1 << 31:
-            hi = max(lo + 1, int(lo * growth))
-            base = (hi - 1) * (100 - percent) // percent + 1
-            empty = base * math.exp(-lo / base)
-            spare = math.ceil(empty + 4 * math.sqrt(empty)) + 1
-            for name, x in (("lo", lo), ("hi", hi), ("p", base + spare), ("spare", spare)):
-                getattr(self, name).append(x)
-            lo = hi
-        self.lo, self.hi, self.p, self.spare = (np.array(x, np.int64) for x in (self.lo, self.hi, self.p, self.spare))
-
-    def signatures(self, doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(document, signature): one for each part of each set, in its own class and in the one below if a partner may be there."""
-        own = np.searchsorted(self.lo, n, "right") - 1
-        docs, out = [], []
-        for down in (0, 1):
-            c = own - down
-            use = c >= 0
-            if down:
-                use &= (n * self.percent + 99) // 100 <= self.hi[np.maximum(c, 0)] - 1
-            c = np.maximum(c, 0)
-            parts = np.where(use, self.p[c], 0)
-            base = np.cumsum(parts) - parts
-            mine = use[doc]
-            d, x = doc[mine], h[mine]
-            part = (((rolling.mix(x ^ U(0xA5A5A5A5A5A5A5A5)) >> U(32)) * parts[d].astype(U)) >> U(32)).astype(np.int64)
-            slot, y = base[d] + part, rolling.mix(x + U(0x5851F42D4C957F2D))
-            total = int(parts.sum())
-            low = np.bincount(slot, (y & U(0xFFFFFFFF)).astype(np.float64), total).astype(U)
-            high = np.bincount(slot, (y >> U(32)).astype(np.float64), total).astype(U)
-            empty = np.bincount(slot, minlength=total) == 0
-            of = np.repeat(np.arange(len(n)), parts)
-            empties = np.bincount(of[empty], minlength=len(n))
-            keep = ~empty | (empties > self.spare[c])[of]
-            name = c[of].astype(U) * U(1 << 40) + (np.arange(total) - base[of]).astype(U)
-            sig = rolling.mix(rolling.mix(low * U(0x9E3779B97F4A7C15) + high) + rolling.mix(name + U(1)))
-            docs.append(of[keep])
-            out.append(sig[keep])
-        return np.concatenate(docs), np.concatenate(out)
-
-
-def divide_skip(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, percent: int, mu: float = 0.01) -> list[tuple[int, int]]:
-    """Links that connect the sets of a task, by T-occurrence search on its inverted lists.
+def divide_skip(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, percent: int, comp: np.ndarray | None = None, every: bool = False, mu: float = 0.01) -> list[tuple[int, int]]:
+    """Links between the sets of a task, by T-occurrence search with DivideSkip on its inverted lists.
 
     Sets stand in order of size, so the partners of a query that are no larger are a range of each list. With T the least overlap
     any of them needs, the L longest of the query's lists are set aside (L = T / (mu log M + 1)); the short ones are merged; what occurs T - L
-    times or more is probed in the long ones by binary search and retained if the overlap reaches what the pair needs. Pairs
-    that are connected already are settled; pairs within one block are searched only by that block's own task (block: 0 or 1, or all 2).
+    times or more is probed in the long ones by binary search and retained if the overlap reaches what the pair needs. Sets of one side
+    (0 or 1) are not compared with each other, those of side 2 are. Sets of one ``comp`` are connected already; pairs that are connected,
+    also by links of this task, are settled and left out, unless ``every`` link is asked for.
     """
     order = np.lexsort((ids, [len(s) for s in sets]))
-    ids, block, sets = ids[order], block[order], [sets[i] for i in order]
+    ids, side, sets = ids[order], side[order], [sets[i] for i in order]
     n, m = np.array([len(s) for s in sets]), len(sets)
     terms, where = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(m), n)
     posting = np.sort(where.astype(np.int64) * m + owner)
     own = np.split(where, np.cumsum(n)[:-1])
     parent = np.arange(m)
+    if comp is not None:
+        parent = np.unique(comp[order], return_index=True, return_inverse=True)
+        parent = parent[1][parent[2]]
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -129,6 +93,13 @@ def divide_skip(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, perc
         first = int(np.searchsorted(n, least))
         if first >= x:
             continue
+        others = np.arange(first, x)
+        wanted = (side[others] != side[x]) | (side[x] == 2)
+        if not every:
+            here = root(x)
+            wanted[wanted] = [root(y) != here for y in others[wanted].tolist()]
+        if not wanted.any():
+            continue
         t = -(-percent * (int(n[x]) + least) // (100 + percent))
         mine = own[x].astype(np.int64)
         a, b = np.searchsorted(posting, mine * m + first), np.searchsorted(posting, mine * m + x)
@@ -141,13 +112,8 @@ def divide_skip(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, perc
         short, long = by_length[: len(mine) - set_aside], by_length[len(mine) - set_aside :]
         merged = np.concatenate([posting[a[i] : b[i]] for i in short.tolist() if length[i]] or [posting[:0]]) % m
         found, count = np.unique(merged, return_counts=True)
-        some = (count >= t - set_aside) & ((block[found] != block[x]) | (block[x] == 2))
+        some = (count >= t - set_aside) & wanted[found - first]
         found, count = found[some], count[some]
-        if not len(found):
-            continue
-        here = root(x)
-        apart = np.array([root(y) != here for y in found.tolist()])
-        found, count = found[apart], count[apart]
         if len(found) and len(long):
             key = mine[long][:, None] * m + found[None, :]
             at = np.minimum(np.searchsorted(posting, key), len(posting) - 1)
@@ -155,19 +121,20 @@ def divide_skip(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, perc
         need = -(-percent * (n[x] + n[found]) // (100 + percent))
         for y in found[count >= need].tolist():
             p, q = root(x), root(y)
-            if p != q:
+            if every or p != q:
                 parent[p] = q
-                links.append((int(ids[x]), int(ids[y])))
+                if ids[x] != ids[y]:
+                    links.append((int(ids[x]), int(ids[y])))
     return links
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 2000) -> Iterator[pa.Table]:
-    """Tables of complete groups from batches sorted by ``key``."""
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 2000, size: int = 8 << 20) -> Iterator[pa.Table]:
+    """Tables of complete groups, of some rows or bytes, from batches sorted by ``key``."""
     held, have = [], 0
     for batch in batches:
         held.append(batch)
         have += len(batch)
-        if have < rows:
+        if have < rows and sum(x.nbytes for x in held) < size:
             continue
         table = pa.Table.from_batches(held).combine_chunks()
         g = table.column(key).to_numpy()
@@ -180,102 +147,258 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 2000)
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def digests(h: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit sums of each set, by which equal sets are told."""
+    out = []
+    for salt in (1, 2):
+        y, full = rolling.mix(h + U(salt)), n > 0
+        total = np.zeros(len(n), U)
+        if len(y):
+            total[full] = np.add.reduceat(y, (np.cumsum(n) - n)[full])
+        out.append(total)
+    return out
+
+
+def least_overlap(n, percent: int):
+    """What a set of n shares with any partner at least."""
+    return -(-percent * n // 100)
+
+
+def head_sizes(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(l, size): linked sets share l shingles of their heads at least, the ``size`` first ones in the order of the hashes.
+
+    With T the least overlap, l = T / 10 (1 at least) and size = n - T + l: the l-th shared shingle is followed by T - l others.
+    The difference of two sets' l is no more than that of their T, so either set may count with its own.
+    """
+    t = least_overlap(n, percent)
+    share = np.where(n > 0, np.maximum(1, t // 10), 0)
+    return share, np.where(n > 0, n - t + share, 0)
+
+
+class Join:
+    """The steps of the join over one table of documents. See link_classes."""
+
+    def __init__(self, docs: DataFrame, k: int, percent: int, id_col: str, text_col: str):
+        if not 1 <= percent <= 100:
+            raise ValueError("percent must be from 1 to 100")
+        if k < 1:
+            raise ValueError("k must be positive")
+        self.k, self.percent, self.spark = k, percent, docs.sparkSession
+        self.scratch = Scratch(self.spark)
+        self.source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+
+    def measure(self) -> tuple[DataFrame, DataFrame]:
+        """(sized, open): each row's doc, n, h1, h2; and one document of each set that may have a partner, with its set.
+
+        One pass over the texts writes the digests, and the head of a set at its first appearance in a task. A set stays open if at least l
+        shingles of its head are in other sets' heads. Sets are told apart by h1 here: only linked sets whose h1 collide would be lost.
+        """
+        k, percent, scratch = self.k, self.percent, self.scratch
+
+        def size_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set[int] = set()  # forgotten when it grows: then a head is only filed again
+            for batch in batches:
+                known = ~np.asarray(batch.column(0).is_null())
+                for a, b, data, offsets in rolling.chunks(batch.column(1)):
+                    doc, h = shingle_sets(data, offsets, k)
+                    n = np.bincount(doc, minlength=b - a)
+                    one, two = digests(h, n)
+                    _, size = head_sizes(n, percent)
+                    if len(seen) > 200_000:
+                        seen.clear()
+                    for i, s in enumerate(one.tolist()):
+                        if s in seen or not known[a + i]:
+                            size[i] = 0
+                        else:
+                            seen.add(s)
+                    rank = np.arange(len(h)) - (np.cumsum(n) - n)[doc]
+                    head = h[rank < size[doc]].view(np.int64)
+                    heads = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32()), pa.array(head, pa.int64()))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), heads], names=["doc", "n", "h1", "h2", "head"])
+
+        wide = scratch.keep(self.source.mapInArrow(size_up, "doc long, n long, h1 long, h2 long, head array<long>"), "wide")
+        sized = scratch.keep(wide.drop("head"), "sized")
+        # Equal sets are one: the least id stands for them.
+        self.alike = scratch.keep(sized.where("doc is not null and n > 0").groupBy("h1", "h2", "n").agg(F.min("doc").alias("rep"), F.count("*").alias("copies")), "alike")
+        if percent == 100:
+            return sized, self.alike.limit(0)
+        heads = wide.select("doc", "h1", F.explode("head").alias("token"))
+        shared = heads.groupBy("token").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi").select("token")
+        shared = scratch.keep(shared, "shared")
+        met = heads.join(shared, "token", "left_semi").groupBy("doc", "h1").agg(F.count("*").alias("met"))
+        least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) / 10))
+        maybe = met.join(self.alike, "h1").where(F.col("met") >= least).select(F.col("rep").alias("doc"), "n", "h1", "h2").distinct()
+        maybe = scratch.keep(maybe, "maybe")
+        scratch.drop("wide", "shared")
+
+        def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for a, b, data, offsets in rolling.chunks(batch.column("text")):
+                    doc, h = shingle_sets(data, offsets, k)
+                    n = np.bincount(doc, minlength=b - a)
+                    one, two = digests(h, n)
+                    grams = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(h.view(np.int64), pa.int64()))
+                    names = ["doc", "n", "h1", "h2"]
+                    made = pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in names), grams], names=[*names, "grams"])
+                    same = np.array([x.to_numpy().view(U) for x in (made["h1"], made["h2"])]) == np.array([one, two])
+                    yield made.filter(pa.array(same.all(axis=0)))
+
+        found = self.source.join(shuffled(maybe), "doc").select("doc", "n", "h1", "h2", "text").mapInArrow(gather, "doc long, n long, h1 long, h2 long, grams array<long>")
+        return sized, scratch.keep(found.dropDuplicates(["doc", "h1", "h2"]).select("doc", "n", "h1", "grams"), "open")
+
+    def prefixes(self, sets: DataFrame, name: str) -> DataFrame:
+        """(token, doc, h1, n, comp): of each set the rarest shingles, n - T + 1 of them, without those that no set of another component has.
+
+        Linked sets of different components share one: those with fewer than T such shingles have no rows.
+        """
+        postings = sets.select("doc", "h1", "n", "comp", F.explode("grams").alias("token"))
+        lists = postings.groupBy("token").agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token", "df")
+        lists = self.scratch.keep(lists, f"lists-{name}")
+        own = Window.partitionBy("doc", "h1")
+        ranked = postings.join(lists, "token").withColumns({"c": F.count("*").over(own), "r": F.row_number().over(own.orderBy("df", "token"))})
+        out = ranked.where(F.col("r") <= F.col("c") - F.ceil(F.col("n") * self.percent / 100) + 1).select("token", "doc", "h1", "n", "comp")
+        out = self.scratch.keep(out, f"prefixes-{name}")
+        self.scratch.drop(f"lists-{name}")
+        return out
+
+    def search(self, sets: DataFrame, tasks: DataFrame, every: bool = False) -> DataFrame:
+        """Links (a, b) between the sets that meet in a task. tasks: task, doc, h1, side, comp."""
+        percent = self.percent
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in whole_groups(batches, "task"):
+                task, ids, side, comp = (table.column(c).to_numpy() for c in ("task", "doc", "side", "comp"))
+                lists = table.column("grams").combine_chunks()
+                ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(U)
+                grams = [flat[s:e] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                cut = np.flatnonzero(np.concatenate(([True], task[1:] != task[:-1], [True])))
+                found = [x for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True) for x in divide_skip(ids[s:e], grams[s:e], side[s:e], percent, comp[s:e], every)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        placed = tasks.join(sets.select("doc", "h1", "grams"), ["doc", "h1"]).select("task", "doc", "side", "comp", "grams")
+        return placed.repartition(slices(self.spark), "task").sortWithinPartitions("task").mapInArrow(run, "a long, b long").distinct()
+
+    def n_blocks(self) -> "F.Column":
+        """Blocks for a group of documents: so many sets, or so many shingles, in each at most (about, as they're dealt by hash)."""
+        return F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("long")
+
+    def with_component(self, rows: DataFrame, classes: DataFrame | None) -> DataFrame:
+        """rows with the component of their document: the document itself as long as it has no link."""
+        rows = rows.drop("comp")
+        if classes is None:
+            return rows.withColumn("comp", F.col("doc"))
+        return rows.join(classes, F.col("doc") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "doc")).drop("node", "component")
+
+    def families(self, rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """(small, large): doc, h1, n, comp, family of the sets that lists connect, by whether one task can search the family."""
+        lists = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("doc").alias("least")).where("lo < hi").select("token", "least")
+        edges = rows.join(lists, "token").select(F.col("doc").alias("a"), F.col("least").alias("b")).distinct()
+        found = self.scratch.keep(components(edges, self.scratch, f"families-{name}"), f"family-{name}")
+        sets = rows.select("doc", "h1", "n", "comp").distinct().join(found, F.col("doc") == F.col("node")).select("doc", "h1", "n", "comp", F.col("component").alias("family"))
+        sets = self.scratch.keep(sets, f"members-{name}")
+        sizes = sets.groupBy("family").agg(self.n_blocks().alias("blocks"))
+        sets = self.scratch.keep(sets.join(sizes, "family"), f"sized-{name}")
+        return sets.where("blocks = 1"), sets.where("blocks > 1")
+
+    def hub_tasks(self, rows: DataFrame, turn: int) -> DataFrame:
+        """Tasks in which the documents of a list that aren't connected with its hub meet it. The hub is drawn anew each turn, by one order
+        for all lists, so that lists of like documents have one hub; its documents are dealt out in blocks."""
+        hub = F.min(F.struct(F.xxhash64(F.lit(turn), "doc", "h1").alias("draw"), "doc", "h1", "n", "comp")).alias("hub")
+        lists = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), hub).where("lo < hi").select("token", "hub")
+        fits = 100 * F.least("n", "hub.n") >= self.percent * F.greatest("n", "hub.n")
+        pairs = rows.join(lists, "token").where((F.col("comp") != F.col("hub.comp")) & fits).select("hub", "doc", "h1", "n", "comp").distinct()
+        pairs = self.scratch.keep(pairs, f"pairs{turn}")
+        sizes = pairs.groupBy("hub").agg(self.n_blocks().alias("blocks"))
+        dealt = pairs.join(sizes, "hub").withColumn("task", F.xxhash64("hub.doc", "hub.h1", F.pmod(F.xxhash64("doc", "h1"), "blocks")))
+        copies = sizes.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+        ends = copies.select(F.xxhash64("hub.doc", "hub.h1", "block").alias("task"), "hub.doc", "hub.h1", F.lit(0).alias("side"), "hub.comp")
+        return dealt.select("task", "doc", "h1", F.lit(1).alias("side"), "comp").union(ends)
+
+    def list_tasks(self, rows: DataFrame) -> DataFrame:
+        """Tasks in which all documents of a list meet that aren't connected. Lists of the same documents are one.
+
+        The list's largest component needs no comparison within itself: the other documents, in blocks, meet it and each other, block by block.
+        """
+        mark = lambda salt: F.sum(F.xxhash64(F.lit(salt), "doc", "h1").cast("decimal(38,0)")).alias(f"m{salt}")
+        lists = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), mark(1), mark(2), F.count("*").alias("size")).where("lo < hi")
+        single = lists.groupBy("m1", "m2", "size").agg(F.min("token").alias("token")).select("token")
+        live = self.scratch.keep(rows.join(single, "token"), "live")
+        count = live.groupBy("token", "comp").agg(F.count("*").alias("size"), self.n_blocks().alias("b"), F.sum("n").alias("n"))
+        least = F.greatest(F.ceil((F.sum("size") - F.max("size")) / BLOCK), F.ceil((F.sum("n") - F.max_by("n", F.struct("size", "comp"))) / BLOCK_SHINGLES)).cast("long")
+        plan = count.groupBy("token").agg(F.max_by("comp", F.struct("size", "comp")).alias("mass"), F.max_by("b", F.struct("size", "comp")).alias("major"), F.greatest(F.lit(1).cast("long"), least).alias("minor"))
+        dealt = live.join(plan, "token").withColumn("draw", F.xxhash64("doc", "h1"))
+        small = F.col("comp") != F.col("mass")
+        dealt = dealt.withColumn("i", F.when(small, F.pmod("draw", "minor")).otherwise(F.col("minor") + F.pmod("draw", "major")))
+        last = F.when(small, F.col("minor") + F.col("major")).otherwise(F.col("minor")) - 1
+        dealt = dealt.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        side = F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1)
+        return dealt.select(F.xxhash64("token", F.least("i", "j"), F.greatest("i", "j")).alias("task"), "doc", "h1", side.alias("side"), "comp")
+
+    def classes(self, sets: DataFrame, turns: int = 2) -> DataFrame | None:
+        """(node, component) over the documents with links; None without any.
+
+        Families that one task can hold are searched whole at once. In larger ones each list's documents meet its hub; the lists of those
+        that aren't connected then are made anew, and have smaller families. What is left is searched list by list.
+        """
+        scratch = self.scratch
+        links, classes, now = None, None, sets
+        for turn in range(1, turns + 1):
+            rows = self.prefixes(self.with_component(now, classes), str(turn))
+            small, large = self.families(rows, str(turn))
+            whole = small.select(F.xxhash64("family").alias("task"), "doc", "h1", F.lit(2).alias("side"), "comp")
+            left = not large.isEmpty()
+            if left:
+                large = large.select("doc", "h1")
+                rows, now = (scratch.keep(x.join(large, ["doc", "h1"], "left_semi"), f"{name}{turn}") for x, name in ((rows, "rows"), (now, "now")))
+                whole = whole.union(self.hub_tasks(rows, turn))
+            new = scratch.keep(self.search(sets, whole), f"links{turn}")
+            if not new.isEmpty():
+                links = new if links is None else links.union(new)
+                classes = scratch.keep(components(links, scratch, f"links{turn}"), f"classes{turn}")
+            if not left:
+                return classes
+        rows = self.prefixes(self.with_component(now, classes), "left")
+        new = scratch.keep(self.search(now, self.list_tasks(rows)), "links")
+        if not new.isEmpty():
+            classes = scratch.keep(components(new if links is None else links.union(new), scratch, "links"), "classes")
+        return classes
+
+
 def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Classes of documents connected by links: Jaccard similarity of their shingle sets of ``percent`` / 100 or more.
+    """Classes of documents connected by links: Jaccard similarity of their shingle sets of ``percent`` / 100 or more (1 to 100).
 
     Words are runs of other than blanks, A-Z lower-cased; a set has the distinct k-word shingles, told apart by 64-bit hashes.
     1. Equal sets (by two 64-bit sums and the size) are one: the least id stands for them.
-    2. Each set is cut into parts by hash so that linked sets agree in one (see Parts); documents that share a part are
-       candidates, and the connected components of those are families.
-    3. A family's sets meet in tasks, a large family's in pairs of blocks, where DivideSkip finds links.
-    4. The links' connected components are the classes.
-    Null, empty or blank texts have an empty set and link with nothing. Rows of one id are one document. Null ids link with
-    nothing (component_id null). An empty table gives no rows.
+    2. Sets whose heads (see head_sizes) share too little with any other set have no partner and leave.
+    3. The others' inverted lists: linked sets share one of their rarest shingles (see Join.prefixes).
+    4. Documents that lists connect meet in a task, or, if they are too many, meet the hub of each list first, and then in blocks
+       those that aren't connected yet. DivideSkip finds the links in each task, and their connected components are the classes.
+    No list is capped, and no pair that may link is left out unless it is connected already. Null, empty or blank texts have an
+    empty set and link with nothing. Very long texts are whole, in a block of their own size. Rows of one id are one document. Null ids link with
+    nothing (component_id null). Other columns, whatever their names, are ignored. An empty table gives no rows.
     Returns doc_id, n_shingles, component_id (the least id of the class).
     """
-    spark = docs.sparkSession
-    scratch, parts = Scratch(spark), Parts(percent)
-    source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-
-    def sums(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
-        out = []
-        for salt in (1, 2):
-            y, full = rolling.mix(h + U(salt)), n > 0
-            total = np.zeros(len(n), U)
-            if len(y):
-                total[full] = np.add.reduceat(y, (np.cumsum(n) - n)[full])
-            out.append(total)
-        return out
-
-    def size_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, offsets in rolling.chunks(batch.column(1)):
-                doc, h = shingle_sets(data, offsets, k)
-                n = np.bincount(doc, minlength=b - a)
-                one, two = sums(doc, h, n)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))], names=["doc", "n", "h1", "h2"])
-
-    sized = scratch.keep(source.mapInArrow(size_up, "doc long, n long, h1 long, h2 long"), "sized")
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for a, b, data, offsets in rolling.chunks(batch.column(1)):
-                doc, h = shingle_sets(data, offsets, k)
-                n = np.bincount(doc, minlength=b - a)
-                one, two = sums(doc, h, n)
-                # Of equal sets in a chunk one is filed: the others are of its class in any case.
-                _, first = np.unique(one ^ rolling.mix(two), return_index=True)
-                filed = np.zeros(b - a, bool)
-                filed[first] = True
-                d, sig = parts.signatures(doc, h, np.where(filed, n, 0))
-                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(ids[a:b][d].astype(np.int64))], names=["sig", "doc"])
-
-    known = sized.where("doc is not null and n > 0")
-    alike = known.groupBy("h1", "h2", "n").agg(F.min("doc").alias("rep"), F.count("*").alias("copies"))
-    alike = scratch.keep(alike, "alike")
-    signed = source.where("doc is not null").mapInArrow(sign, "sig long, doc long").repartition(slices(spark), "sig")
-    hub = signed.withColumn("hub", F.min("doc").over(Window.partitionBy("sig"))).where("doc <> hub").select("doc", "hub").distinct()
-    hub = scratch.keep(hub, "hubs")
-    del signed
-    scratch.release()
-    to_rep = known.join(alike.where("copies > 1"), ["h1", "h2", "n"]).where("doc <> rep").select(F.col("doc").alias("d"), "rep")
-    to_rep = scratch.keep(to_rep, "to_rep")
-    first, second = to_rep.select("d", F.col("rep").alias("r1")), to_rep.select(F.col("d").alias("d2"), F.col("rep").alias("r2"))
-    edges = hub.join(first, F.col("doc") == F.col("d"), "left").join(second, F.col("hub") == F.col("d2"), "left")
-    edges = edges.select(F.coalesce("r1", "doc").alias("a"), F.coalesce("r2", "hub").alias("b")).where("a <> b")
-    families = scratch.keep(components(edges, scratch, "families"), "family")
-    blocks = families.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    members = families.join(blocks, "component").select(F.col("node").alias("doc"), F.col("component").alias("family"), "blocks", F.pmod(F.xxhash64("node"), "blocks").alias("block"))
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, offsets in rolling.chunks(batch.column("text")):
-                doc, h = shingle_sets(data, offsets, k)
-                n = np.bincount(doc, minlength=b - a)
-                sets = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((np.concatenate(([0], np.cumsum(n))) * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(h))])
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("doc", "family", "blocks", "block")), sets], names=["doc", "family", "blocks", "block", "grams"])
-
-    sets = source.join(shuffled(members), "doc").select("doc", "text", "family", "blocks", "block").mapInArrow(gather, "doc long, family long, blocks long, block long, grams binary")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tasks = sets.select("doc", "family", "blocks", "block", other, "grams").select(
-        F.xxhash64("family", F.least("block", "other"), F.greatest("block", "other")).alias("task"), "doc",
-        F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"), "grams",
-    )
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, "task"):
-            task, ids, side = (table.column(c).to_numpy() for c in ("task", "doc", "side"))
-            grams = [np.frombuffer(x, U) for x in table.column("grams").to_pylist()]
-            cut = np.flatnonzero(np.concatenate(([True], task[1:] != task[:-1], [True])))
-            found = [x for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True) for x in divide_skip(ids[s:e], grams[s:e], side[s:e], percent)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
-
-    links = tasks.repartition(slices(spark), "task").sortWithinPartitions("task").mapInArrow(search, "a long, b long")
-    classes = scratch.keep(components(links, scratch, "links"), "classes")
-    scratch.release()
-    ends = alike.join(classes, F.col("rep") == F.col("node"), "left").where("copies > 1 or component is not null")
+    join = Join(docs, k, percent, id_col, text_col)
+    sized, sets = join.measure()
+    classes = None if percent == 100 else join.classes(sets)
+    none = join.spark.createDataFrame([], "node long, component long") if classes is None else classes
+    ends = join.alike.join(none, F.col("rep") == F.col("node"), "left").where("copies > 1 or component is not null")
     ends = ends.select("h1", "h2", "n", F.coalesce("component", "rep").alias("component"))
-    return sized.join(ends, ["h1", "h2", "n"], "left").select(
-        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("component_id")
-    )
+    out = sized.join(ends, ["h1", "h2", "n"], "left")
+    return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("component_id"))
+
+
+def link_pairs(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(links, members): every link between different sets as (a, b), a < b, and each document's representative (doc_id, rep).
+
+    As link_classes, but nothing is settled by components: all documents of a list meet in blocks, so the work of a list grows
+    with the square of its length, as its links may. Documents of one rep have equal sets; one without a set is its own.
+    """
+    join = Join(docs, k, percent, id_col, text_col)
+    sized, sets = join.measure()
+    members = sized.where("doc is not null").join(join.alike, ["h1", "h2", "n"], "left").select(F.col("doc").alias("doc_id"), F.coalesce("rep", "doc").alias("rep")).distinct()
+    if percent == 100:
+        return join.spark.createDataFrame([], "a long, b long"), members
+    rows = join.prefixes(join.with_component(sets, None), "pairs")
+    found = join.search(sets, join.list_tasks(rows), every=True)
+    return join.scratch.keep(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"), members

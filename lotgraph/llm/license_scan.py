@@ -41,9 +41,10 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def shingles(word: np.ndarray, k: int) -> np.ndarray:
-    h = np.full(max(len(word) - k + 1, 0), k, U)
+    n = max(len(word) - k + 1, 0)
+    h = np.full(n, k, U)
     for j in range(k):
-        h = rolling.mix(h * U(0x9E3779B97F4A7C15) + word[j : len(word) - k + 1 + j])
+        h = rolling.mix(h * U(0x9E3779B97F4A7C15) + word[j : j + n])
     return h
 
 

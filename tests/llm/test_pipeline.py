@@ -39,5 +39,68 @@ def test_each_stage_takes_effect(spark, planted, tmp_path):
     assert docs.agg(F.max("shard")).first()[0] == cp.N_SHARDS - 1
 
 
-def test_run_equals_its_stages(spark, planted):
-    assert {c for c in cp.run(spark, planted).columns} == {"doc_id", "size", "text_crc32", "shard", "slot"}
+def test_run_equals_its_stages(spark, planted, tmp_path):
+    docs = spark.read.parquet(f"{planted}/documents.parquet")
+    for i, (_, stage) in enumerate(cp.STAGES):
+        stage(spark, docs, planted).write.parquet(str(tmp_path / str(i)))
+        docs = spark.read.parquet(str(tmp_path / str(i)))
+    rows = lambda df: sorted(tuple(r[c] for c in ("doc_id", "size", "text_crc32", "shard", "slot")) for r in df.collect())
+    assert rows(cp.run(spark, planted)) == rows(docs)
+
+
+def folder(spark, path, docs, items):
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in docs], SCHEMA).write.parquet(f"{path}/documents.parquet")
+    return str(path), spark.read.parquet(f"{path}/documents.parquet")
+
+
+def test_empty_documents(spark, tmp_path):
+    path, docs = folder(spark, tmp_path, [], [(1, "a b c")])
+    for _, stage in cp.STAGES:
+        assert stage(spark, docs, path).count() == 0
+    assert cp.run(spark, path).count() == 0
+
+
+def test_empty_benchmark_clashing_names_and_repeated_ids(spark, tmp_path):
+    words = [f"word{i}" for i in range(40)]
+    listed = [(1, " ".join(words), "a"), (1, " ".join(reversed(words)), "a"), (2, " ".join(words) + " end", None), (None, "the null id", "b"), (None, "", "b"), (None, None, "b")]
+    path, docs = folder(spark, tmp_path, listed, [])
+    extra = docs.selectExpr("*", "1 as _k", "2 as _n", "3 as _i", "4 as _times", "5 as k", "6 as id", "7 as found", "8 as size", "9 as repeats")
+    assert sorted(map(str, cp.decontaminate(spark, extra, path).collect())) == sorted(map(str, extra.collect()))
+    assert sorted(str(r.doc_id) for r in cp.drop_near_duplicates(spark, extra, path).collect()) == ["1", "None", "None", "None"]
+    mixed = cp.mix_sources(spark, extra, path)
+    assert mixed.columns == extra.columns and {tuple(r) for r in mixed.collect()} <= {tuple(r) for r in extra.collect()}
+
+
+def test_near_duplicates_against_brute_force(spark, planted):
+    from test_jaccard_join import brute
+
+    docs = spark.read.parquet(f"{planted}/documents.parquet")
+    classes = brute([(r.doc_id, r.text) for r in docs.collect()], 5, 80)
+    assert {r.doc_id for r in cp.drop_near_duplicates(spark, docs, planted).collect()} == {d for d, (_, c) in classes.items() if c == d}
+
+
+def test_mixing_repeats_rows_as_the_operator_says(spark, planted):
+    docs = spark.read.parquet(f"{planted}/documents.parquet").where("text <> ''")
+    out = cp.mix_sources(spark, docs, planted)
+    size = {r.doc_id: (len(r.text.split()), r.source) for r in docs.collect()}
+    total = sum(n for n, _ in size.values())
+    taken = {}
+    for r in out.collect():
+        taken[r.source] = taken.get(r.source, 0) + size[r.doc_id][0]
+    own, weights = {}, {}
+    for n, s in size.values():
+        own[s] = own.get(s, 0) + n
+    for i, s in enumerate(sorted(own)):
+        weights[s] = (5, 2, 1)[i % 3]
+    left, goal, open_ = 1.5 * total, {}, dict(weights)
+    while open_:
+        full = [s for s in open_ if left * open_[s] / sum(open_.values()) > 2 * own[s]]
+        if not full:
+            goal |= {s: left * w / sum(open_.values()) for s, w in open_.items()}
+            break
+        for s in full:
+            goal[s] = 2 * own[s]
+        left -= sum(goal[s] for s in full)
+        open_ = {s: w for s, w in open_.items() if s not in full}
+    assert all(abs(taken.get(s, 0) - g) <= 120 for s, g in goal.items())
