@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,13 +52,31 @@ def elements(token: str) -> list[str]:
     return out
 
 
+class Hashes(dict):
+    """Buckets of the features of one kind, kept up to a bound: affixes and trigrams come again and again."""
+
+    def __init__(self, kind: str):
+        self.kind = kind
+
+    def __missing__(self, value: str) -> int:
+        if len(self) > 100_000:
+            self.clear()
+        at = self[value] = zlib.crc32(f"{self.kind}{value}".encode()) % BUCKETS
+        return at
+
+
+PREFIX, SUFFIX, GRAM = Hashes("p"), Hashes("s"), Hashes("g")
+
+
 def features(word: str, lexicons: list[set[str]]) -> list[int]:
     """Hashed affixes of one to three letters, letter trigrams, the word, its script, and the lexicons that have it."""
-    made = [f"w{word}", f"p{word[:1]}", f"p{word[:2]}", f"p{word[:3]}", f"s{word[-1:]}", f"s{word[-2:]}", f"s{word[-3:]}", "a" if word.isascii() else f"u{max(word) >= 'Ͱ'}"]
+    made = [f"w{word}", "a" if word.isascii() else f"u{max(word) >= 'Ͱ'}", *(f"l{k}" for k, lexicon in enumerate(lexicons) if word in lexicon)]
     padded = f"^{word}$"
-    made += [f"g{padded[i : i + 3]}" for i in range(len(padded) - 2)]
-    made += [f"l{k}" for k, lexicon in enumerate(lexicons) if word in lexicon]
-    return [zlib.crc32(x.encode()) % BUCKETS for x in made]
+    return [
+        *(zlib.crc32(x.encode()) % BUCKETS for x in made),
+        PREFIX[word[:1]], PREFIX[word[:2]], PREFIX[word[:3]], SUFFIX[word[-1:]], SUFFIX[word[-2:]], SUFFIX[word[-3:]],
+        *[GRAM[padded[i : i + 3]] for i in range(len(padded) - 2)],
+    ]
 
 
 def signs(word: str) -> list[str]:
@@ -202,7 +221,7 @@ def fit(docs: DataFrame, learn: Column, per_label: int = 120, words: int = 250,
 class Tagger:
     """Marginals for whole texts; the scores of words seen are kept up to a bound. ``familiar``: sum the words' familiarity too."""
 
-    def __init__(self, model: Field, keep: int = 400_000, familiar: bool = False):
+    def __init__(self, model: Field, keep: int = 300_000, familiar: bool = False):
         self.model, self.keep, self.familiar = model, keep, familiar
         self.reset()
 
@@ -285,7 +304,7 @@ def predict(docs: DataFrame, model: Field, text_col: str = "text", at_once: int
         tagger = Tagger(shared.value, familiar=familiar)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
-            sizes = np.cumsum(np.array([len(x) if x else 0 for x in texts.to_pylist()]))
+            sizes = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
             a = 0
             while a < len(batch):
                 b = min(len(batch), max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + at_once, "right"))))
