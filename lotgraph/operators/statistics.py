@@ -34,25 +34,23 @@ def high_win_rate(statistics: DataFrame) -> DataFrame:
 def maximal_groups(records: DataFrame, least: int = GROUP_PROJECTS) -> DataFrame:
     """(companies, projects, n_projects): companies that share all projects of some company, largest groups only.
 
-    Seeds are the distinct project sets of companies with ``least`` projects or more. A company belongs to a seed if it was in all of its
-    projects: counted over an inverted index of projects, without comparing all pairs. Groups inside a larger one go, by counting over an
-    inverted index of companies.
+    Seeds are the distinct project sets of companies with ``least`` projects or more; a seed's group are the companies that were in all of its
+    projects. As the seed's own company is among them, one group lies in another just if its seed holds the other's: so the largest groups
+    are those of seeds that hold no smaller one, and only these are listed. A seed is filed under its rarest project alone; what
+    has that project is compared with it as a set.
     """
     sets = records.groupBy("company").agg(F.array_sort(F.collect_set("project_key")).alias("projects")).where(F.size("projects") >= least)
-    seeds = sets.select("projects").distinct().withColumn("seed", F.xxhash64("projects"))
-    asked = seeds.select("seed", F.size("projects").alias("n"), F.explode("projects").alias("project_key"))
-    held = sets.select("company", F.explode("projects").alias("project_key"))
-    members = asked.join(held, "project_key").groupBy("seed", "n", "company").count().where("count = n").select("seed", "company")
+    seeds = sets.select("projects").distinct()
+    spread = lambda df: df.select("*", F.explode("projects").alias("project_key"))
+    common = spread(sets).groupBy("project_key").agg(F.count("*").alias("held"))
+    rarest = F.min_by("project_key", F.struct("held", "project_key")).alias("project_key")
+    filed = spread(seeds).join(common, "project_key").groupBy("projects").agg(rarest).select(F.col("projects").alias("seed"), "project_key")
+    holds = F.size(F.array_except("seed", "projects")) == 0
+    larger = spread(seeds).join(filed, "project_key").where((F.size("seed") < F.size("projects")) & holds).select(F.col("projects").alias("seed")).distinct()
+    smallest = filed.join(larger, "seed", "left_anti")
+    members = spread(sets).join(smallest, "project_key").where(holds).select("seed", "company")
     groups = members.groupBy("seed").agg(F.array_sort(F.collect_set("company")).alias("companies")).where(F.size("companies") >= 2)
-    groups = groups.groupBy("companies").agg(F.max("seed").alias("seed")).withColumn("g", F.xxhash64("companies"))
-    listed = groups.select("g", F.size("companies").alias("n"), F.explode("companies").alias("company"))
-    other = listed.select(F.col("g").alias("h"), F.col("n").alias("m"), "company")
-    inside = listed.join(other, "company").where("m > n").groupBy("g", "n", "h").count().where("count = n").select("g").distinct()
-    # The same companies may be met by several seeds; they share the union of nothing less than each, so the largest seed is shown.
-    best = members.join(groups.select("g", "companies", F.explode("companies").alias("company")), "company")
-    sized = best.groupBy("g", "companies", "seed").count().where(F.col("count") == F.size("companies")).join(seeds, "seed")
-    shown = sized.groupBy("g", "companies").agg(F.max_by("projects", F.struct(F.size("projects"), "seed")).alias("projects"))
-    return shown.join(inside, "g", "left_anti").select("companies", "projects", F.size("projects").alias("n_projects"))
+    return groups.select("companies", F.col("seed").alias("projects"), F.size("seed").alias("n_projects"))
 
 
 def report_type(kind: Column, value: Column) -> Column:

@@ -364,11 +364,12 @@ def crawl_audit(spark, sf_dir):
     return crawl.audit(e).select("run_id", "results", "pending", "expansion_status", "finality")
 
 
-@query("""SELECT user_id AS run_id, count_if(event_type = 'error') = 1 AS retry FROM events GROUP BY 1""")
+@query("""WITH r AS (SELECT user_id AS run_id, count_if(event_type = 'error') AS failed FROM events GROUP BY 1)
+SELECT run_id, failed = 1 OR failed >= 3 AS retry FROM r""")
 def retry_decision(spark, sf_dir):
-    e = events(spark, sf_dir).withColumn("message", F.when(F.col("status") == "failed", crawl.NO_RESULT).otherwise(""))
-    found = crawl.retry_runs(e).join(e.groupBy("run_id").agg(F.count_if(F.col("status") == "failed").alias("n")), "run_id")
-    return found.select("run_id", (F.col("retry") & (F.col("n") < 3)).alias("retry"))
+    """Users as runs, whose failures all found nothing: one, or three and more, ask for another try."""
+    message = F.when(F.col("status") == "failed", crawl.NO_RESULT).otherwise("")
+    return crawl.retry_runs(events(spark, sf_dir).withColumn("message", message))
 
 
 @query("""WITH r AS (SELECT event_id // 8 AS run_id, count_if(event_type = 'error') AS failed, count_if(event_type = 'error' AND value < 80) AS none FROM events GROUP BY 1)
