@@ -320,3 +320,33 @@ def predict(docs: DataFrame, model: Field, text_col: str = "text", at_once: int
                 a = b
 
     return docs.mapInArrow(run, schema)
+
+
+def label_words(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row for each word with a letter: id, line, place (in the line, from 0), word, lang, probability.
+
+    The label with the greatest marginal in the chain of the word's line, so words of a code-switched text have labels of their own. Scripts
+    without blanks are labelled letter by letter (see elements). Null and letterless texts have no rows, nor has any text without
+    labels learned. Repeated rows: their words again. Very long texts are whole; other columns are ignored, whatever their names.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = ["id", "line", "place", "word", "lang", "probability"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        field = shared.value
+        for batch in batches:
+            for at, text in enumerate(batch.column(1).to_pylist()):
+                lines = [[w for token in line.split() for w in elements(token)] for line in (text or "").split("\n")]
+                lengths = np.array([len(x) for x in lines], np.int64)
+                words = [w for x in lines for w in x]
+                if not words or not field.labels:
+                    continue
+                marginal, _, _ = forward_backward(field.emissions(words), lengths[lengths > 0], field.transitions)
+                best = marginal.argmax(axis=1)
+                line = np.repeat(np.arange(len(lines)), lengths)
+                place = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+                ids = batch.column(0).take(pa.array(np.full(len(words), at)))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(line), pa.array(place), pa.array(words), pa.array([field.labels[j] for j in best.tolist()]), pa.array(marginal[np.arange(len(words)), best].astype(np.float64))], names=names)
+
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, line long, place long, word string, lang string, probability double")
