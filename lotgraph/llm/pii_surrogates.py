@@ -84,15 +84,22 @@ def canonical(kind: str, value: str) -> str:
     return value if kind == "secret" else value.lower()
 
 
+#: So many draws of a length keep the format; after them it is taken to have no value left.
+WIDEN = 6
+
+
 def luhn(digits: str) -> bool:
     total = sum(int(d) if i % 2 == 0 else (int(d) * 2 - 9 if d > "4" else int(d) * 2) for i, d in enumerate(reversed(digits)))
     return total % 10 == 0
 
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
-    """The replacement of a canonical value: characters keep their class; addresses and cards stay valid; names keep gender and script."""
+    """The replacement of a canonical value: characters keep their class; addresses and cards stay valid; names keep gender and script.
+
+    From attempt WIDEN on the format is taken to be full and grows: two letters or digits for each WIDEN attempts, for addresses other octets.
+    """
     stream = hmac.new(key, f"{kind}\x1f{value}\x1f{attempt}".encode(), hashlib.sha512).digest()
-    while len(stream) < 2 * len(value) + 16:
+    while len(stream) < 2 * len(value) + 16 + attempt:
         stream += hashlib.sha512(stream).digest()
     pick = lambda i, n: int.from_bytes(stream[2 * i : 2 * i + 2], "big") % n
     if kind.startswith("given_"):
@@ -103,6 +110,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "surname":
         syllables = SURNAME[script(value)]
         return "".join(syllables[pick(i, len(syllables))] for i in range(3 + attempt // 2))
+    if kind == "ip" and attempt >= WIDEN:
+        return ".".join(str(1 + pick(i, 254)) for i in range(4))
     if kind == "ip":
         return ".".join(str((1, 10, 100)[len(o) - 1] + pick(i, (9, 90, 155)[len(o) - 1])) for i, o in enumerate(value.split(".")))
 
@@ -120,9 +129,12 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     fixed = 4 if kind == "secret" and value.startswith("AKIA") else value.find(" ") + 1 or int(value.startswith("0")) if kind == "phone" else 0
     end = value.rfind(".") if kind == "email" else len(value)
     out = value[:fixed] + "".join(shift(i, c) for i, c in enumerate(value[fixed:end])) + value[end:]
-    if kind == "secret" and attempt >= 8:
-        # too few letters and digits to stay apart, as in a row of asterisks
-        out += "".join("abcdefghijklmnopqrstuvwxyz"[b % 26] for b in stream[-8:])
+    more = attempt // WIDEN
+    tail = lambda signs: "".join(signs[b % len(signs)] for b in stream[len(stream) - 2 * more :])
+    if more and kind == "email":
+        out = tail("abcdefghijklmnopqrstuvwxyz") + out
+    elif more:
+        out += tail("abcdefghijklmnopqrstuvwxyz" if kind == "secret" else "0123456789")
     if kind == "card" and luhn(value):
         out = next(out[:-1] + d for d in "0123456789" if luhn(out[:-1] + d))
     return out
@@ -132,16 +144,20 @@ def dress(kind: str, value: str, mention: str) -> str:
     """The surrogate in the format of this mention: its punctuation, country code and case."""
     if kind in ("phone", "card", "ssn"):
         digits = iter(re.sub(r"\D", "", value))
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        return "".join([*(next(digits) if c.isdigit() else c for c in mention), *digits])
     if kind == "surname" or kind.startswith("given_"):
         return value.upper() if mention.isupper() else value.capitalize()
-    return "".join(v.upper() if m.isupper() else v for v, m in zip(value, mention, strict=True)) if kind == "email" else value
+    if kind != "email":
+        return value
+    longer = len(value) - len(mention)
+    return value[:longer] + "".join(v.upper() if m.isupper() else v for v, m in zip(value[longer:], mention, strict=True))
 
 
-def resolve(found: DataFrame, key: bytes, scratch: Scratch, rounds: int = 30) -> DataFrame:
+def resolve(found: DataFrame, key: bytes, scratch: Scratch) -> DataFrame:
     """(kind, value, replacement) for the distinct entities: no two of a kind share a replacement, and none is another entity's value.
 
-    Of entities that collide the least keeps its replacement, the others take the next attempt; each round works on the open ones.
+    Of entities that collide the least keeps its replacement, the others take the next attempt; each round works on the open ones. A full
+    format grows (see surrogate), so rounds end. Only if more than 2**32 addresses are asked for is there an error.
     """
 
     def draw(attempt: int):
@@ -155,7 +171,7 @@ def resolve(found: DataFrame, key: bytes, scratch: Scratch, rounds: int = 30) ->
 
     everyone = scratch.keep(found.select("kind", "value").distinct(), "entities")
     left, settled = everyone, None
-    for attempt in range(rounds):
+    for attempt in range(1000):
         drawn = scratch.keep(left.mapInArrow(draw(attempt), "kind string, value string, replacement string"), f"drawn{attempt}")
         taken = everyone.select("kind", F.col("value").alias("replacement"))
         if settled is not None:
@@ -166,7 +182,7 @@ def resolve(found: DataFrame, key: bytes, scratch: Scratch, rounds: int = 30) ->
         left = scratch.keep(left.join(settled, ["kind", "value"], "left_anti"), f"left{attempt}")
         if left.isEmpty():
             return settled
-    raise RuntimeError("surrogates still collide; a format has too few values for its entities")
+    raise RuntimeError("there are more IP addresses than replacements")
 
 
 def replace(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,7 +192,8 @@ def replace(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str =
     behind password or token in any case, with = or : and with or without quotes; phones have a country code, an area code in
     brackets, a leading zero or the form ddd-ddd-dddd. Surrogates
     depend on the key, the type and the entity alone, but for collisions (see resolve). A null text stays null; an empty one empty.
-    Repeated rows: a row each; rows of one id need not have one text. An empty table gives no rows.
+    Repeated rows: a row each; rows of one id need not have one text. Very long texts are whole. Other columns, whatever their names, are
+    ignored. An empty table gives no rows.
     Returns doc_id, text, n_entities, kinds (sorted, joined by commas).
     """
     scratch = Scratch(docs.sparkSession)
@@ -186,16 +203,17 @@ def replace(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str =
     def detect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                out += [(k, s, e, kind, canonical(kind, value)) for s, e, kind, value in entities(text or "")]
-            types = (pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], names=["k", "s", "e", "kind", "value"])
-
-    keyed = source.withColumn("k", F.xxhash64("doc_id", "text"))
-    mentions = scratch.keep(keyed.select("k", "text").mapInArrow(detect, "k long, s int, e int, kind string, value string").distinct(), "mentions")
+            for k, k2, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                out += [(k, k2, s, e, kind, canonical(kind, value)) for s, e, kind, value in entities(text or "")]
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], names=["k", "k2", "s", "e", "kind", "value"])
+
+    # two hashes tell the texts apart: mentions and texts meet by both
+    keyed = source.withColumns({"k": F.xxhash64("doc_id", "text"), "k2": F.xxhash64(F.lit(2), "text", "doc_id")})
+    mentions = scratch.keep(keyed.select("k", "k2", "text").mapInArrow(detect, "k long, k2 long, s int, e int, kind string, value string").distinct(), "mentions")
     mapping = resolve(mentions, key, scratch)
-    spans = mentions.join(mapping, ["kind", "value"]).groupBy("k").agg(F.array_sort(F.collect_list(F.struct("s", "e", "kind", "replacement"))).alias("spans"))
-    joined = keyed.join(shuffled(spans), "k", "left").select("doc_id", "text", "spans")
+    spans = mentions.join(mapping, ["kind", "value"]).groupBy("k", "k2").agg(F.array_sort(F.collect_list(F.struct("s", "e", "kind", "replacement"))).alias("spans"))
+    joined = keyed.join(shuffled(spans), ["k", "k2"], "left").select("doc_id", "text", "spans")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
