@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, let, split_words
+from .common import BLANKS, Scratch, let, split_words
 
 FEATURES = ("n_words", "mean_chars", "symbol_ratio", "dup_line_ratio", "repeat_ratio")
 WINDOW = 8
@@ -83,7 +83,7 @@ def counts(rows: list[dict], conditions) -> tuple[int, int]:
 
 
 def learn(rows: list[dict], names=FEATURES, n_thresholds: int = 24, max_conditions: int = 3, max_rules: int = 8, precision: float = 0.95, support: int = 5) -> list[tuple[Condition, ...]]:
-    """Sequential covering: grow a conjunction by FOIL's gain on two thirds of the rows, prune its last conditions on the rest, and
+    """Sequential covering: grow a conjunction by FOIL's gain on two thirds of the rows, drop each condition without which it is no worse on the rest, and
     keep it if on both parts it is bad in at least ``precision`` of what it covers. Rows are dicts of the features and bad (0 or 1).
 
     Rows come in a seeded order; every third is for pruning. Without bad or without good rows there are no rules.
@@ -121,7 +121,11 @@ def learn(rows: list[dict], names=FEATURES, n_thresholds: int = 24, max_conditio
             p, n = counts(prune, conditions)
             return ((p - n) / (p + n) if p + n else -1.0, p)
 
-        rule = max((rule[:k] for k in range(len(rule), 0, -1)), key=worth)
+        while len(rule) > 1:
+            shorter = max((rule[:i] + rule[i + 1 :] for i in reversed(range(len(rule)))), key=worth)
+            if worth(shorter) < worth(rule):
+                break
+            rule = shorter
         (p, n), (pp, pn) = counts(grow, rule), counts(prune, rule)
         if p < precision * (p + n) or pp < precision * (pp + pn) or not pp:
             break
@@ -142,10 +146,14 @@ def decision(rules: list[tuple[Condition, ...]]) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, seed: int = 4, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> list[tuple[Condition, ...]]:
-    """Learn on at most ``max_labelled`` labelled documents, the first in a seeded order of the ids."""
+    """Learn on at most ``max_labelled`` labelled documents, the first in a seeded order of the ids. Only their texts are counted.
+
+    Null labels and ids are left out; repeated ids are rows of their own. Other columns of either table may have any name.
+    """
     drawn = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), (F.col(label_col) == 0).cast("int").alias("bad"))
     drawn = drawn.withColumn("_draw", F.xxhash64(F.lit(seed), "_id")).orderBy("_draw", "_id", "bad").limit(max_labelled)
     sample = docs.select(id_col, text_col).join(F.broadcast(drawn), F.col(id_col) == F.col("_id")).select(F.struct(id_col, "_draw", "bad").alias("_key"), F.col(text_col))
+    sample = Scratch(docs.sparkSession).keep(sample, "sample")  # else the optimizer counts all texts before it joins
     made = statistics(sample, "_key", text_col).withColumns(features()).where(~base_failed())
     rows = made.select(*FEATURES, F.col("doc_id.bad").alias("bad"), F.col("doc_id._draw").alias("_draw")).orderBy("_draw", *FEATURES, "bad").limit(2 * max_labelled)
     return learn([r.asDict() for r in rows.collect()])
@@ -154,7 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, seed: int
 def apply_rules(docs: DataFrame, rules: list[tuple[Condition, ...]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Statistics, base_failed, the number of the rule that fired, and kept.
 
-    Null or empty text: all counts 0, base_failed. Repeated rows: a row each. An empty table gives no rows.
+    Null or empty text: all counts 0, base_failed. Very long texts are whole. Repeated rows: a row each. Other columns, whatever their
+    names, are ignored. An empty table gives no rows.
     """
     made = statistics(docs, id_col, text_col).withColumn("base_failed", base_failed())
     made = made.withColumns(features()).withColumn("rule_fired", decision(rules))
