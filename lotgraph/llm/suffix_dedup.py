@@ -68,23 +68,15 @@ def pair(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def window_buckets(p: np.ndarray, start: np.ndarray, group: np.ndarray, length: int, q: int = 32) -> tuple[np.ndarray, np.ndarray]:
     """(windows, identifiers): windows that share their bucket with another after refinement to ``length`` bytes.
 
-    Level q: q-gram buckets. Each level doubles the depth by the identifiers at a later offset, the last one overlaps. Windows
-    alone in their bucket are settled and leave; identifiers of a level are reused by the next.
+    The first identifiers are those of the q-gram buckets. Each level pairs every position's identifier with that at a later offset, which
+    doubles the depth (the last level overlaps), and takes the identifiers of the level before as they are. Windows are sorted by
+    identifier at each level; those alone in their bucket are settled and leave.
     """
-    depth, ident = q, lambda s: rolling.spans(p, s, s + q)
-    levels = []
-    while depth < length:
-        step = min(depth, length - depth)
-        levels.append(step)
-        depth += step
-
-    def at(s: np.ndarray, level: int) -> np.ndarray:
-        return ident(s) if level == 0 else pair(at(s, level - 1), at(s + levels[level - 1], level - 1))
-
-    left = np.arange(len(start))
-    for level in range(len(levels) + 1):
-        key = pair(group[left], at(start[left], level))
-        order = np.argsort(key, kind="stable")
+    place = np.arange(max(len(p) - q, 0))
+    ident, depth, left = rolling.spans(p, place, place + q), q, np.arange(len(start))
+    while True:
+        key = pair(group[left], ident[start[left]])
+        order = np.argsort(key)
         k = key[order]
         alone = np.ones(len(k), bool)
         if len(k) > 1:
@@ -93,7 +85,11 @@ def window_buckets(p: np.ndarray, start: np.ndarray, group: np.ndarray, length:
             alone[:-1] &= ~same
         keep = np.sort(order[~alone])
         left, key = left[keep], key[keep]
-    return left, key
+        if depth == length or not len(left):
+            return left, key
+        step = min(depth, length - depth)
+        ident = pair(ident[: len(ident) - step], ident[step:])
+        depth += step
 
 
 def covered_windows(text: np.ndarray, offsets: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -130,11 +126,12 @@ def dedup(docs: DataFrame, length: int = 100, q: int = 32, id_col: str = "doc_id
        but the first window of a final bucket are repeats. Q-grams with more than LOCAL pieces are dealt out by window.
     Buckets are told apart by 64-bit hashes within equal 64-bit q-gram hashes.
     A null text is empty; texts shorter than ``length`` bytes stay whole; ids identify documents, a null id is the
-    smallest; repeated rows of one id are judged alike; an empty table gives no rows.
+    smallest; repeated rows of one id are judged alike; very long texts are whole, ties go to the smaller id and offset; other
+    columns are ignored, whatever their names; an empty table gives no rows.
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256.
     """
-    if length <= q:
-        raise ValueError("length must exceed q")
+    if not 0 < q < length or length - q > 65535:
+        raise ValueError("length must exceed q, by 65535 at most")
     spark = docs.sparkSession
     scratch, lowest = Scratch(spark), -(1 << 63)
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(lowest)).alias("doc"), F.col(text_col).alias("text"))
@@ -146,7 +143,7 @@ def dedup(docs: DataFrame, length: int = 100, q: int = 32, id_col: str = "doc_id
                 doc, g, whole, lo, more, off = anchors(data, offsets, q, length)
                 # What the chunk itself shows to be a later copy needs no partner: it goes to a group of its own, so that hot groups are combined before the shuffle.
                 d = ids[a:b][doc]
-                at = (lo << 16) | (more << 8) | off
+                at = (lo << 32) | (more << 16) | off
                 order = np.lexsort((at, d, whole, g))
                 later = np.zeros(len(order), bool)
                 x, y = order[1:], order[:-1]
@@ -162,7 +159,7 @@ def dedup(docs: DataFrame, length: int = 100, q: int = 32, id_col: str = "doc_id
     hot = not marks.where((F.col("kinds") > LOCAL) & ~F.col("copy")).isEmpty()
     del posted, ranked
 
-    run = lambda at: F.struct(F.shiftright(at, 16).alias("f"), (F.shiftright(at, 16) + F.shiftright(at, 8).bitwiseAND(255) + length).alias("t"))
+    run = lambda at: F.struct(F.shiftright(at, 32).alias("f"), (F.shiftright(at, 32) + F.shiftright(at, 16).bitwiseAND(65535) + length).alias("t"))
     by_doc = marks.groupBy("doc").agg(
         F.collect_set(F.when(F.col("copy"), run(F.col("at")))).alias("gone"),
         F.collect_set(F.when(~F.col("copy"), F.struct("g", "at", "kinds"))).alias("open"),
@@ -183,7 +180,7 @@ def dedup(docs: DataFrame, length: int = 100, q: int = 32, id_col: str = "doc_id
             for doc, text, opened in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 data = text.encode()
                 for o in opened:
-                    lo, more = o["at"] >> 16, (o["at"] >> 8) & 255
+                    lo, more = o["at"] >> 32, (o["at"] >> 16) & 65535
                     out.append((o["g"], o["kinds"], doc, lo, data[lo : lo + more + length]))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["g", "kinds", "doc", "lo", "piece"])
 
