@@ -187,3 +187,19 @@ def test_sharding(spark):
     assert sharding.byte_shards(docs(spark, []), 7).count() == 0 and len({x.shard for x in sharding.byte_shards(docs(spark, rows[:1]), 7).collect()}) == 1
 
 
+
+
+def test_pruning_drops_conditions_that_say_nothing():
+    r = random.Random(1)
+    rows = []
+    for _ in range(900):
+        row = {"n_words": r.randrange(20, 500), "mean_chars": r.random() * 10, "symbol_ratio": r.random(), "dup_line_ratio": r.random(), "repeat_ratio": r.random()}
+        rows.append({**row, "bad": int(row["mean_chars"] <= 3 and row["symbol_ratio"] >= 0.3)})
+    rules = quality_rules.learn(rows)
+    assert rules
+    for rule in rules:
+        for c in rule:  # no condition is implied by the others of its rule
+            others = [x for x in rule if x is not c]
+            assert not others or quality_rules.counts(rows, others) != quality_rules.counts(rows, rule)
+    fired = [any(all(c.holds(x) for c in rule) for rule in rules) for x in rows]
+    assert sum(f == bool(x["bad"]) for f, x in zip(fired, rows, strict=True)) >= 0.95 * len(rows)

@@ -40,11 +40,12 @@ def corpus(seed):
         t = rows[r.randrange(10)][1]
         k = r.randrange(len(t) + 1)
         rows.append((i, t if i % 2 else t[:k] + "#" + t[k:]))
+    rows += [(70 + i, t + "#" + t) for i, t in ((20, text(300)), (21, text(400)))]
     rows += [(80, None), (81, ""), (82, "short"), (83, "ab" * 400), (84, "é" * 300)]
     return rows
 
 
-@pytest.mark.parametrize(("length", "q", "local"), [(40, 12, 50_000), (100, 32, 50_000), (40, 12, 2)])
+@pytest.mark.parametrize(("length", "q", "local"), [(40, 12, 50_000), (100, 32, 50_000), (40, 12, 2), (400, 32, 50_000), (600, 32, 50_000)])
 def test_same_as_brute_force(spark, monkeypatch, length, q, local):
     monkeypatch.setattr(suffix_dedup, "LOCAL", local)
     rows = corpus(length)
@@ -59,3 +60,9 @@ def test_empty_table_and_repeated_rows(spark):
     got = suffix_dedup.dedup(spark.createDataFrame(rows, SCHEMA)).collect()
     assert len(got) == 3
     assert {r.n_removed for r in got if r.doc_id == 1} == {236}
+
+
+def test_refuses_what_it_cannot_hold(spark):
+    for length, q in ((32, 32), (100, 0), (70_000, 32)):
+        with pytest.raises(ValueError, match="length"):
+            suffix_dedup.dedup(spark.createDataFrame([], SCHEMA), length, q)

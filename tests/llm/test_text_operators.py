@@ -61,6 +61,21 @@ def test_language_held_out_and_edges(spark):
     assert {x.lang_pred for x in language_id.predict(df, none).collect()} == {"und"}
 
 
+def test_words_have_labels_of_their_own(spark):
+    rows, made = corpus()
+    model = language_id.fit(spark.createDataFrame(rows, SCHEMA), F.lit(True))
+    text = " ".join(made["de"][10:22] + made["fr"][10:22]) + "\n12 " + " ".join(made["en"][10:20])
+    df = spark.createDataFrame([(1, text, "", ""), (2, None, "", ""), (3, "12 -", "", "")], SCHEMA)
+    got = language_id.label_words(df, model).orderBy("line", "place").collect()
+    assert [(r.line, r.place, r.word) for r in got] == [(0, i, w) for i, w in enumerate(made["de"][10:22] + made["fr"][10:22])] + [(1, i, w) for i, w in enumerate(made["en"][10:20])]
+    assert np.mean([r.lang == want for r, want in zip(got, ["de"] * 12 + ["fr"] * 12 + ["en"] * 10, strict=True)]) > 0.9
+    assert {r.id for r in got} == {1} and all(0 < r.probability <= 1.000001 for r in got)
+    # the document's shares are the means of its words' marginals
+    tagger = language_id.Tagger(model)
+    n, total = tagger.tag([text])
+    assert n[0] == len(got) and np.isclose(total.sum(), len(got))
+
+
 def test_long_text_is_read_whole():
     tagger = language_id.Tagger(language_id.Field(["a"], np.zeros((language_id.BUCKETS, 1)), np.zeros((1, 1))), keep=10)
     n, total = tagger.tag(["word " * 30_000, None, "x\n\ny"])
@@ -97,6 +112,40 @@ def test_surrogates_keep_distinctness_and_coreference(spark):
     assert pii_surrogates.replace(spark.createDataFrame([], SCHEMA), b"key").count() == 0
 
 
+def test_full_formats(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.co" for a in letters for b in letters]
+    rows = [(i, f"write to {m} or {m.upper()} now", "", "") for i, m in enumerate(mails)]
+    got = pii_surrogates.replace(spark.createDataFrame(rows, SCHEMA).repartition(3), b"key").collect()
+    made = {}
+    for r in got:
+        lower, upper = re.fullmatch(r"write to (\S+) or (\S+) now", r.text).groups()
+        assert lower.lower() == upper.lower() and re.fullmatch(r"[a-z]+@[a-z]\.co", lower)
+        made[r.doc_id] = lower
+    assert len(set(made.values())) == 676 and not set(made.values()) & set(mails)
+
+
+def test_replaced_as_a_plain_version_does(spark):
+    r = random.Random(4)
+    parts = ["Mr Karl Maler", "Frau Anna Maler", "a.b@c.org", "10.0.0.7", "+49 (030) 555-7713", "078-05-1120", "plain words"]
+    rows = [(i, " ".join(r.choice(parts) for _ in range(r.randrange(6))), "", "") for i in range(60)]
+    got = {x.doc_id: x.text for x in pii_surrogates.replace(spark.createDataFrame(rows, SCHEMA), b"k").collect()}
+    seen = {(k, pii_surrogates.canonical(k, v)) for _, t, _, _ in rows for _, _, k, v in pii_surrogates.entities(t)}
+    made, left, attempt = {}, set(seen), 0
+    while left:  # one entity after the other, in rounds
+        drawn = {e: pii_surrogates.surrogate(b"k", *e, attempt) for e in left}
+        for e in sorted(left):
+            free = (e[0], drawn[e]) not in seen and (e[0], drawn[e]) not in {(k, v) for (k, _), v in made.items()}
+            if free:
+                made[e] = drawn[e]
+        left, attempt = left - set(made), attempt + 1
+    for i, text, _, _ in rows:
+        out, at = "", 0
+        for s, e, k, v in pii_surrogates.entities(text):
+            out, at = out + text[at:s] + pii_surrogates.dress(k, made[k, pii_surrogates.canonical(k, v)], v), e
+        assert got[i] == out + text[at:]
+
+
 def test_licenses(spark):
     r = random.Random(8)
     words = ["alpha", "beta", "licensed", "under", "the", "license", "work", "version"]
@@ -117,6 +166,45 @@ def test_licenses(spark):
     assert license_scan.scan(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_containment_by_brute_force(spark):
+    r = random.Random(9)
+    words = [f"t{i}" for i in range(12)]
+    listed = [(f"L{n}", " ".join(r.choice(words) for _ in range(n))) for n in (3, 5, 6, 9, 14, 23, 40)]
+
+    def grams(text, k):
+        w = re.findall(r"[a-z0-9]+", text.lower())
+        return [tuple(w[i : i + k]) for i in range(len(w) - k + 1)]
+
+    rows = []
+    for i in range(150):
+        parts = []
+        for _ in range(r.randrange(4)):
+            t = r.choice(listed)[1].split()
+            if r.random() < 0.5:
+                t[r.randrange(len(t))] = "other"
+            parts += [*t, *(r.choice(words) for _ in range(r.randrange(30)))]
+        rows.append((i, " ".join(parts), "", ""))
+    want = {}
+    for i, text, _, _ in rows:
+        found = set()
+        for name, template in listed:
+            k = min(5, len(template.split()))
+            t = set(grams(template, k))
+            m = 1 << (len(t) - 1).bit_length()
+            g = grams(text, k)
+            if any(len(t & set(g[s : s + 2 * m])) >= 0.8 * len(t) for s in range(0, max(len(g), 1), m)):
+                found.add(name)
+        want[i] = ",".join(sorted(found))
+    got = {x.doc_id: x.licenses for x in license_scan.scan(spark.createDataFrame(rows, SCHEMA), listed, probability=0.9999999).collect()}
+    assert got == want
+
+
+def test_licenses_of_odd_rows(spark):
+    rows = [(None, "Released under the MIT License.", "a"), (1, "Released under the MIT License.", "b"), (1, "Released under the MIT License.", "b"), (2, "w", "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, licenses string")
+    assert sorted((str(x.doc_id), x.licenses) for x in license_scan.scan(df).collect()) == [("1", "MIT"), ("1", "MIT"), ("2", ""), ("None", "MIT")]
+
+
 @pytest.mark.parametrize("similarity", [0.1, 0.3, 0.9])
 def test_bands_reach_the_probability(similarity):
     b = license_scan.n_bands(similarity, 0.999)
