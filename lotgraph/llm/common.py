@@ -143,12 +143,15 @@ def salted_join(rows: DataFrame, of: DataFrame, key: str, salt: str) -> DataFram
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Connected components of undirected edges (a, b): a row (node, component), component the least node.
 
-    Alternating large-star and small-star steps until nothing changes: minima by node are pre-aggregated, a hub's edges are
+    Alternating large-star and small-star steps until each node points at a root: minima by node are pre-aggregated, a hub's edges are
     dealt out in the joins. Each round is written to the shared folder.
     """
     edges = scratch.keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-0")
-    last = None
     for k in itertools.count(1):
+        ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+        moving = ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)")
+        if moving.isEmpty():
+            break
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = salted_join(both, least, "a", "b").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -157,8 +160,4 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         star = star.select(F.col("b").alias("a"), F.col("m").alias("b")).union(root.select("a", F.col("m").alias("b")))
         edges = scratch.keep(star.where("a <> b").distinct(), f"{name}-{k}")
         scratch.drop(f"{name}-{k - 1}")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == last:
-            break
-        last = now
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
