@@ -188,7 +188,7 @@ class Join:
         self.source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
 
     def measure(self) -> tuple[DataFrame, DataFrame]:
-        """(sized, open): each row's doc, n, h1, h2; and one document of each set that may have a partner, with its set.
+        """(sized, open): each row's doc, n, h1, h2; and s (a number), doc, n, grams of each set that may have a partner.
 
         One pass over the texts writes the digests, and the head of a set at its first appearance in a task. A set stays open if at least l
         shingles of its head are in other sets' heads. Sets are told apart by h1 here: only linked sets whose h1 collide would be lost.
@@ -244,25 +244,26 @@ class Join:
                     yield made.filter(pa.array(same.all(axis=0)))
 
         found = self.source.join(shuffled(maybe), "doc").select("doc", "n", "h1", "h2", "text").mapInArrow(gather, "doc long, n long, h1 long, h2 long, grams array<long>")
-        return sized, scratch.keep(found.dropDuplicates(["doc", "h1", "h2"]).select("doc", "n", "h1", "grams"), "open")
+        found = found.dropDuplicates(["doc", "h1", "h2"]).select(F.monotonically_increasing_id().alias("s"), "doc", F.col("n").cast("int").alias("n"), "grams")
+        return sized, scratch.keep(found, "open")
 
     def prefixes(self, sets: DataFrame, name: str) -> DataFrame:
-        """(token, doc, h1, n, comp): of each set the rarest shingles, n - T + 1 of them, without those that no set of another component has.
+        """(token, s, doc, n, comp): of each set the rarest shingles, n - T + 1 of them, without those that no set of another component has.
 
         Linked sets of different components share one: those with fewer than T such shingles have no rows.
         """
-        postings = sets.select("doc", "h1", "n", "comp", F.explode("grams").alias("token"))
-        lists = postings.groupBy("token").agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token", "df")
-        lists = self.scratch.keep(lists, f"lists-{name}")
-        own = Window.partitionBy("doc", "h1")
-        ranked = postings.join(lists, "token").withColumns({"c": F.count("*").over(own), "r": F.row_number().over(own.orderBy("df", "token"))})
-        out = ranked.where(F.col("r") <= F.col("c") - F.ceil(F.col("n") * self.percent / 100) + 1).select("token", "doc", "h1", "n", "comp")
-        out = self.scratch.keep(out, f"prefixes-{name}")
+        token = F.explode("grams").alias("token")
+        lists = sets.select("comp", token).groupBy("token").agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        lists = self.scratch.keep(lists.where("lo < hi").select("token", F.least("df", F.lit((1 << 31) - 1)).cast("int").alias("df")), f"lists-{name}")
+        own = Window.partitionBy("s")
+        ranked = sets.select("s", "n", token).join(lists, "token").withColumns({"c": F.count("*").over(own), "r": F.row_number().over(own.orderBy("df", "token"))})
+        ranked = ranked.where(F.col("r") <= F.col("c") - F.ceil(F.col("n") * self.percent / 100) + 1).select("token", "s")
+        out = self.scratch.keep(ranked.join(shuffled(sets.select("s", "doc", "n", "comp")), "s").select("token", "s", "doc", "n", "comp"), f"prefixes-{name}")
         self.scratch.drop(f"lists-{name}")
         return out
 
     def search(self, sets: DataFrame, tasks: DataFrame, every: bool = False) -> DataFrame:
-        """Links (a, b) between the sets that meet in a task. tasks: task, doc, h1, side, comp."""
+        """Links (a, b) between the sets that meet in a task. tasks: task, s, side, comp."""
         percent = self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +276,7 @@ class Join:
                 found = [x for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True) for x in divide_skip(ids[s:e], grams[s:e], side[s:e], percent, comp[s:e], every)]
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-        placed = tasks.join(sets.select("doc", "h1", "grams"), ["doc", "h1"]).select("task", "doc", "side", "comp", "grams")
+        placed = sets.select("s", "doc", "grams").join(shuffled(tasks), "s").select("task", "doc", "side", "comp", "grams")
         return placed.repartition(slices(self.spark), "task").sortWithinPartitions("task").mapInArrow(run, "a long, b long").distinct()
 
     def n_blocks(self) -> "F.Column":
@@ -290,77 +291,83 @@ class Join:
         return rows.join(classes, F.col("doc") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "doc")).drop("node", "component")
 
     def families(self, rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        """(small, large): doc, h1, n, comp, family of the sets that lists connect, by whether one task can search the family."""
-        lists = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("doc").alias("least")).where("lo < hi").select("token", "least")
-        edges = rows.join(lists, "token").select(F.col("doc").alias("a"), F.col("least").alias("b")).distinct()
+        """(tasks, large): tasks for the families of sets that lists connect, and s, n, comp, family, blocks of those that one task can't search."""
+        lists = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("s").alias("least")).where("lo < hi").select("token", "least")
+        edges = rows.join(lists, "token").select(F.col("s").alias("a"), F.col("least").alias("b")).distinct()
         found = self.scratch.keep(components(edges, self.scratch, f"families-{name}"), f"family-{name}")
-        sets = rows.select("doc", "h1", "n", "comp").distinct().join(found, F.col("doc") == F.col("node")).select("doc", "h1", "n", "comp", F.col("component").alias("family"))
-        sets = self.scratch.keep(sets, f"members-{name}")
+        sets = rows.select("s", "n", "comp").distinct().join(found, F.col("s") == F.col("node")).select("s", "n", "comp", F.col("component").alias("family"))
         sizes = sets.groupBy("family").agg(self.n_blocks().alias("blocks"))
-        sets = self.scratch.keep(sets.join(sizes, "family"), f"sized-{name}")
-        return sets.where("blocks = 1"), sets.where("blocks > 1")
-
-    def hub_tasks(self, rows: DataFrame, turn: int) -> DataFrame:
-        """Tasks in which the documents of a list that aren't connected with its hub meet it. The hub is drawn anew each turn, by one order
-        for all lists, so that lists of like documents have one hub; its documents are dealt out in blocks."""
-        hub = F.min(F.struct(F.xxhash64(F.lit(turn), "doc", "h1").alias("draw"), "doc", "h1", "n", "comp")).alias("hub")
+        sets = self.scratch.keep(sets.join(sizes, "family"), f"members-{name}")
+        tasks = sets.where("blocks = 1").select(F.xxhash64("family").alias("task"), "s", F.lit(2).alias("side"), "comp")
+        return tasks, sets.where("blocks > 1")
+
+    def hub_tasks(self, rows: DataFrame) -> DataFrame:
+        """Tasks in which the sets of a list meet its hub, the first by one random order for all lists, so that lists of like documents
+        have one hub; its sets are dealt out in blocks."""
+        hub = F.min(F.struct(F.xxhash64(F.lit(1), "s").alias("draw"), "s", "n", "comp")).alias("hub")
         lists = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), hub).where("lo < hi").select("token", "hub")
         fits = 100 * F.least("n", "hub.n") >= self.percent * F.greatest("n", "hub.n")
-        pairs = rows.join(lists, "token").where((F.col("comp") != F.col("hub.comp")) & fits).select("hub", "doc", "h1", "n", "comp").distinct()
-        pairs = self.scratch.keep(pairs, f"pairs{turn}")
+        pairs = rows.join(lists, "token").where((F.col("comp") != F.col("hub.comp")) & fits).select("hub", "s", "n", "comp").distinct()
+        pairs = self.scratch.keep(pairs, "pairs")
         sizes = pairs.groupBy("hub").agg(self.n_blocks().alias("blocks"))
-        dealt = pairs.join(sizes, "hub").withColumn("task", F.xxhash64("hub.doc", "hub.h1", F.pmod(F.xxhash64("doc", "h1"), "blocks")))
+        dealt = pairs.join(sizes, "hub").withColumn("task", F.xxhash64("hub.s", F.pmod(F.xxhash64("s"), "blocks")))
         copies = sizes.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-        ends = copies.select(F.xxhash64("hub.doc", "hub.h1", "block").alias("task"), "hub.doc", "hub.h1", F.lit(0).alias("side"), "hub.comp")
-        return dealt.select("task", "doc", "h1", F.lit(1).alias("side"), "comp").union(ends)
-
-    def list_tasks(self, rows: DataFrame) -> DataFrame:
-        """Tasks in which all documents of a list meet that aren't connected. Lists of the same documents are one.
+        ends = copies.select(F.xxhash64("hub.s", "block").alias("task"), "hub.s", F.lit(0).alias("side"), "hub.comp")
+        return dealt.select("task", "s", F.lit(1).alias("side"), "comp").union(ends)
 
-        The list's largest component needs no comparison within itself: the other documents, in blocks, meet it and each other, block by block.
+    def list_tasks(self, rows: DataFrame, families: DataFrame | None = None) -> DataFrame:
+        """Tasks in which all documents of a list meet that aren't connected. Lists of the same documents are one. If ``families`` are given, one
+        whose lists hold its sets more often than blocks of it would is dealt out as if it were a list.
         """
-        mark = lambda salt: F.sum(F.xxhash64(F.lit(salt), "doc", "h1").cast("decimal(38,0)")).alias(f"m{salt}")
+        mark = lambda salt: F.sum(F.xxhash64(F.lit(salt), "s").cast("decimal(38,0)")).alias(f"m{salt}")
         lists = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), mark(1), mark(2), F.count("*").alias("size")).where("lo < hi")
         single = lists.groupBy("m1", "m2", "size").agg(F.min("token").alias("token")).select("token")
         live = self.scratch.keep(rows.join(single, "token"), "live")
-        count = live.groupBy("token", "comp").agg(F.count("*").alias("size"), self.n_blocks().alias("b"), F.sum("n").alias("n"))
+        grouped = live.select(F.xxhash64(F.lit("list"), "token").alias("key"), "s", "n", "comp")
+        if families is not None:
+            held = live.join(families.select("s", "family"), "s").groupBy("family").agg(F.sum("n").alias("held"))
+            whole = families.groupBy("family").agg((F.sum("n") * F.max("blocks")).alias("whole")).join(held, "family").where("whole <= held").select("family")
+            whole = self.scratch.keep(families.join(whole, "family").select(F.xxhash64(F.lit("family"), "family").alias("key"), "s", "n", "comp"), "whole")
+            grouped = grouped.join(whole.select("s"), "s", "left_anti").select("key", "s", "n", "comp").union(whole)
+        return self.group_tasks(grouped)
+
+    def group_tasks(self, rows: DataFrame) -> DataFrame:
+        """Tasks in which all sets of a group (key) meet that aren't connected.
+
+        The largest component needs no comparison within itself: the other sets, in blocks, meet it and each other, block by block.
+        """
+        count = rows.groupBy("key", "comp").agg(F.count("*").alias("size"), self.n_blocks().alias("b"), F.sum("n").alias("n"))
         least = F.greatest(F.ceil((F.sum("size") - F.max("size")) / BLOCK), F.ceil((F.sum("n") - F.max_by("n", F.struct("size", "comp"))) / BLOCK_SHINGLES)).cast("long")
-        plan = count.groupBy("token").agg(F.max_by("comp", F.struct("size", "comp")).alias("mass"), F.max_by("b", F.struct("size", "comp")).alias("major"), F.greatest(F.lit(1).cast("long"), least).alias("minor"))
-        dealt = live.join(plan, "token").withColumn("draw", F.xxhash64("doc", "h1"))
+        plan = count.groupBy("key").agg(F.max_by("comp", F.struct("size", "comp")).alias("mass"), F.max_by("b", F.struct("size", "comp")).alias("major"), F.greatest(F.lit(1).cast("long"), least).alias("minor"))
+        dealt = rows.join(plan, "key").withColumn("draw", F.xxhash64("s"))
         small = F.col("comp") != F.col("mass")
         dealt = dealt.withColumn("i", F.when(small, F.pmod("draw", "minor")).otherwise(F.col("minor") + F.pmod("draw", "major")))
         last = F.when(small, F.col("minor") + F.col("major")).otherwise(F.col("minor")) - 1
         dealt = dealt.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), last)))
         side = F.when(F.col("i") == F.col("j"), 2).when(F.col("i") < F.col("j"), 0).otherwise(1)
-        return dealt.select(F.xxhash64("token", F.least("i", "j"), F.greatest("i", "j")).alias("task"), "doc", "h1", side.alias("side"), "comp")
+        return dealt.select(F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("task"), "s", side.alias("side"), "comp")
 
-    def classes(self, sets: DataFrame, turns: int = 2) -> DataFrame | None:
+    def classes(self, sets: DataFrame) -> DataFrame | None:
         """(node, component) over the documents with links; None without any.
 
         Families that one task can hold are searched whole at once. In larger ones each list's documents meet its hub; the lists of those
-        that aren't connected then are made anew, and have smaller families. What is left is searched list by list.
+        that aren't connected then are made anew, without what is connected. Their families are searched whole, in blocks, or list by list.
         """
         scratch = self.scratch
-        links, classes, now = None, None, sets
-        for turn in range(1, turns + 1):
-            rows = self.prefixes(self.with_component(now, classes), str(turn))
-            small, large = self.families(rows, str(turn))
-            whole = small.select(F.xxhash64("family").alias("task"), "doc", "h1", F.lit(2).alias("side"), "comp")
-            left = not large.isEmpty()
-            if left:
-                large = large.select("doc", "h1")
-                rows, now = (scratch.keep(x.join(large, ["doc", "h1"], "left_semi"), f"{name}{turn}") for x, name in ((rows, "rows"), (now, "now")))
-                whole = whole.union(self.hub_tasks(rows, turn))
-            new = scratch.keep(self.search(sets, whole), f"links{turn}")
+        rows = self.prefixes(self.with_component(sets, None), "all")
+        tasks, large = self.families(rows, "all")
+        left = not large.isEmpty()
+        if left:
+            tasks = tasks.union(self.hub_tasks(scratch.keep(rows.join(large.select("s"), "s", "left_semi"), "rows")))
+        links = scratch.keep(self.search(sets, tasks), "links")
+        classes = None if links.isEmpty() else scratch.keep(components(links, scratch, "hubs"), "hubs")
+        if left:
+            now = scratch.keep(sets.join(large.select("s"), "s", "left_semi"), "large")
+            rows = self.prefixes(self.with_component(now, classes), "left")
+            tasks, large = self.families(rows, "left")
+            new = scratch.keep(self.search(now, tasks.union(self.list_tasks(rows.join(large.select("s"), "s", "left_semi"), large))), "more")
             if not new.isEmpty():
-                links = new if links is None else links.union(new)
-                classes = scratch.keep(components(links, scratch, f"links{turn}"), f"classes{turn}")
-            if not left:
-                return classes
-        rows = self.prefixes(self.with_component(now, classes), "left")
-        new = scratch.keep(self.search(now, self.list_tasks(rows)), "links")
-        if not new.isEmpty():
-            classes = scratch.keep(components(new if links is None else links.union(new), scratch, "links"), "classes")
+                classes = scratch.keep(components(links.union(new), scratch, "classes"), "classes")
         return classes
 
 
