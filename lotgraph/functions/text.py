@@ -123,7 +123,12 @@ def compact(value: Column) -> Column:
 
 def company_names(value: Column, strict: bool = False) -> Column:
     """Distinct organisation names in order of appearance."""
-    text = F.replace(nfkc(blank_to_empty(value)), F.lit(" "), F.lit(""))
+    return names_in(nfkc(blank_to_empty(value)), strict)
+
+
+def names_in(value: Column, strict: bool = False) -> Column:
+    """company_names of a text that is in NFKC already; fit for higher-order functions."""
+    text = F.replace(value, F.lit(" "), F.lit(""))
     found = F.transform(F.regexp_extract_all(text, F.lit(COMPANY), F.lit(0)), plain_company)
     if strict:
         found = F.transform(found, strict_company)

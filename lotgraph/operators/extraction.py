@@ -5,12 +5,15 @@ Every rule is a filter, a window or an aggregate over the lines table, so Spark
 
 from __future__ import annotations
 
+import inspect
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.documents import award_from_path, stem
 from ..functions.text import clean, code_and_lot, compact, company_names, fold_brackets, has_any, no_space
 from . import pages as P
+from . import score_table
 from .keys import PASSED, REVIEW
 
 #: Labels of the fields in documents.
@@ -24,6 +27,9 @@ STOPS = ("招标人名称", "招标人", "招标代理", "代理机构", "建设
 UNIT_HEADERS = ("单位名称", "投标单位名称", "投标人名称", "投标单位")
 LIST_HEADERS = ("序号", *UNIT_HEADERS, "投标联系人", "联系人", "联系方式", "投标时间")
 RANKING, RECOMMENDED, CANDIDATES = "投标人排序", "推荐的中标候选人", "中标候选人公示"
+#: Words of a web page around a title, and what may follow it.
+TITLE_CHROME = ("首页", "交易分类", "信息发布时间", "阅读次数", "我要打印", "关闭", "用户登录")
+TITLE_TAILS = ("用户登录", "交易平台", "曝光台", "用", "户", "登", "录", "交", "易", "平", "台", "曝", "光")
 WINNER_PAGES = ("中标通知书", "成交通知书", RECOMMENDED)
 PARTICIPANT_PAGES = ("招投标情况书面报告", "招投标基本情况报告", "原件确认签收表", "项目负责人答辩评分表", "按时送达投标文件的投标人名单")
 A_CODE = r"[A-Za-z0-9][A-Za-z0-9_\-/]{5,}"
@@ -86,9 +92,9 @@ def bidder_lines(lines: DataFrame) -> DataFrame:
 
 
 def explicit(lines: DataFrame, labels, strict: bool = False) -> DataFrame:
-    """(doc_path, winner...): the first organisation on a line with one of the labels."""
+    """(doc_path, winner...): the first organisation on a line with one of the labels, or on one that ends with a colon."""
     c = compact(F.col("text"))
-    found = occurrences(lines.where(has_any(c, labels)), strict)
+    found = occurrences(lines.where(has_any(c, labels) | F.regexp_like(clean(F.col("text")), F.lit("[:：]$"))), strict)
     return found.where("place = 1").drop("place")
 
 
@@ -170,18 +176,49 @@ def bid_evaluation_report(lines: DataFrame) -> DataFrame:
     return records(found, lines, meta.drop("value"), unknown_needs_review=True)
 
 
-def bid_candidates(lines: DataFrame) -> DataFrame:
-    """Listed candidates; the one said to win, else the first. The project is the title before the publication's name."""
-    c = compact(F.col("text"))
-    listed = occurrences(bidder_lines(lines))
+def title_project(lines: DataFrame) -> DataFrame:
+    """(doc_path, project_name): the title before the publication's name, among the first page's first 40 lines; on one line, or else on two.
+
+    A title that goes on from another candidate has residue of the layout and goes; then one line before two, and the nearest to a code's label.
+    """
+    first = Window.partitionBy("doc_path")
+    rows = lines.withColumn("_p", F.min("page_number").over(first)).where(F.col("page_number") == F.col("_p")).where(clean(F.col("text")) != "")
+    rows = rows.withColumn("_n", F.row_number().over(first.orderBy("line"))).where("_n <= 40").withColumn("c", compact(F.col("text")))
+    codes = rows.groupBy("doc_path").agg(F.collect_list(F.when(has_any(F.col("c"), [compact_word(x) for x in CODE]), F.col("_n"))).alias("codes"))
+    squeeze = lambda x: F.regexp_replace(no_space(x), "^[ ：:，,。]+|[ ：:，,。]+$", "")
+    printed = lambda x: F.regexp_replace(squeeze(F.regexp_replace(x, r"^\s*\d{4}/\d{1,2}/\d{1,2}\s+\d{1,2}:\d{2}\s*", "")), r"^\d{4}/\d{1,2}/\d{1,2}\d{1,2}:\d{2}(?=\D|$)", "")
+    follows = F.lead("text").over(first.orderBy("_n"))
+    rows = rows.withColumn("next", follows).withColumn("own", squeeze(F.col("text"))).join(codes, "doc_path")
+    joined = F.when(~F.contains("own", F.lit(CANDIDATES)) & (F.length("own") > 1) & F.col("next").isNotNull(), printed(F.concat_ws("\n", "text", "next")))
+    both = F.filter(F.array(F.struct(F.lit(0).alias("two"), printed(F.col("text")).alias("t")), F.struct(F.lit(1).alias("two"), joined.alias("t"))), lambda x: F.contains(x["t"], F.lit(CANDIDATES)))
+    made = rows.select("doc_path", "_n", "codes", F.explode(both).alias("z")).select(
+        "doc_path", "_n", "codes", "z.two", F.substring_index("z.t", CANDIDATES, 1).alias("body"), squeeze(F.regexp_replace("z.t", f"^.*?{CANDIDATES}", "")).alias("tail"))
+    plain = (F.col("tail") == "") | F.col("tail").isin(*TITLE_TAILS) | F.regexp_like("tail", F.lit("^[（(]二次[）)]$"))
+    fits = (F.length(squeeze(F.col("body"))) >= 6) & F.regexp_like("body", F.lit("[一-鿿]")) & ~F.contains("body", F.lit(">")) & ~has_any(F.col("body"), TITLE_CHROME)
+    gap = F.coalesce(F.array_min(F.transform("codes", lambda x: F.abs(x - F.col("_n")))), F.lit(1000))
+    bodies = made.where(plain & fits).groupBy("doc_path", "body").agg(F.min(F.struct("two", gap.alias("gap"))).alias("at"))
+    others = bodies.select("doc_path", F.col("body").alias("shorter"))
+    residue = bodies.join(others, "doc_path").where((F.col("body") != F.col("shorter")) & F.startswith("body", "shorter")).select("doc_path", "body").distinct()
+    best = bodies.join(residue, ["doc_path", "body"], "left_anti")
+    return best.groupBy("doc_path").agg(F.min_by("body", F.struct("at", F.length("body"))).alias("project_name"))
+
+
+def compact_word(word: str) -> str:
+    """A label as compact() leaves it."""
+    return word.translate({ord(c): None for c in "()（）"})
+
+
+def bid_candidates(lines: DataFrame, pages: DataFrame) -> DataFrame:
+    """The score table's companies; the one said to win, else the first, won. Records without a title are to be reviewed."""
+    listed = score_table.occurrences(lines, pages)
     said = explicit(lines, ("拟定中标人", "第一中标候选人")).select("doc_path", F.col("name_key").alias("_said"))
     first = listed.where("place = 1").select("doc_path", F.col("name_key").alias("_first"))
     found = listed.join(said, "doc_path", "left").join(first, "doc_path", "left").withColumn("_won", F.coalesce("_said", "_first"))
     found = found.withColumns({"award_status": F.when(F.col("name_key") == F.col("_won"), "是").otherwise("否"), "rank": F.when(F.col("name_key") == F.col("_won"), "1").otherwise(F.col("place").cast("string"))}).drop("_won", "_said", "_first")
-    titles = lines.where(F.contains(c, F.lit(CANDIDATES))).withColumn("_t", F.regexp_replace(F.substring_index(no_space(clean(F.col("text"))), CANDIDATES, 1), r"^\d{4}/\d{1,2}/\d{1,2}\d{1,2}:\d{2}", ""))
-    titles = titles.where((F.length("_t") >= 6) & F.regexp_like("_t", F.lit("[一-鿿]")) & ~F.contains("_t", F.lit(">"))).groupBy("doc_path").agg(F.min_by("_t", F.struct(*ORDER)).alias("project_name"))
-    meta = metadata(lines).drop("project_name").join(titles, "doc_path", "left").withColumn("_s", code_and_lot(F.col("project_code")))
-    return records(found, lines, meta.select("doc_path", "project_name", F.col("_s.project").alias("project_code"), F.col("_s.lot").alias("lot_code"), "lot_name"))
+    meta = metadata(lines).drop("project_name").join(title_project(lines), "doc_path", "left").withColumn("_s", code_and_lot(F.col("project_code")))
+    made = records(found, lines, meta.select("doc_path", "project_name", F.col("_s.project").alias("project_code"), F.col("_s.lot").alias("lot_code"), "lot_name"))
+    untitled = F.left(F.concat(F.lit("未识别到首页中标候选人公示标题；"), F.col("evidence")), F.lit(300))
+    return made.withColumn("evidence", F.when(F.col("project_name") == "", untitled).otherwise(F.col("evidence")))
 
 
 def archive_info(lines: DataFrame) -> DataFrame:
@@ -226,7 +263,8 @@ def extract(pages: DataFrame, categories=None, registry=None) -> DataFrame:
         raise ValueError(f"unknown categories: {sorted(unknown)}")
     rows, out = P.lines(pages), None
     for name in wanted:
-        made = registry[name](rows.where(F.col("category") == name))
+        plan, own = registry[name], rows.where(F.col("category") == name)
+        made = plan(own, pages.where(F.col("category") == name)) if len(inspect.signature(plan).parameters) > 1 and "pages" in inspect.signature(plan).parameters else plan(own)
         out = made if out is None else out.unionByName(made)
     return out
 

@@ -19,12 +19,13 @@ def centre(bbox: Column, axis: int) -> Column:
 
 
 def lines(pages: DataFrame) -> DataFrame:
-    """One row for each line: number, text, confidence (1 for native text), centre x and y, height."""
-    rows = pages.select("doc_path", "category", "page_number", "method", F.posexplode("lines").alias("line", "l"))
-    height = F.array_max(F.transform("l.bbox", lambda p: p[1])) - F.array_min(F.transform("l.bbox", lambda p: p[1]))
+    """One row for each line: number, text, confidence (1 for native text) and the page's, whether it has a box, centre x and y, height, bottom."""
+    rows = pages.select("doc_path", "category", "page_number", "method", page_confidence(F.col("method"), F.col("lines")).alias("page_confidence"), F.posexplode("lines").alias("line", "l"))
+    ys = F.transform("l.bbox", lambda p: p[1])
     return rows.select(
-        "doc_path", "category", "page_number", "method", "line", F.col("l.text").alias("text"), F.when(F.col("method") == "ocr", F.col("l.confidence")).otherwise(1.0).alias("confidence"),
-        centre(F.col("l.bbox"), 0).alias("x"), centre(F.col("l.bbox"), 1).alias("y"), F.greatest(F.coalesce(height, F.lit(0.0)), F.lit(1.0)).alias("height"),
+        "doc_path", "category", "page_number", "method", "page_confidence", "line", F.col("l.text").alias("text"), F.when(F.col("method") == "ocr", F.col("l.confidence")).otherwise(1.0).alias("confidence"),
+        (F.coalesce(F.size("l.bbox"), F.lit(0)) > 0).alias("boxed"), centre(F.col("l.bbox"), 0).alias("x"), centre(F.col("l.bbox"), 1).alias("y"),
+        F.greatest(F.coalesce(F.array_max(ys) - F.array_min(ys), F.lit(0.0)), F.lit(3.0)).alias("height"), F.coalesce(F.array_max(ys), F.lit(0.0)).alias("bottom"),
     )
 
 

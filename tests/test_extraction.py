@@ -30,11 +30,41 @@ def test_announcement_takes_labelled_lot(spark):
 
 
 def test_candidates_and_low_confidence(spark):
-    got = run(spark, "bid_candidates", (["某县水利整治工程中标候选人公示", "甲水利工程有限公司", "第一中标候选人：乙水利工程有限公司"], {"method": "ocr", "confidence": 0.5}))
+    got = run(spark, "bid_candidates", (["某县水利整治工程中标候选人公示", "所有投标人得分汇总表", "序号 投标人名称 排名", "1 甲水利工程有限公司", "2 乙水利工程有限公司", "六、拟定中标人：乙水利工程有限公司"], {"method": "ocr", "confidence": 0.5}))
     assert [(r["company_name"], r["award_status"], r["rank"], r["review_status"]) for r in got] == [("甲水利工程有限公司", "否", "1", "待复核"), ("乙水利工程有限公司", "是", "1", "待复核")]
     assert {r["project_name"] for r in got} == {"某县水利整治工程"}
 
 
+def test_only_the_score_table(spark):
+    one = (["某县农田建设项目中标候选人公示", "投标人名称：丙水利工程有限公司", "五、所有投标人得分汇总表："], {})
+    two = (["序号 投标人名称 排名", "1 甲建设有限公司 1", "东县水利电力建筑工程有限责任公      户", "2 18911593.93 2", "司      录", "六、拟定中标人：甲建设有限公司", "征询：丁农业发展有限公司"], {})
+    got = run(spark, "bid_candidates", one, two)
+    assert [(r["company_name"], r["award_status"], r["rank"]) for r in got] == [("甲建设有限公司", "是", "1"), ("东县水利电力建筑工程有限责任公司", "否", "2")]
+
+
+def test_cells_by_position(spark):
+    first = ["某标准农田建设项目施工中标候选人公", "示交", "五、所有投标人得分汇总表：", "序号", "投标人名称", "投标报价", "1", "甲市澄利建设有限公司", "2", "乙市宏大建设工程有限", "公司"]
+    at = [(500, 40), (500, 65), (300, 100), (100, 150), (300, 150), (500, 150), (100, 220), (300, 220), (100, 310), (300, 300), (300, 312)]
+    second = ["丙滨海水利建筑工程有", "限公司", "丁市水利工程有限公司", "六、拟定中标人：甲市澄利建设有限公司"]
+    got = run(spark, "bid_candidates", (first, {"method": "ocr", "at": at}), (second, {"method": "ocr", "at": [(300, 100), (300, 112), (300, 230), (300, 400)]}))
+    assert [r["company_name"] for r in got] == ["甲市澄利建设有限公司", "乙市宏大建设工程有限公司", "丙滨海水利建筑工程有限公司", "丁市水利工程有限公司"]
+    assert got[0]["project_name"] == "某标准农田建设项目施工中标候选人公示交"[:11] and [r["rank"] for r in got] == ["1", "2", "3", "4"]
+
+
+def test_columns_of_the_text_layer(spark):
+    layout = ["某县水利整治工程中标候选人公示", "五、所有投标人得分汇总表：", "序号    投标人名称            投标报价", "        甲水利建设工程有限", " 1                            100.00", "        公司", " 2      乙水利有限公司        99.00", "六、拟定中标人：甲水利建设工程有限公司"]
+    doc = list(page("d/n.pdf", "bid_candidates", 1, layout))
+    doc[6] = "\n".join(layout)
+    doc[8] = [("甲水利建设工程有限", 1.0, [[80.0, 700.0]]), ("公司", 1.0, [[80.0, 680.0]])]
+    got = extraction.extract(spark.createDataFrame([tuple(doc)], pages.PAGES), ["bid_candidates"]).orderBy("place").collect()
+    assert [(r.company_name, r.award_status, r["rank"]) for r in got] == [("甲水利建设工程有限公司", "是", "1"), ("乙水利有限公司", "否", "2")]
+
+
+def test_without_a_title(spark):
+    (r,) = run(spark, "bid_candidates", (["项目名称：表头中的项目名称", "第一中标候选人：甲建设有限公司"], {}))
+    assert (r["project_name"], r["company_name"], r["review_status"]) == ("", "", "待复核") and "标题" in r["evidence"]
+
+
 def test_evaluation_report(spark):
     got = run(spark, "bid_evaluation_report", (["工程名称", "投标人排序表"], {"at": [(5, 5), (5, 50)]}), (["1 甲建设有限公司", "2 乙建设有限公司", "推荐的中标候选人", "第一名", "乙建设有限公司"], {}))
     assert [(r["company_name"], r["award_status"], r["rank"]) for r in got] == [("甲建设有限公司", "否", "1"), ("乙建设有限公司", "是", "2")]
