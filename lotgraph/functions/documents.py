@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .display import without_label, without_stamp
 from .text import clean, compact, has_any, no_space, readable
 
 #: File names by category, in order of precedence.
@@ -83,8 +84,14 @@ def needs_ocr(text: Column) -> Column:
     return (F.length(no_space(clean(text))) < 30) | (cover_marks(text) == 0)
 
 
+def bare_name(name: Column) -> Column:
+    """A name without seals, labels and spaces."""
+    return without_label(without_stamp(name))
+
+
 def complete_company(name: Column) -> Column:
-    return F.regexp_like(no_space(clean(name)), F.lit("(?:" + "|".join(w for w, _ in ENDING_SCORES) + ")$"))
+    """The name ends like an organisation's; the plain ending for companies is no proof."""
+    return F.regexp_like(bare_name(name), F.lit("(?:" + "|".join(w for w, _ in ENDING_SCORES if w != "公司") + ")$"))
 
 
 def fragmented(text: Column, mean_score: Column, company: Column) -> Column:
@@ -96,7 +103,7 @@ def cover_score(text: Column, mean_score: Column, company: Column) -> Column:
 
 
 def company_score(name: Column, confidence: Column) -> Column:
-    n = no_space(clean(name))
+    n = bare_name(name)
     ending = F.lit(0.0)
     for word, score in reversed(ENDING_SCORES):
         ending = F.when(n.endswith(word), score).otherwise(ending)

@@ -26,7 +26,9 @@ BIDDERS = ("投标人", "中标人", "中标单位")
 STOPS = ("招标人名称", "招标人", "招标代理", "代理机构", "建设单位", "采购人", "监督部门", "中标人", "中标单位", "中标总价", "中标工期", "项目负责人", "日期")
 UNIT_HEADERS = ("单位名称", "投标单位名称", "投标人名称", "投标单位")
 LIST_HEADERS = ("序号", *UNIT_HEADERS, "投标联系人", "联系人", "联系方式", "投标时间")
-RANKING, RECOMMENDED, CANDIDATES = "投标人排序", "推荐的中标候选人", "中标候选人公示"
+RANKING, RECOMMENDED, CANDIDATES, BASIC_FACTS = "投标人排序及推荐的中标候选人", "推荐的中标候选人", "中标候选人公示", "基本情况一览表"
+PROJECT_WORDS = ("项目", "工程", "施工", "监理", "采购")
+FACT_LABELS = ("工程名称", "招标范围", "开标时间", "开标地点", "评标时间", "评标地点")
 #: Words of a web page around a title, and what may follow it.
 TITLE_CHROME = ("首页", "交易分类", "信息发布时间", "阅读次数", "我要打印", "关闭", "用户登录")
 TITLE_TAILS = ("用户登录", "交易平台", "曝光台", "用", "户", "登", "录", "交", "易", "平", "台", "曝", "光")
@@ -156,24 +158,76 @@ def bid_list(lines: DataFrame, threshold: float = 0.8) -> DataFrame:
     return records(found, lines, meta, threshold)
 
 
-def bid_evaluation_report(lines: DataFrame) -> DataFrame:
-    """Bidders between the ranking's title and the recommendation, ranked as listed; the first organisation after the recommendation won."""
+def _marked(c: Column, marker: str) -> Column:
+    """The line has the marker, or begins it, as when recognition broke it."""
+    return F.contains(c, F.lit(marker)) | ((F.length(c) >= 4) & F.startswith(F.lit(marker), c))
+
+
+def ranking_pages(lines: DataFrame, pages: DataFrame) -> DataFrame:
+    """(doc_path, page_number, title_y, rec_y): the first page with the ranking's title, companies and a table (there or on the next two pages), and
+    its continuation up to the recommendation or a page with neither companies nor table."""
     c = compact(F.col("text"))
-    ranking = P.block(lines, ["doc_path"], list(ORDER), F.contains(c, F.lit(RANKING)), F.contains(c, F.lit(RECOMMENDED)) & ~F.contains(c, F.lit(RANKING)))
-    after = Window.partitionBy("doc_path").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    told = lines.withColumn("_t", F.max(F.contains(c, F.lit(RANKING)).cast("int")).over(after)).withColumn("_s", F.max(((F.col("_t") == 1) & F.contains(c, F.lit(RECOMMENDED)) & ~F.contains(c, F.lit(RANKING))).cast("int")).over(after))
-    won = occurrences(told.where("_s = 1").select(*lines.columns)).where("place = 1")
-    listed = occurrences(ranking)
+    page = Window.partitionBy("doc_path", "page_number")
+    heights = lines.withColumn("title_y", F.max(F.when(_marked(c, RANKING), F.col("y"))).over(page)).groupBy("doc_path", "page_number").agg(
+        F.max("title_y").alias("title_y"), F.min(F.when(_marked(c, RECOMMENDED) & (F.col("y") > F.coalesce("title_y", F.lit(float("-inf"))) + 1), F.col("y"))).alias("rec_y"))
+    known = pages.select("doc_path", "page_number", F.contains(c, F.lit(RANKING)).alias("title"), (F.size(company_names(F.col("text"))) > 0).alias("named"), F.contains(c, F.lit("投标人名称")).alias("column"), F.contains(c, F.lit(RECOMMENDED)).alias("told"))
+    rows = known.join(heights, ["doc_path", "page_number"], "left").withColumn("table", F.col("column") | F.col("rec_y").isNotNull())
+    order = Window.partitionBy("doc_path").orderBy("page_number")
+    ahead = lambda k: F.coalesce(F.lead(F.col("named") & F.col("table"), k).over(order), F.lit(False))
+    begins = F.col("title") & F.col("named") & (F.col("table") | ahead(1) | ahead(2))
+    rows = rows.withColumn("_b", F.when(begins, F.col("page_number"))).withColumn("start", F.min("_b").over(Window.partitionBy("doc_path"))).where("page_number >= start")
+    ends = F.coalesce(F.max(F.col("rec_y").isNotNull().cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bare = F.max(((F.col("page_number") > F.col("start")) & ~F.col("named") & ~F.col("column") & ~F.col("told")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumns({"_e": ends, "_n": bare}).where("_e = 0 and _n = 0").select("doc_path", "page_number", "title_y", "rec_y")
+
+
+def recommended_winner(lines: DataFrame) -> DataFrame:
+    """(doc_path, winner...): the first company at most two lines, and 2.5 line heights, from the first mark of the first rank below the recommendation."""
+    low = lines.where(F.col("y") >= F.col("rec_y") - 1)
+    order = Window.partitionBy("doc_path", "page_number").orderBy("line")
+    low = low.withColumn("_i", F.row_number().over(order))
+    marks = low.where(F.regexp_like(compact(F.col("text")), F.lit("第?[1一]名"))).select("doc_path", "page_number", F.col("_i").alias("_m"), F.col("y").alias("my"), F.col("height").alias("mh"), F.col("boxed").alias("mboxed"), F.explode(F.sequence(F.col("_i") - 2, F.col("_i") + 2)).alias("_i"))
+    near = low.join(marks, ["doc_path", "page_number", "_i"]).where(~(F.col("boxed") & F.col("mboxed")) | (F.abs(F.col("y") - F.col("my")) <= 2.5 * F.greatest("height", "mh")))
+    named = near.withColumn("name", F.get(company_names(F.col("text")), F.lit(0))).where("name is not null")
+    best = F.struct("page_number", "_m", "_i")
+    kept = F.struct("name", "page_number", "line", F.lit(0).alias("pos"), F.left(clean(F.col("text")), F.lit(300)).alias("evidence"), "confidence", "method")
+    return named.groupBy("doc_path").agg(F.min_by(kept, best).alias("w")).select("doc_path", "w.*").withColumn("name_key", fold_brackets(F.col("name")))
+
+
+def bid_evaluation_report(lines: DataFrame, pages: DataFrame) -> DataFrame:
+    """Bidders between the ranking's title and the recommendation, ranked as listed; the recommendation's first rank won.
+
+    The project is the value right of its label in the table of basic facts. What is missing is said in the evidence and reviewed.
+    """
+    targets = ranking_pages(lines, pages)
+    own = lines.join(targets, ["doc_path", "page_number"])
+    listed = occurrences(own.where((F.col("y") > F.coalesce("title_y", F.lit(float("-inf")))) & (F.col("y") < F.coalesce(F.col("rec_y") - 1, F.lit(float("inf"))))).select(*lines.columns))
+    won = recommended_winner(own)
     key = won.select("doc_path", F.col("name_key").alias("_won"))
-    more = won.join(listed.select("doc_path", "name_key"), ["doc_path", "name_key"], "left_anti").withColumn("place", F.lit(0))
+    more = won.join(listed.select("doc_path", "name_key"), ["doc_path", "name_key"], "left_anti").withColumn("place", F.lit(1 << 30))
     found = listed.unionByName(more.select(*listed.columns)).join(key, "doc_path", "left")
     found = found.withColumns({
         "award_status": F.when(F.col("_won").isNull(), "未知").when(F.col("name_key") == F.col("_won"), "是").otherwise("否"),
-        "rank": F.when(F.col("place") == 0, "1").otherwise(F.col("place").cast("string")),
+        "rank": F.when(F.col("place") == 1 << 30, "1").otherwise(F.col("place").cast("string")),
     }).drop("_won")
-    right = P.value_right_of(lines, no_space(clean(F.col("text"))).isin("工程名称", "项目名称"), F.length(no_space(clean(F.col("text")))).between(6, 120) & has_any(F.col("text"), ("工程", "项目")) & ~has_any(F.col("text"), PROJECT))
-    meta = metadata(lines).join(right, "doc_path", "left").withColumn("project_name", F.coalesce("value", "project_name"))
-    return records(found, lines, meta.drop("value"), unknown_needs_review=True)
+    basic = lines.join(pages.where(F.contains(compact(F.col("text")), F.lit(BASIC_FACTS))).select("doc_path", "page_number"), ["doc_path", "page_number"], "left_semi")
+    squeezed = no_space(clean(F.col("text")))
+    credible = F.length(squeezed).between(6, 120) & has_any(squeezed, PROJECT_WORDS) & ~has_any(squeezed, FACT_LABELS)
+    right = P.value_right_of(basic, compact(F.col("text")) == "工程名称", credible)
+    meta = metadata(lines).join(right, "doc_path", "left").withColumn("project_name", F.coalesce(plain_project(F.col("value")), "project_name"))
+    made = records(found, lines, meta.drop("value"), unknown_needs_review=True)
+    known = lines.select(F.col("doc_path").alias("source_path")).distinct()
+    for df, name in ((right, "_basic"), (targets, "_table"), (won, "_first")):
+        known = known.join(df.select(F.col("doc_path").alias("source_path")).distinct().withColumn(name, F.lit(True)), "source_path", "left")
+    note = F.concat(
+        F.when(F.col("_table").isNull(), "未定位投标人排序及推荐的中标候选人表；").when(F.col("_first").isNull(), "未识别推荐的中标候选人第一名；").otherwise(""),
+        F.when(F.col("_basic").isNull(), "未从基本情况一览表工程名称提取项目名称；").otherwise(""),
+    )
+    out = made.join(known, "source_path").withColumn("_note", note)
+    return out.withColumns({
+        "evidence": F.when(F.col("_note") != "", F.left(F.concat("_note", "evidence"), F.lit(300))).otherwise(F.col("evidence")),
+        "review_status": F.when(F.col("_note") != "", REVIEW).otherwise(F.col("review_status")),
+    }).select(*made.columns)
 
 
 def title_project(lines: DataFrame) -> DataFrame:

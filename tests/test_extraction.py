@@ -66,8 +66,20 @@ def test_without_a_title(spark):
 
 
 def test_evaluation_report(spark):
-    got = run(spark, "bid_evaluation_report", (["工程名称", "投标人排序表"], {"at": [(5, 5), (5, 50)]}), (["1 甲建设有限公司", "2 乙建设有限公司", "推荐的中标候选人", "第一名", "乙建设有限公司"], {}))
-    assert [(r["company_name"], r["award_status"], r["rank"]) for r in got] == [("甲建设有限公司", "否", "1"), ("乙建设有限公司", "是", "2")]
+    contents = (["目录", "投标人排序及推荐的中标候选人"], {})
+    facts = (["基本情况一览表", "工程名称", "某县农田建设项目施工"], {"at": [(50, 5), (10, 50), (90, 51)]})
+    ranking = (["投标人排序及推荐的中标候选人", "投标人名称", "1 甲建设有限公司"], {})
+    more = (["2 乙建设有限公司", "推荐的中标候选人", "第一名", "乙建设有限公司", "第二名", "甲建设有限公司", "丙建设有限公司"], {})
+    got = run(spark, "bid_evaluation_report", contents, facts, ranking, more, (["丁建设有限公司"], {}))
+    assert [(r["company_name"], r["award_status"], r["rank"], r["review_status"]) for r in got] == [("甲建设有限公司", "否", "1", "通过"), ("乙建设有限公司", "是", "2", "通过")]
+    assert {r["project_name"] for r in got} == {"某县农田建设项目施工"}
+
+
+def test_evaluation_report_without_table_or_winner(spark):
+    (r,) = run(spark, "bid_evaluation_report", (["投标人排序及推荐的中标候选人", "没有企业"], {}))
+    assert r["review_status"] == "待复核" and r["evidence"].startswith("未定位")
+    got = run(spark, "bid_evaluation_report", (["投标人排序及推荐的中标候选人", "投标人名称", "1 甲建设有限公司", "推荐的中标候选人", "无"], {}))
+    assert [(r["company_name"], r["award_status"], r["review_status"]) for r in got] == [("甲建设有限公司", "未知", "待复核")] and got[0]["evidence"].startswith("未识别推荐")
 
 
 def test_list_column_and_continuation(spark):
