@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from ..functions import documents as D
 from ..functions import status as S
 from ..functions import text as X
-from ..operators import crawl, keys, pages, risk, statistics
+from ..operators import crawl, extraction, keys, pages, risk, statistics
 from ..streaming import runs
 from .streams import stream_name_dedup, stream_run_state
-from .views import BIDS, NETWORK, bidders, bids, events, facts, members, table
+from .views import BIDS, IN_ORDER, NETWORK, bidders, bids, events, facts, members, table, tender_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -397,6 +397,65 @@ def ranked_orders(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", F.rank().over(by.orderBy(F.desc("o_totalprice"))).cast("long").alias("rnk"), F.round(F.sum("o_totalprice").over(by.orderBy("o_orderdate", "o_orderkey").rowsBetween(-2, 0)), 2).alias("last_three"))
 
 
+def _parser(category: str, which: str, status: str, rank: str, review: str = "'通过'", code: str = "''", lot: str = "''"):
+    """Register the extraction of a category: the order's documents laid out as such, and the records that they hold in SQL."""
+
+    def run(spark, sf_dir):
+        made = extraction.extract(tender_pages(spark, sf_dir, category), [category])
+        return made.select("source_path", "project_name", "project_code", "lot_code", "company_name", "award_status", "rank", "review_status", "source_pages")
+
+    run.__name__ = f"parse_{category}"
+    page = {"bid_evaluation_report": "2"}.get(category, "1")
+    query(f"""WITH {IN_ORDER} SELECT 'd/中标资料/' || k || '.pdf' AS source_path, '第' || k || '号农田建设项目' AS project_name, {code} AS project_code, {lot} AS lot_code, company AS company_name,
+{status} AS award_status, {rank} AS rank, {review} AS review_status, '{page}' AS source_pages FROM b WHERE {which}""")(run)
+
+
+JS = "printf('JS%08d', k)"
+WON = "CASE WHEN i = n THEN '是' ELSE '否' END"
+_parser("award_notice", "i = 1", "'是'", "''", code=JS, lot="'A1'")
+_parser("bid_announcement", "i = n", "'是'", "''", code=JS, lot=JS)
+_parser("bid_list", "true", "'未知'", "''")
+_parser("bid_candidates", "true", WON, "CASE WHEN i = n THEN '1' ELSE i::VARCHAR END")
+_parser("bid_evaluation_report", "true", WON, "i::VARCHAR")
+_parser("archive_info", "true", WON, "''", code=JS)
+_parser("tender_cover", "i = 1", "'是'", "''", code=JS, lot="'02'")
+
+
+PROJECT_KEY = f"""'project_lot:' || CASE WHEN project_code <> '' THEN {K("'project_code_lot_code'", KEY('project_code'), KEY('lot_code'))} ELSE {K("'project_name_lot_code'", KEY('project_name'), KEY('lot_code'))} END"""
+
+
+@query(f"""WITH {BIDS}, p AS (SELECT *, {PROJECT_KEY} AS project_key FROM bids)
+SELECT project_key, {KEY('company_name')} AS company_key, arg_min(company_name, ord) AS company_name, max((award_status = '是')::INT) = 1 AS awarded FROM p GROUP BY 1, 2""")
+def build_projects(spark, sf_dir):
+    return risk.projects(bids(spark, sf_dir)).select("project_key", "company_key", "company_name", "awarded")
+
+
+@query(f"""WITH r AS (SELECT DISTINCT {KEY('s_name')} AS root_key, {KEY('c_name')} AS company_key, c_mktsegment FROM supplier JOIN customer ON s_nationkey = c_nationkey)
+SELECT root_key, company_key, 'related' AS role, count(*)::INT AS n_relations FROM r GROUP BY ALL UNION ALL SELECT {KEY('s_name')}, {KEY('s_name')}, 'root', 0 FROM supplier""")
+def root_networks(spark, sf_dir):
+    """Every customer is related to the suppliers of its nation."""
+    s, c = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
+    blank = {name: F.lit("") for name in ("source_type", "person_name", "position", "holding_ratio", "related_ent_id")}
+    relations = s.join(c, F.col("s_nationkey") == F.col("c_nationkey")).select(F.col("s_name").alias("search_value"), F.col("c_name").alias("company_name"), F.col("c_mktsegment").alias("relation_type"), F.col("c_custkey").alias("ord")).withColumns(blank)
+    found = risk.entities(s.select(F.col("s_name").alias("company_name"), F.col("s_suppkey").alias("ord")), relations)
+    return found.select("root_key", "company_key", "role", F.size("relations").alias("n_relations"))
+
+
+@query(f"""WITH c AS (SELECT *, {KEY('c_name')} AS company_key FROM customer), o AS (SELECT c.company_key, o_orderpriority, o_orderstatus FROM orders JOIN c ON o_custkey = c_custkey),
+e AS (SELECT company_key, 'shared_phone' AS risk_type, printf('%08d', c_custkey // 3) AS value, 'company' AS source FROM c
+  UNION ALL SELECT company_key, 'shared_email', 'n' || c_nationkey || '@post.example', 'company' FROM c
+  UNION ALL SELECT company_key, 'shared_shareholder', {KEY('o_orderpriority')}, 'shareholder' FROM o
+  UNION ALL SELECT company_key, 'shared_senior_staff', {KEY('o_orderstatus')}, 'senior_staff' FROM o)
+SELECT company_key, risk_type, value, source, count(*) AS n FROM e GROUP BY ALL""")
+def company_evidence(spark, sf_dir):
+    """Customers as companies with phones and addresses; their orders' priorities and states as the people of their records."""
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    company = c.select(F.col("c_custkey").cast("string").alias("record_id"), F.lit("").alias("search_value"), F.col("c_name").alias("company_name"), F.format_string("%08d", F.floor(F.col("c_custkey") / 3)).alias("phone_number"), F.concat(F.lit("N"), F.col("c_nationkey"), F.lit("@post.example")).alias("email"))
+    person = lambda name, column, detail: o.select(F.col("o_custkey").cast("string").alias("record_id"), F.lit("").alias("search_value"), F.col(column).alias(name), F.lit("").alias(detail))
+    found = risk.evidence(c.select(F.col("c_name").alias("company_name")), company, person("shareholder_name", "o_orderpriority", "subscribed_ratio"), person("staff_name", "o_orderstatus", "position"))
+    return found.groupBy("company_key", "risk_type", "value", "source").agg(F.count("*").alias("n"))
+
+
 query(None)(stream_name_dedup)
 query(STALL)(stream_run_state)
 

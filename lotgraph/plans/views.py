@@ -98,3 +98,63 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     status = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type").isin("purchase", "signup"), "success").when(F.col("event_type") == "click", "running").otherwise("waiting")
     return e.select(F.col("user_id").alias("run_id"), "event_id", "ts", "event_type", status.alias("status"), "value", "props")
+
+
+def bidders_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(k, names): each order's suppliers as companies, by their first line."""
+    first = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k"), "l_suppkey").agg(F.min("l_linenumber").alias("m"))
+    ordered = F.array_sort(F.collect_list(F.struct("m", "l_suppkey")))
+    return first.groupBy("k").agg(F.transform(ordered, lambda x: F.concat(F.lit("甲"), x["l_suppkey"], F.lit("建设有限公司"))).alias("names"))
+
+
+#: The same in SQL, a row for each company: its place and how many there are.
+IN_ORDER = """b AS (
+  SELECT k, '甲' || s || '建设有限公司' AS company, row_number() OVER (PARTITION BY k ORDER BY m, s) AS i, count(*) OVER (PARTITION BY k) AS n
+  FROM (SELECT l_orderkey AS k, l_suppkey AS s, min(l_linenumber) AS m FROM lineitem GROUP BY 1, 2)
+)"""
+
+
+def tender_pages(spark: SparkSession, sf_dir: str, category: str) -> DataFrame:
+    """Each order as a document of a category, laid out as such documents are; its suppliers are the bidders."""
+    names, first, last = F.col("names"), F.element_at("names", 1), F.element_at("names", -1)
+    project, code = F.format_string("第%d号农田建设项目", "k"), F.format_string("JS%08d", "k")
+    say = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+    def line(text, x, y):
+        x, y = (F.lit(v) if isinstance(v, int) else v for v in (x, y))
+        corners = F.array(*[F.array((x + a).cast("double"), (y + b).cast("double")) for a, b in ((-4, -4), (4, -4), (4, 4), (-4, 4))])
+        return F.struct(text.alias("text"), F.lit(0.98).alias("confidence"), corners.alias("bbox"))
+
+    def numbered(y):
+        return lambda c, i: line(say((i + 1).cast("string"), " ", c), 5, y + 20 * (i + 1))
+
+    def page(*texts):
+        """Lines from top to bottom; an array makes a line of each element, with its number before it."""
+        out, y = [], F.lit(0)
+        for t in texts:
+            if t is names:
+                out.append(F.transform(names, numbered(y)))
+                y = y + 20 * F.size(names)
+            else:
+                out.append(F.array(line(say(t), 5, y + 20)))
+                y = y + 20
+        return F.concat(*out)
+
+    facts = F.array(line(F.lit("基本情况一览表"), 50, 5), line(F.lit("工程名称"), 10, 50), line(project, 90, 50))
+    heads = F.array(line(say("项目名称：", project), 600, 1), line(F.lit("序号"), 10, 20), line(F.lit("单位名称"), 100, 20), line(F.lit("联系人"), 300, 20))
+    column = F.transform(names, lambda c, i: line(c, 100, 40 + 30 * i))
+    made = {
+        "award_notice": [page(say(code, "-A1"), say("项目名称：", project), say("中标人：", first))],
+        "bid_announcement": [page(say("工程名称：", project), say("标段编号：", code), "招标人：某局有限公司", say("中标单位：", last))],
+        "bid_list": [F.concat(heads, column)],
+        "bid_candidates": [page(say(project, "中标候选人公示"), "投标人名称：无关建设有限公司", "五、所有投标人得分汇总表：", "序号 投标人名称 排名", names, say("六、拟定中标人：", last), "征询：无关发展有限公司")],
+        "bid_evaluation_report": [facts, page("投标人排序及推荐的中标候选人", "投标人名称", names, "推荐的中标候选人", "第一名", last)],
+        "archive_info": [page("按时送达投标文件的投标人名单", F.array_join(names, "、")), page("中标通知书", say("工程名称：", project), say("项目编号：", code), say("中标人：", last))],
+        "tender_cover": [page(project, say("项目编号：", code, "-02"), say("投标人：", first, "（盖章）"))],
+    }[category]
+    pages = bidders_in_order(spark, sf_dir).select("k", F.posexplode(F.array(*made)).alias("p", "lines"))
+    return pages.select(
+        say("d/中标资料/", F.col("k").cast("string"), ".pdf").alias("doc_path"), F.lit(category).alias("category"), (F.col("p") + 1).alias("page_number"),
+        F.array_join(F.transform("lines", lambda x: x["text"]), "\n").alias("text"), F.lit("text").alias("method"), F.lit(300).alias("dpi"), F.lit("").alias("layout_text"), "lines",
+        F.slice("lines", 1, 0).alias("native_fragments"),
+    )
