@@ -6,8 +6,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.status import TERMINAL, counted_as, priority
-from ..functions.text import key_part
+from ..functions.status import TERMINAL, counted_as, priority, truth
+from ..functions.text import clean, key_part
+from .graph import Scratch, components
 
 #: Faults of the browser after which a run is repeated.
 TRANSPORT_FAULTS = ("targetclosederror", "target page, context or browser has been closed", "err_network_changed", "浏览器会话启动失败")
@@ -36,36 +37,63 @@ def fold(results: DataFrame, by: list[str]) -> DataFrame:
 
 
 def consolidate(results: DataFrame) -> DataFrame:
-    """Entity numbers by type, in order: the same id, or the same name while one side has no id; an id found later is taken over.
+    """results and ``entity``: by type, in order, the same id, or the same name while one side has no id; an id found later is taken over.
 
-    The rule depends on order, so each (type, connected names and ids) must be followed row by row. Rows are first dealt by their name's key, within
-    which almost all joins happen; rows that share only an id are brought together by the name that the id was first seen with.
+    An entity goes by the name of the state that prevails among its rows (the first of equals), so a row may join by a name that only a later
+    row brought. The rule depends on order and must be followed row by row; only rows that ids and names connect can meet, so each
+    connected component is followed on its own. Rows of equal ``ord`` follow by id and name; rows without both are entities of their own.
     """
-    keyed = results.withColumns({"company_type": F.coalesce(F.nullif("company_type", F.lit("")), F.lit("root")), "id_key": key_part(F.col("company_id")), "name_key": key_part(F.col("company_name"))})
-    homes = keyed.where("id_key <> ''").groupBy("company_type", "id_key").agg(F.min_by("name_key", "ord").alias("home"))
-    dealt = keyed.join(homes, ["company_type", "id_key"], "left").withColumn("home", F.coalesce("home", "name_key"))
+    out, columns = results.schema.simpleString(), results.columns
+    status = F.col("status") if "status" in results.columns else F.lit("")
+    keyed = results.withColumns({
+        "_type": F.coalesce(F.nullif("company_type", F.lit("")), F.lit("root")), "_id": key_part(F.col("company_id")), "_name": key_part(F.col("company_name")), "_priority": priority(status),
+    })
+    node = lambda kind, c: F.when(F.col(c) != "", F.xxhash64(F.lit(kind), "_type", c))
+    keyed = keyed.withColumns({"_i": node("id", "_id"), "_n": node("name", "_name")})
+    edges = keyed.where("_i is not null and _n is not null").select(F.col("_i").alias("a"), F.col("_n").alias("b"))
+    scratch = Scratch(results.sparkSession)
+    groups = scratch.keep(components(edges, scratch, "entities"), "entities")
+    dealt = keyed.withColumn("_node", F.coalesce("_i", "_n", F.xxhash64("ord"))).join(groups, F.col("_node") == F.col("node"), "left")
+    dealt = dealt.withColumn("_home", F.coalesce("component", "_node")).drop("node", "component", "_node", "_i", "_n")
 
     def follow(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("ord")
-        entity, ids, names, has_id = [], {}, {}, []
-        for i, n in zip(frame.id_key, frame.name_key, strict=True):
+        frame = frame.sort_values(["ord", "_id", "_name"], kind="stable")
+        entity, ids, names, state = [], {}, {}, []
+        for i, n, p in zip(frame["_id"], frame["_name"], frame["_priority"], strict=True):
             at, by_name = ids.get(i) if i else None, names.get(n) if n else None
-            if at is None and by_name is not None and (not i or not has_id[by_name]):
+            if at is None and by_name is not None and (not i or not state[by_name][0]):
                 at = by_name
             if at is None:
-                at = len(has_id)
-                has_id.append(False)
-            entity.append(f"{frame.company_type.iloc[0]}|{frame.home.iloc[0]}|{at}")
-            if i:
-                ids[i] = at
-                has_id[at] = True
-            if n:
-                names[n] = at
-        return pd.DataFrame({"ord": frame.ord, "entity": entity})
-
-    kind = results.schema["ord"].dataType.simpleString()
-    marked = dealt.select("company_type", "home", "ord", "id_key", "name_key").groupBy("company_type", "home").applyInPandas(follow, f"ord {kind}, entity string")
-    return keyed.join(marked, "ord").drop("id_key", "name_key")
+                at = len(state)
+                state.append((i, n, p))
+            else:
+                known, name, rank = state[at]
+                state[at] = (known or i, *((n, p) if p > rank else (name, rank)))
+            entity.append(f"{frame['_type'].iloc[0]}|{frame['_home'].iloc[0]}|{at}")
+            if state[at][0]:
+                ids[state[at][0]] = at
+            if state[at][1]:
+                names[state[at][1]] = at
+        return frame.assign(entity=entity)[[*columns, "entity"]]
+
+    return dealt.groupBy("_type", "_home").applyInPandas(follow, f"{out[len('struct<'):-1]},entity:string")
+
+
+#: Names in the audit file and their columns.
+AUDIT = {"sourcePdf": "source_pdf", "companyName": "company_name", "requestKeyword": "request_keyword", "status": "status", "message": "message", "runId": "run_id", "companyId": "company_id",
+         "expansionStatus": "expansion_status", "pendingReason": "pending_reason", "submissionTime": "submission_time", "lastProgressTime": "last_progress_time"}
+
+
+def typed_results(audits: DataFrame, json: str = "value") -> DataFrame:
+    """Lookup results from the audit file's JSON objects: texts stripped, missing counts 0, the type root unless said."""
+    get = lambda name: clean(F.get_json_object(json, f"$.{name}"))
+    count = lambda name: F.coalesce(get(name).try_cast("long"), F.lit(0))
+    sources = F.filter(F.coalesce(F.from_json(F.get_json_object(json, "$.relatedSources"), "array<string>"), F.array().cast("array<string>")), lambda x: F.coalesce(x, F.lit("")) != "")
+    return audits.select(
+        *[get(name).alias(column) for name, column in AUDIT.items()], count("attempts").alias("attempts"), count("pollCount").alias("poll_count"), count("databaseRows").alias("database_rows"),
+        F.coalesce(F.nullif(get("companyType"), F.lit("")), F.lit("root")).alias("company_type"), F.coalesce(F.nullif(get("rawStatus"), F.lit("")), get("queryStatus")).alias("raw_status"),
+        truth(F.get_json_object(json, "$.hasData")).alias("has_data"), sources.alias("related_sources"),
+    )
 
 
 def status_counts(results: DataFrame) -> DataFrame:

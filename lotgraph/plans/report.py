@@ -74,13 +74,30 @@ def render(template: str, values: dict, typeset: Callable[[str], bytes] | None =
     return typeset(text) if typeset else text
 
 
-def risk_document(run_id: str, bidders: DataFrame, members: DataFrame, facts: DataFrame, generated_at: str) -> dict:
-    """The document of a run: summary, coverage, projects with risks, and risks with their projects."""
+def risk_tables(run_id: str, bidders: DataFrame, members: DataFrame, facts: DataFrame, generated_at: str) -> tuple[dict, DataFrame, DataFrame]:
+    """(head, projects, risks) of a run's document. The head holds counts only; the lists stay distributed."""
     found = risk.detect(bidders, members, facts).withColumn("risk_id", risk.risk_id(run_id))
     coverage = {r["role"]: {"matched": r["matched"], "unmatched": r["unmatched"]} for r in risk.coverage(members, facts).collect()}
-    listed = found.orderBy(F.element_at("trigger_projects", 1), "comparison_type", "risk_type", "value", "root_a").select("risk_id", "comparison_type", "risk_type", "value", "root_a", "root_b", "company_a", "company_b", "trigger_projects")
-    counted = found.select(F.explode("trigger_projects").alias("project_key")).groupBy("project_key").count().orderBy("project_key")
-    return {
-        "schemaVersion": "2.0", "generatedAt": generated_at, "runId": run_id, "summary": summary(bidders, members, found), "coverage": coverage,
-        "projects": [{"projectKey": r[0], "riskCount": r[1]} for r in counted.collect()], "risks": [r.asDict() for r in listed.collect()],
-    }
+    listed = found.select("risk_id", "comparison_type", "risk_type", "value", "root_a", "root_b", "company_a", "company_b", "trigger_projects")
+    counted = found.select(F.explode("trigger_projects").alias("projectKey")).groupBy("projectKey").agg(F.count("*").alias("riskCount"))
+    return {"schemaVersion": "2.0", "generatedAt": generated_at, "runId": run_id, "summary": summary(bidders, members, found), "coverage": coverage}, counted, listed
+
+
+def write_risk_tables(run_id: str, bidders: DataFrame, members: DataFrame, facts: DataFrame, generated_at: str, folder: str) -> dict:
+    """The document in parts: projects and risks as JSON lines below the folder, written by the executors. Returns the head."""
+    head, projects, risks = risk_tables(run_id, bidders, members, facts, generated_at)
+    projects.write.mode("overwrite").json(f"{folder}/projects")
+    risks.write.mode("overwrite").json(f"{folder}/risks")
+    return head
+
+
+def risk_document(run_id: str, bidders: DataFrame, members: DataFrame, facts: DataFrame, generated_at: str, most: int = 100_000) -> dict:
+    """The document of a run in one piece: head, projects with risks, and risks with their projects.
+
+    For runs of a report's size: with more than ``most`` risks it is an error, and write_risk_tables is the way.
+    """
+    head, projects, risks = risk_tables(run_id, bidders, members, facts, generated_at)
+    if head["summary"]["risks"] > most:
+        raise ValueError(f"{head['summary']['risks']} risks are too many for one document; use write_risk_tables")
+    listed = risks.orderBy(F.element_at("trigger_projects", 1), "comparison_type", "risk_type", "value", "root_a")
+    return {**head, "projects": [r.asDict() for r in projects.orderBy("projectKey").collect()], "risks": [r.asDict() for r in listed.collect()]}

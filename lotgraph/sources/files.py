@@ -56,7 +56,10 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_records(records: DataFrame, path: str, order: str = "ord") -> None:
-    """One CSV file with byte order mark, header and running numbers, written row by row on the driver; the header even without rows."""
+    """One CSV file with byte order mark, header and running numbers, written row by row on the driver; the header even without rows.
+
+    For results that people open; write_record_parts writes tables of any size.
+    """
     with open(path, "w", encoding="utf-8-sig", newline="") as out:
         writer = csv.writer(out)
         writer.writerow([NUMBER, *HEADERS])
@@ -64,6 +67,13 @@ def write_records(records: DataFrame, path: str, order: str = "ord") -> None:
             writer.writerow([i, *(f"{v:.4f}" if name == "confidence" else v or "" for name, v in zip(HEADERS.values(), row, strict=True))])
 
 
+def write_record_parts(records: DataFrame, folder: str) -> None:
+    """Records of any number as CSV parts in a folder for each category, written by the executors; headers as in write_records, without numbers."""
+    names = {v: k for k, v in HEADERS.items()}
+    out = records.select(F.col("category").alias("part"), *[(F.format_string("%.4f", v) if v == "confidence" else F.coalesce(F.col(v), F.lit(""))).alias(names[v]) for v in HEADERS.values()])
+    out.write.mode("overwrite").partitionBy("part").option("header", True).option("escape", '"').csv(folder)
+
+
 def write_by_category(records: DataFrame, folder: str, categories, order: str = "ord") -> None:
     """A CSV for each category, empty ones too."""
     for name in categories:

@@ -115,3 +115,37 @@ def test_history(spark, rows):
     bids = spark.createDataFrame([record(i, project_code=f"P{i % 2}", company_name=f"C{i}") for i in range(1, 4)][: rows or 3], FIELDS)
     names = spark.createDataFrame([("c1",)] if rows else [], "company_name string")
     assert risk.history(bids, names).count() == (2 if rows else 0)
+
+
+def test_consolidation_by_the_prevailing_name(spark):
+    columns = "company_type string, company_id string, company_name string, status string, ord int"
+    rows = [("", "X", "A", "failed", 1), ("", "X", "B", "success", 2), ("", "", "B", "waiting", 3), ("", "", "", "success", 4), ("", "", "", "success", 5), ("related", "X", "A", "failed", 6), ("", "Y", "A", "failed", 7)]
+    got = {r.ord: r.entity for r in crawl.consolidate(spark.createDataFrame(rows, columns)).collect()}
+    assert got[1] == got[2] == got[3] and len({got[i] for i in (1, 4, 5, 6, 7)}) == 5
+    low = [("", "X", "A", "success", 1), ("", "X", "B", "failed", 2), ("", "", "B", "waiting", 3)]
+    got = {r.ord: r.entity for r in crawl.consolidate(spark.createDataFrame(low, columns)).collect()}
+    assert got[1] == got[2] != got[3]
+    twice = spark.createDataFrame([("", "X", "A", "failed", 1), ("", "X", "A", "failed", 1)], columns)
+    assert crawl.consolidate(twice).count() == 2
+
+
+def test_typed_results(spark):
+    df = spark.createDataFrame([('{"companyName": " 甲 ", "status": "failed", "attempts": "2", "hasData": "是", "queryStatus": "done", "relatedSources": ["a", ""]}',), ("{}",)], "value string")
+    one, none = crawl.typed_results(df).collect()
+    assert (one.company_name, one.attempts, one.has_data, one.raw_status, one.related_sources, one.company_type) == ("甲", 2, True, "done", ["a"], "root")
+    assert (none.company_name, none.database_rows, none.has_data, none.related_sources) == ("", 0, False, [])
+
+
+def test_reconciled_until_final(spark):
+    from lotgraph import api
+
+    columns = "company_type string, company_name string, status string, has_data boolean, database_rows long"
+    current = spark.createDataFrame([("root", "甲", "timeout", False, 0), ("root", "乙", "success", True, 3)], columns)
+    asked = []
+
+    def refresh(rows):
+        asked.append([r.company_name for r in rows.collect()])
+        return spark.createDataFrame([("root", "甲", "success" if len(asked) == 2 else "timeout", len(asked) == 2, 0)], columns)
+
+    results, changed, final = api.reconcile_until_final(current, refresh)
+    assert asked == [["甲"], ["甲"]] and changed and final and {r.status for r in results.collect()} == {"success"}
