@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.graph import Scratch
 from ..streaming import runs
 from .views import table
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir; a temporary one only where that is unset (one machine)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lotgraph-stream-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    """A new folder under spark.checkpoint.dir, as Scratch has it."""
+    return f"{Scratch(spark).root}/stream"
 
 
 def _events(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
