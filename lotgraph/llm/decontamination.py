@@ -85,7 +85,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, length: int = 10, id_col: s
 
     Words: A-Z lower-cased, runs of other than separators. An item of fewer words is one phrase; one without words is
     none. Null or empty text: no words, no hits. Repeated rows: a row each. Null ids: documents like others. Items
-    with a null id are left out. An empty table on either side gives no hits.
+    with a null id are left out. An empty table on either side gives no hits. Very long texts are whole. Of equally rare words the
+    first in the window counts as rarer. Other columns, whatever their names, are ignored.
+    Documents are told apart by 64 bits of id and text: two that share them share their hits.
     Returns the key k, the id as doc_id, n_words, n_hit, n_items, item_ids (sorted array of strings).
     """
     scratch = Scratch(docs.sparkSession)

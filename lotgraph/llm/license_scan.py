@@ -113,7 +113,8 @@ def scan(docs: DataFrame, listed: Sequence[tuple[str, str]] = TEMPLATES, k: int
     """The licenses whose notice a text has: ``containment`` of its distinct k-word shingles or more within one window.
 
     Shorter notices are one shingle. Each text is scanned within its row, so there is no shuffle and no task depends on another.
-    Null or empty text: no licenses. Repeated rows: a row each. Templates without words match nothing. An empty table
+    Null or empty text: no licenses. Null ids: rows like others. Repeated rows: a row each. Very long texts are whole. Other columns,
+    whatever their names, are ignored. Templates without words match nothing. An empty table
     gives no rows.
     Returns doc_id, n_licenses, licenses (sorted, joined by commas), containment (the largest, null if none).
     """

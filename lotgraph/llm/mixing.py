@@ -37,7 +37,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     over and share ``share`` times all words; a target stops at ``max_epochs`` times its source's size and the
     excess goes to the others by weight. A document is taken floor(target / size) times; documents in a
     seeded order are taken once more until the rest of the target is met, up to half a document.
-    Null or blank text: size 0, taken 0. Repeated rows are documents of their own. An empty table gives no rows.
+    Null or blank text: size 0, taken 0. Very long texts are whole. Repeated rows are documents of their own; ties in the seeded order
+    go by id and size. Other columns, whatever their names, are ignored. An empty table gives no rows.
     Returns doc_id, source, size, source_size, target, repeats, taken.
     """
     scratch = Scratch(docs.sparkSession)

@@ -14,8 +14,8 @@ def byte_shards(docs: DataFrame, n_shards: int, overhead: int = 16, id_col: str
     A row's size is its UTF-8 bytes plus ``overhead``. Rows are dealt by range of the id; the slices' totals
     give each row the bytes before it, and the row goes to the shard in whose equal share its
     middle byte lies. So each shard differs from its share by less than one row's size at either end.
-    Null text: no bytes. Null ids come first. Repeated ids are ordered by size and checksum. An empty
-    table gives no rows. Other columns are ignored.
+    Null text: no bytes. Null ids come first. Repeated ids are ordered by size and checksum; equal rows follow each other. Very long texts
+    are whole. An empty table gives no rows. Other columns, also named shard, slot or size, are ignored.
     Returns doc_id, size, text_crc32, shard, slot (gapless from 0 in each shard).
     """
     if n_shards < 1:

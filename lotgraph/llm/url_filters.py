@@ -75,6 +75,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None =
     Aliases are the connected components over canonical links and meta refreshes in the pages, and
     over ``redirects`` (url, target) if given. URLs are one node if host (any case), path and query are equal. An explicit
     allow rule of a page itself stands against a block of its aliases; targets need not be pages.
+    Of several canonical links of a page, or refreshes, the first counts. Other columns, whatever their names, are ignored; very long html is whole.
     Null or relative URLs: empty host and path, no aliases, ``default``. Null html: no links. Repeated pages: a row
     each. An empty table gives no rows.
     Returns page_id, host, path, rule, verdict, component (null without aliases), alias_blocked.

@@ -203,3 +203,17 @@ def test_pruning_drops_conditions_that_say_nothing():
             assert not others or quality_rules.counts(rows, others) != quality_rules.counts(rows, rule)
     fired = [any(all(c.holds(x) for c in rule) for rule in rules) for x in rows]
     assert sum(f == bool(x["bad"]) for f, x in zip(fired, rows, strict=True)) >= 0.95 * len(rows)
+
+
+def test_clashing_names_and_long_texts(spark):
+    long = "word " * 200_000
+    rows = [(1, long, "s", 5, 6, 7), (None, None, None, 5, 6, 7), (2, "", "s", 5, 6, 7), (2, "", "s", 5, 6, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, shard int, size int, k int")
+    shards = sharding.byte_shards(df, 3).collect()
+    assert sorted(r["size"] for r in shards) == [16, 16, 16, 1_000_016]
+    assert sorted(r.taken for r in mixing.mix(df).collect()) == [0, 0, 0, 200_000]
+    items = spark.createDataFrame([(9, "word " * 12)], "item_id long, text string")
+    hits = {r.doc_id: r.n_hit for r in decontamination.decontaminate(df.where("doc_id = 2 or doc_id is null"), items).collect()}
+    assert hits == {None: 0, 2: 0}
+    made = quality_rules.apply_rules(df.withColumnRenamed("k", "n_words"), [])
+    assert {(r.n_words, r.kept) for r in made.collect()} == {(200_000, False), (0, False)}
