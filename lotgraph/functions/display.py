@@ -54,11 +54,13 @@ def is_completion_line(line: Column) -> Column:
 
 def without_stamp(value: Column) -> Column:
     """A name without the marks of seals."""
-    return F.regexp_replace(no_space(clean(value)), r"[（(](?:盖章|公章|单位公章|盖单位章|电子签章|签章)[）)]|(?:盖章|公章|电子签章)$", "")
+    return F.regexp_replace(no_space(clean(value)), r"[（(](?:盖章|公章|单位公章|盖单位章|电子签章|签章)[）)]|[（(]?盖?(?:公章|单位章)[）)]?|(?:盖章|电子签章)$", "")
 
 
 def without_label(value: Column) -> Column:
-    return F.regexp_replace(no_space(clean(value)), r"^(?:投标人名称|投标单位名称|投标单位|投标人|参与单位)[:：]*", "")
+    """A name without the bidder's label before it, the label's last character misread or lost included."""
+    bare = F.regexp_replace(no_space(clean(value)), "^[_:：]+|[_:：]+$", "")
+    return F.regexp_replace(bare, r"^(?:投标人名称|投标单位名称|投标单位|投标人|参与单位|参与单[位立]?|投标单[位立]?)[_:：]*", "")
 
 
 def cover_text(value: Column) -> Column:
@@ -67,18 +69,3 @@ def cover_text(value: Column) -> Column:
     for wrong, right in {"项且": "项目", "项日": "项目", "项口": "项目", "项旦": "项目", "建没": "建设", "健设": "建设", "高标准农日": "高标准农田", "高标淮农田": "高标准农田", "注苏": "江苏"}.items():
         text = F.replace(text, F.lit(wrong), F.lit(right))
     return text
-
-
-def without_section(name: Column, section: Column) -> Column:
-    """A project name without its lot at the end."""
-    n, s = no_space(clean(name)), no_space(clean(section))
-    return F.when((s != "") & F.endswith(n, s), F.left(n, F.length(n) - F.length(s))).otherwise(n)
-
-
-def name_before_code(lines: Column, limit: int = 40) -> Column:
-    """Lines above the first code label, up to ``limit``, joined back to the nearest one with a project word."""
-    label = F.lit("标段编号|项目编号|招标编号|交易编号|编号")
-    at = F.array_position(F.transform(lines, lambda l: F.regexp_like(l, label)), F.lit(True)).cast("int")
-    above = F.when(at > 1, F.reverse(F.slice(lines, F.greatest(at - limit, F.lit(1)), F.least(at - 1, F.lit(limit))))).otherwise(F.array().cast("array<string>"))
-    title = F.array_position(F.transform(above, lambda l: F.regexp_like(l, F.lit("项目|工程"))), F.lit(True)).cast("int")
-    return F.when(title > 0, F.array_join(F.reverse(F.slice(above, F.lit(1), title)), "")).otherwise("")

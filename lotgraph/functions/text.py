@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -158,6 +159,11 @@ def readable(value: Column, least: int = 20) -> Column:
     return (F.length(text) >= least) & ~F.contains(text, F.lit("�")) & (cjk >= 6) & (cjk >= 0.12 * F.length(text))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value as a lambda's variable, so that a long expression stands in the plan once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def has_any(text: Column, words) -> Column:
     out = F.lit(False)
     for w in words:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.documents import award_from_path, stem
 from ..functions.text import clean, code_and_lot, compact, company_names, fold_brackets, has_any, no_space
 from . import pages as P
-from . import score_table
+from . import cover, score_table
 from .keys import PASSED, REVIEW
 
 #: Labels of the fields in documents.
@@ -292,16 +292,27 @@ def archive_info(lines: DataFrame) -> DataFrame:
 
 
 def tender_cover(lines: DataFrame) -> DataFrame:
-    """One record: the labelled bidder, else the first organisation, else one in the file's name; the award is told by the path."""
-    labelled_bidder = explicit(lines, ("投标人名称", "投标单位名称", "投标人", "参与单位"))
-    first = occurrences(lines).where("place = 1").drop("place").join(labelled_bidder.select("doc_path"), "doc_path", "left_anti")
-    seen = labelled_bidder.unionByName(first)
-    named = lines.select("doc_path").distinct().join(seen.select("doc_path"), "doc_path", "left_anti").withColumn("_n", F.get(company_names(stem(F.col("doc_path"))), F.lit(0))).where("_n is not null")
+    """One record: the cover's bidder, else the first organisation, else one in the file's name; the award is told by the path."""
+    read = cover.fields(lines)
+    key = fold_brackets(F.col("name"))
+    bidder = read.where("name is not null").select("doc_path", "name", key.alias("name_key"), F.left("company", F.lit(300)).alias("_company"))
+    seen = F.contains(fold_brackets(F.col("text")), F.col("name_key"))
+    at = F.struct((~seen).alias("unseen"), *ORDER)
+    said = lines.join(bidder, "doc_path").groupBy("doc_path", "name", "name_key", "_company").agg(F.min(F.struct(at.alias("at"), F.left(clean(F.col("text")), F.lit(300)).alias("evidence"), "confidence", "page_confidence", "method")).alias("m"))
+    unseen = F.col("m.at.unseen")
+    said = said.select("doc_path", "name", "name_key", F.col("m.at.page_number").alias("page_number"), F.col("m.at.line").alias("line"), F.lit(0).alias("pos"), F.when(unseen, F.col("_company")).otherwise(F.col("m.evidence")).alias("evidence"),
+                       F.when(unseen, F.col("m.page_confidence")).otherwise(F.col("m.confidence")).alias("confidence"), F.col("m.method").alias("method"))
+    first = occurrences(lines).where("place = 1").drop("place").join(said.select("doc_path"), "doc_path", "left_anti")
+    found = said.unionByName(first)
+    named = lines.select("doc_path").distinct().join(found.select("doc_path"), "doc_path", "left_anti").withColumn("_n", F.get(company_names(stem(F.col("doc_path"))), F.lit(0))).where("_n is not null")
     named = named.select("doc_path", F.col("_n").alias("name"), fold_brackets(F.col("_n")).alias("name_key"), F.lit(1).alias("page_number"), F.lit(0).alias("line"), F.lit(0).alias("pos"), stem(F.col("doc_path")).alias("evidence"), F.lit(0.85).alias("confidence"), F.lit("filename").alias("method"))
-    found = seen.unionByName(named).withColumns({"award_status": award_from_path(F.col("doc_path")), "place": F.lit(1)})
-    split = F.split("project_code", "-", 2)
-    section = lines.withColumn("_s", F.regexp_extract(no_space(clean(F.col("text"))), "第?[一二三四五六七八九十0-9]{1,3}(?:标段|合同段|施工标)", 0)).where("_s <> ''").groupBy("doc_path").agg(F.min_by("_s", F.struct(*ORDER)).alias("_s"))
-    meta = metadata(lines).join(section, "doc_path", "left").select("doc_path", "project_name", F.element_at(split, 1).alias("project_code"), F.coalesce(F.get(split, F.lit(1)), F.lit("")).alias("lot_code"), F.when(F.col("project_code") == "", F.coalesce("_s", F.lit(""))).otherwise("").alias("lot_name"))
+    found = found.unionByName(named).withColumns({"award_status": award_from_path(F.col("doc_path")), "place": F.lit(1)})
+    own = read.select("doc_path", F.col("project_name").alias("_p"), F.col("project_code").alias("_c"), F.col("lot_code").alias("_l"), F.col("lot_name").alias("_s"))
+    either = lambda a, b: F.when(F.col(a) != "", F.col(a)).otherwise(F.col(b))
+    meta = metadata(lines).join(own, "doc_path").select(
+        "doc_path", either("_p", "project_name").alias("project_name"), either("_c", "project_code").alias("project_code"), F.col("_l").alias("lot_code"),
+        F.when((F.col("_c") != "") | (F.col("_s") != ""), F.col("_s")).otherwise(F.col("lot_name")).alias("lot_name"),
+    )
     return records(found, lines, meta, unknown_needs_review=True)
 
 

@@ -418,7 +418,7 @@ _parser("bid_list", "true", "'未知'", "''")
 _parser("bid_candidates", "true", WON, "CASE WHEN i = n THEN '1' ELSE i::VARCHAR END")
 _parser("bid_evaluation_report", "true", WON, "i::VARCHAR")
 _parser("archive_info", "true", WON, "''", code=JS)
-_parser("tender_cover", "i = 1", "'是'", "''", code=JS, lot="'02'")
+_parser("tender_cover", "i = 1", "'是'", "''", code=JS, lot=f"{JS} || '-02'")
 
 
 PROJECT_KEY = f"""'project_lot:' || CASE WHEN project_code <> '' THEN {K("'project_code_lot_code'", KEY('project_code'), KEY('lot_code'))} ELSE {K("'project_name_lot_code'", KEY('project_name'), KEY('lot_code'))} END"""

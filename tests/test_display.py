@@ -14,8 +14,8 @@ def test_texts(spark):
     assert one(spark, D.company_span(lit("a|b"), lit(False), lit(True))) == "a\\|b" and D.WINNER in one(spark, D.company_span(lit("a"), lit(True), lit(True)))
     assert one(spark, D.without(lit("某某项目"), "某某")) == "项目"
     assert one(spark, D.without_stamp(lit("甲公司（盖章）"))) == "甲公司" and one(spark, D.without_label(lit("投标人：甲公司"))) == "甲公司"
-    assert one(spark, D.cover_text(lit("项且建没"))) == "项目建设" and one(spark, D.without_section(lit("某工程一标段"), lit("一标段"))) == "某工程"
-    assert one(spark, D.name_before_code(F.array(lit("某县农田"), lit("建设项目"), lit("施工"), lit("项目编号：X1")))) == "建设项目施工"
+    assert one(spark, D.without_stamp(lit("甲公司盖单位章）"))) == "甲公司" and one(spark, D.without_label(lit("参与单_甲公司"))) == "甲公司"
+    assert one(spark, D.cover_text(lit("项且建没"))) == "项目建设"
     assert one(spark, D.log_percent(F.array(lit("[阶段 2/5] x"), lit("完成 5/10 个 PDF")))) == 38 and one(spark, D.log_percent(F.array(lit("处理完成 5/10")))) == 22
     assert one(spark, D.is_completion_line(lit("完成 3/9 个 PDF"))) and not one(spark, D.is_completion_line(lit("开始")))
     items = F.array(F.struct(lit("138").alias("display"), lit("b").alias("source")), F.struct(lit("138").alias("display"), lit("a").alias("source")))

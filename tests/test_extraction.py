@@ -93,7 +93,7 @@ def test_archive_and_cover_and_nothing(spark):
     got = run(spark, "archive_info", (["按时送达投标文件的投标人名单", "甲建设有限公司、乙建设有限公司"], {}), (["中标通知书", "中标人：乙建设有限公司"], {}))
     assert [(r["company_name"], r["award_status"]) for r in got] == [("甲建设有限公司", "否"), ("乙建设有限公司", "是")]
     (cover,) = run(spark, "tender_cover", (["某农田建设项目", "项目编号：ABC123-02", "投标人：甲建设有限公司（盖章）"], {}))
-    assert (cover["company_name"], cover["project_code"], cover["lot_code"], cover["review_status"]) == ("甲建设有限公司", "ABC123", "02", "待复核")
+    assert (cover["company_name"], cover["project_code"], cover["lot_code"], cover["review_status"]) == ("甲建设有限公司", "ABC123", "ABC123-02", "待复核")
     (empty,) = run(spark, "bid_list", (["没有内容"], {}))
     assert (empty["company_name"], empty["review_status"]) == ("", "待复核")
 
