@@ -65,16 +65,29 @@ def pair(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return rolling.mix(x * U(0x9E3779B97F4A7C15) + y)
 
 
+def refined(p: np.ndarray, length: int, q: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(depth, bucket identifier of each position) from the q-gram buckets down to ``length`` bytes.
+
+    Each level pairs every position's identifier with that at a later offset, which doubles the depth (the last level
+    overlaps), and takes the identifiers of the level before as they are.
+    """
+    place = np.arange(max(len(p) - q, 0))
+    ident, depth = rolling.spans(p, place, place + q), q
+    yield depth, ident
+    while depth < length:
+        step = min(depth, length - depth)
+        ident = pair(ident[: len(ident) - step], ident[step:])
+        depth += step
+        yield depth, ident
+
+
 def window_buckets(p: np.ndarray, start: np.ndarray, group: np.ndarray, length: int, q: int = 32) -> tuple[np.ndarray, np.ndarray]:
     """(windows, identifiers): windows that share their bucket with another after refinement to ``length`` bytes.
 
-    The first identifiers are those of the q-gram buckets. Each level pairs every position's identifier with that at a later offset, which
-    doubles the depth (the last level overlaps), and takes the identifiers of the level before as they are. Windows are sorted by
-    identifier at each level; those alone in their bucket are settled and leave.
+    Windows are sorted by identifier at each level; those alone in their bucket are settled and leave.
     """
-    place = np.arange(max(len(p) - q, 0))
-    ident, depth, left = rolling.spans(p, place, place + q), q, np.arange(len(start))
-    while True:
+    left, key = np.arange(len(start)), group
+    for _, ident in refined(p, length, q):
         key = pair(group[left], ident[start[left]])
         order = np.argsort(key)
         k = key[order]
@@ -85,14 +98,12 @@ def window_buckets(p: np.ndarray, start: np.ndarray, group: np.ndarray, length:
             alone[:-1] &= ~same
         keep = np.sort(order[~alone])
         left, key = left[keep], key[keep]
-        if depth == length or not len(left):
-            return left, key
-        step = min(depth, length - depth)
-        ident = pair(ident[: len(ident) - step], ident[step:])
-        depth += step
+        if not len(left):
+            break
+    return left, key
 
 
-def covered_windows(text: np.ndarray, offsets: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def covered_windows(text: np.ndarray, offsets: np.ndarray, group: np.ndarray, length: int, q: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All windows of the pieces of text, and which of them equal an earlier one of their group.
 
     Returns (piece, start in the piece, identifier, state): state 0 alone, 1 first of its bucket, 2 later.
@@ -101,7 +112,7 @@ def covered_windows(text: np.ndarray, offsets: np.ndarray, group: np.ndarray, le
     piece = np.repeat(np.arange(len(n)), n)
     inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     start = offsets[:-1][piece] + inner
-    left, key = window_buckets(rolling.prefix(text), start, group[piece].astype(U), length)
+    left, key = window_buckets(rolling.prefix(text), start, group[piece].astype(U), length, q)
     state, ident = np.zeros(len(piece), np.int8), np.zeros(len(piece), np.int64)
     ident[left] = key.view(np.int64)
     order = np.argsort(key, kind="stable")
@@ -123,7 +134,8 @@ def dedup(docs: DataFrame, length: int = 100, q: int = 32, id_col: str = "doc_id
     2. Postings that are not the first of their (q-gram, fingerprint) are repeats as a whole. Firsts of q-grams that have several
        fingerprints go on, all others are settled.
     3. Those pieces of text meet by q-gram; their windows' buckets are refined on the identifiers of later offsets, and all
-       but the first window of a final bucket are repeats. Q-grams with more than LOCAL pieces are dealt out by window.
+       but the first window of a final bucket are repeats. Of q-grams with more than LOCAL pieces each window goes by
+       its final identifier, made by the same levels, to the task of its bucket.
     Buckets are told apart by 64-bit hashes within equal 64-bit q-gram hashes.
     A null text is empty; texts shorter than ``length`` bytes stay whole; ids identify documents, a null id is the
     smallest; repeated rows of one id are judged alike; very long texts are whole, ties go to the smaller id and offset; other
@@ -201,7 +213,7 @@ def dedup(docs: DataFrame, length: int = 100, q: int = 32, id_col: str = "doc_id
             g, doc, lo = (table.column(c).to_numpy() for c in ("g", "doc", "lo"))
             outs = []
             for a, b, data, offsets in rolling.chunks(table.column("piece"), 1 << 40):
-                piece, inner, _, state = covered_windows(data, offsets, g[a:b].view(U), length)
+                piece, inner, _, state = covered_windows(data, offsets, g[a:b].view(U), length, q)
                 gone = state == 2
                 edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)) != 0)
                 s, e = edge[::2], edge[1::2] - 1
@@ -235,7 +247,8 @@ def dedup(docs: DataFrame, length: int = 100, q: int = 32, id_col: str = "doc_id
                 piece = np.repeat(np.arange(len(n)), n)
                 inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                 start = offsets[:-1][piece] + inner
-                key = pair(g[a:b].view(U)[piece], rolling.spans(rolling.prefix(data), start, start + length))
+                *_, (_, ident) = refined(rolling.prefix(data), length, q)
+                key = pair(g[a:b].view(U)[piece], ident[start])
                 yield pa.RecordBatch.from_arrays([_int(key), _int(doc[a:b][piece]), _int(lo[a:b][piece] + inner)], names=["key", "doc", "f"])
 
     near = pieces.where(F.col("kinds") <= LOCAL).select("g", "doc", "lo", "piece").repartition(slices(spark), "g").sortWithinPartitions("g", "doc", "lo")

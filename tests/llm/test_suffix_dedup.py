@@ -45,7 +45,7 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize(("length", "q", "local"), [(40, 12, 50_000), (100, 32, 50_000), (40, 12, 2), (400, 32, 50_000), (600, 32, 50_000)])
+@pytest.mark.parametrize(("length", "q", "local"), [(40, 12, 50_000), (100, 32, 50_000), (40, 12, 2), (20, 8, 50_000), (20, 8, 2), (100, 32, 2), (400, 32, 50_000), (600, 32, 50_000)])
 def test_same_as_brute_force(spark, monkeypatch, length, q, local):
     monkeypatch.setattr(suffix_dedup, "LOCAL", local)
     rows = corpus(length)
