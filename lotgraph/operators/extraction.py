@@ -6,6 +6,7 @@ Every rule is a filter, a window or an aggregate over the lines table, so Spark
 from __future__ import annotations
 
 import inspect
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -181,6 +182,22 @@ def ranking_pages(lines: DataFrame, pages: DataFrame) -> DataFrame:
     return rows.withColumns({"_e": ends, "_n": bare}).where("_e = 0 and _n = 0").select("doc_path", "page_number", "title_y", "rec_y")
 
 
+def report_pages(scan: DataFrame, read: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Pages of evaluation reports: those of a coarse scan, with the ranking's pages read again in detail; a document whose ranking the scan does not show is read again whole.
+
+    ``scan`` is a stored table of pages, as it is used more than once. ``read`` takes (doc_path, page_number) and returns pages; it is
+    evaluated once. A page that it does not return stays as scanned, or goes if its document was to be read whole. The column fallback tells such documents.
+    """
+    key = ["doc_path", "page_number"]
+    wanted = ranking_pages(P.lines(scan), scan).select(*key, F.lit(True).alias("_wanted"))
+    located = wanted.select("doc_path", F.lit(True).alias("_located")).distinct()
+    plan = scan.select(*key).join(wanted, key, "left").join(located, "doc_path", "left").select(*key, F.col("_located").isNull().alias("fallback"), F.coalesce("_wanted", F.col("_located").isNull()).alias("_again"))
+    others = [c for c in scan.columns if c not in key]
+    detail = read(plan.where("_again").select(*key)).select(*key, F.struct(*others).alias("_d"))
+    rows = scan.join(plan, key).join(detail, key, "left").where(~F.col("fallback") | F.col("_d").isNotNull())
+    return rows.select(*key, *[F.when(F.col("_d").isNotNull(), F.col(f"_d.{c}")).otherwise(F.col(c)).alias(c) for c in others], "fallback").select(*scan.columns, "fallback")
+
+
 def recommended_winner(lines: DataFrame) -> DataFrame:
     """(doc_path, winner...): the first company at most two lines, and 2.5 line heights, from the first mark of the first rank below the recommendation."""
     low = lines.where(F.col("y") >= F.col("rec_y") - 1)

@@ -82,6 +82,21 @@ def test_evaluation_report_without_table_or_winner(spark):
     assert [(r["company_name"], r["award_status"], r["review_status"]) for r in got] == [("甲建设有限公司", "未知", "待复核")] and got[0]["evidence"].startswith("未识别推荐")
 
 
+def test_report_pages_are_scanned_then_read(spark):
+    table = ["投标人排序及推荐的中标候选人", "投标人名称", "1 甲建设有限公司", "推荐的中标候选人", "第一名"]
+    texts = {("a", 1): ["目录"], ("a", 2): table, ("a", 3): ["附件"], ("b", 1): ["看不清"], ("b", 2): ["也看不清"]}
+    made = lambda rows: spark.createDataFrame([page(d, "bid_evaluation_report", n, t) for (d, n), t in rows], pages.PAGES)
+    asked = []
+
+    def read(keys):
+        asked.extend(tuple(r) for r in keys.collect())
+        return made([(k, [*texts[k], "细读"]) for k in asked if k != ("b", 2)])
+
+    got = {(r.doc_path, r.page_number): (r.text.endswith("细读"), r.fallback) for r in extraction.report_pages(made(texts.items()), read).collect()}
+    assert sorted(asked) == [("a", 2), ("b", 1), ("b", 2)]
+    assert got == {("a", 1): (False, False), ("a", 2): (True, False), ("a", 3): (False, False), ("b", 1): (True, True)}
+
+
 def test_list_column_and_continuation(spark):
     first = (["序号", "单位名称", "联系人", "1", "甲建设有限公司", "丙公司"], {"at": [(10, 10), (100, 10), (300, 10), (10, 40), (100, 40), (300, 40)]})
     second = (["乙建设有限公司", "丁公司"], {"at": [(100, 20), (300, 20)]})
