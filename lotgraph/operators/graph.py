@@ -37,11 +37,13 @@ class Scratch:
         self.root = f"{base.rstrip('/')}/lotgraph-{uuid.uuid4().hex}"
         self.paths: dict[str, str] = {}
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, **settings: str) -> DataFrame:
+        """Write df and read it again. ``settings``: Spark settings (with _ for .) that hold while this table is written, besides WRITING."""
         path = self.paths[name] = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
-        before = {k: self.spark.conf.get(k) for k in WRITING}
+        held = WRITING | {k.replace("_", "."): v for k, v in settings.items()}
+        before = {k: self.spark.conf.get(k) for k in held}
         try:
-            for k, v in WRITING.items():
+            for k, v in held.items():
                 self.spark.conf.set(k, v)
             df.write.option("compression", "zstd").parquet(path)
         finally:
