@@ -115,6 +115,41 @@ s AS (SELECT *, least(39, ((2 * before + size) * 40) // (2 * total))::INT AS sha
 SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id, size, text_crc32) - 1 AS slot, NULL::INT AS grown_shard FROM s
 """
 
+OP13 = r"""
+WITH RECURSIVE f AS (
+  SELECT list(c ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i))
+),
+n AS (
+  SELECT s, doc_id, t::INT AS t, s || ':' || doc_id || ':' || t AS x
+  FROM (SELECT 'd' AS s, doc_id FROM documents UNION SELECT 'l', doc_id FROM labels) JOIN range(6) r(t) ON doc_id IS NOT NULL
+),
+c AS (
+  SELECT s, doc_id, t, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(x) + 1), lambda i: ord(substr(x, i::BIGINT, 1))::BIGINT)),
+                                       lambda a, b: xor(a >> 8, crc[1 + (xor(a, b) & 255)])), 4294967295::BIGINT) AS c
+  FROM n, f
+),
+st AS (
+  SELECT s, doc_id, t, c % 3 <> 0 AS here, 0 AS ups FROM c WHERE t = 0
+  UNION ALL
+  SELECT c.s, c.doc_id, c.t, CASE WHEN c % 11 = 0 THEN NOT here ELSE here END, ups + CASE WHEN c % 11 = 1 AND here THEN 1 ELSE 0 END
+  FROM st JOIN c ON c.s = st.s AND c.doc_id = st.doc_id AND c.t = st.t + 1
+),
+d AS (
+  SELECT t, doc_id // 2 + ups AS k, coalesce(lang, 'null') AS dp, count(*) AS n
+  FROM documents JOIN st USING (doc_id) WHERE s = 'd' AND here GROUP BY 1, 2, 3
+),
+l AS (
+  SELECT t, doc_id // 2 AS k, coalesce((CASE WHEN ups % 2 = 1 THEN 1 - quality ELSE quality END)::VARCHAR, 'null') || ',' || coalesce(toxic::VARCHAR, 'null') AS lp, count(*) AS n
+  FROM labels JOIN st USING (doc_id) WHERE s = 'l' AND here GROUP BY 1, 2, 3
+),
+j AS (SELECT d.t, d.k, dp, coalesce(lp, '-') AS lp, d.n * coalesce(l.n, 1) AS n FROM d LEFT JOIN l ON l.t = d.t AND l.k = d.k)
+SELECT coalesce(y.t, x.t + 1)::INT AS batch, coalesce(y.k, x.k)::BIGINT AS join_key, coalesce(y.dp, x.dp) AS doc_part, coalesce(y.lp, x.lp) AS label_part,
+       (coalesce(y.n, 0) - coalesce(x.n, 0))::BIGINT AS weight, coalesce(y.n, 0)::BIGINT AS total
+FROM (SELECT * FROM j WHERE t < 5) x FULL JOIN (SELECT * FROM j WHERE t > 0) y ON y.t = x.t + 1 AND y.k = x.k AND y.dp = x.dp AND y.lp = x.lp
+WHERE coalesce(y.n, 0) <> coalesce(x.n, 0)
+"""
+
 ORACLES = {
     "op1_decontamination": OP1,
     "op5_jaccard_join": OP5,
@@ -122,4 +157,5 @@ ORACLES = {
     "op7_suffix_dedup": OP7,
     "op9_mixing": OP9,
     "op10_sharding": OP10,
+    "op13_incremental_join": OP13,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, language_id, license_scan, mixing, pii_surrogates, quality_rules, sharding, suffix_dedup, url_filters
+from . import decontamination, incremental_join, jaccard_join, language_id, license_scan, mixing, pii_surrogates, quality_classifier, quality_rules, sharding, suffix_dedup, token_alignment, url_filters
 from .oracles import ORACLES
 
 #: Rules of the contract: (verdict, host, path).
@@ -19,6 +19,9 @@ URL_RULES = (
     ("block", "net", "/fr/"),
 )
 N_SHARDS = 40
+N_BATCHES = 5
+#: From this score on a document counts as good.
+GOOD = 0.7
 #: Surrogates of the registered query; a production run passes its own secret.
 SURROGATE_KEY = b"registered query"
 
@@ -81,6 +84,37 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = token_alignment.align(docs, token_alignment.byte_bpe(), token_alignment.piece_bpe(), digest=lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256)))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, rest = table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"), learn_from=F.coalesce(rest != 2, F.lit(False)))
+    out = quality_classifier.score(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
+def op13_incremental_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doc, shown = F.col("doc_id"), lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+
+    def moving(name: str, side: str, key, part) -> DataFrame:
+        draw = lambda t: F.crc32(F.concat(F.lit(f"{side}:"), doc.cast("string"), F.lit(f":{t}")).cast("binary"))
+        event = F.array(*[(draw(t) % 11).cast("int") for t in range(1, N_BATCHES + 1)])
+        told = incremental_join.states(N_BATCHES, key, F.coalesce(draw(0) % 3 != 0, F.lit(True)), event, part)
+        return incremental_join.versions(table(spark, sf_dir, name), told)
+
+    half = F.expr("(doc_id - pmod(doc_id, 2)) div 2")
+    docs = moving("documents", "d", lambda n: half + n, lambda n: shown(F.col("lang")))
+    flipped = lambda n: F.when(n % 2 == 1, 1 - F.col("quality")).otherwise(F.col("quality"))
+    labels = moving("labels", "l", lambda n: half, lambda n: F.concat(shown(flipped(n)), F.lit(","), shown(F.col("toxic"))))
+    out = incremental_join.maintain(docs, labels, N_BATCHES, how="left")
+    part = F.when(F.col("right_padded"), "-").otherwise(F.col("right_part"))
+    return out.select("batch", F.col("key").alias("join_key"), F.col("left_part").alias("doc_part"), part.alias("label_part"), "weight", "total")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,6 +128,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scan,
         op9_mixing,
         op10_sharding,
+        op11_token_alignment,
+        op12_quality_classifier,
+        op13_incremental_join,
     )
 }
 
