@@ -172,10 +172,19 @@ def has_any(text: Column, words) -> Column:
 
 
 def code_and_lot(value: Column) -> Column:
-    """struct<project, lot>: a trailing lot like -A12 cut from a project code."""
-    text = F.regexp_replace(F.upper(no_space(clean(value))), "[—–－﹣_]", "-")
-    lot = F.regexp_extract(text, r"-([A-Z]{0,3}\d{1,4})$", 1)
-    return F.struct(F.when(lot != "", F.regexp_replace(text, r"-[A-Z]{0,3}\d{1,4}$", "")).otherwise(text).alias("project"), lot.alias("lot"))
+    """struct<project, lot>: a code with a trailing lot like -A12 is the lot's, whole, and the project's without it; other codes have no lot."""
+    suffix = r"-[A-Z]{0,3}\d{1,4}$"
+
+    def split(text: Column) -> Column:
+        has = F.regexp_like(text, F.lit(suffix))
+        return F.struct(F.regexp_replace(text, suffix, "").alias("project"), F.when(has, text).otherwise("").alias("lot"))
+
+    return let(plain_code(value), split)
+
+
+def plain_code(value: Column) -> Column:
+    """A code or a line with one in comparable form: NFKC, capitals, no white space, one kind of dash."""
+    return F.translate(F.upper(fold_brackets(value)), "－—–", "---")
 
 
 def markdown_cell(value: Column, default: str = "-") -> Column:

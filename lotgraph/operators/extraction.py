@@ -12,13 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.documents import award_from_path, stem
-from ..functions.text import clean, code_and_lot, compact, company_names, fold_brackets, has_any, no_space
+from ..functions.text import clean, code_and_lot, compact, company_names, fold_brackets, has_any, names_in, nfkc, no_space, plain_code
 from . import pages as P
 from . import cover, score_table
 from .keys import PASSED, REVIEW
 
 #: Labels of the fields in documents.
-PROJECT = ("项目名称", "工程名称", "招标项目名称")
+PROJECT = ("项目名称", "工程名称", "标段(包)名称", "标段（包）名称")
 LOT = ("标段名称", "标段(包)名称", "标段（包）名称")
 CODE = ("项目编号", "项目代码", "标段编号", "标段(包)编号", "标段（包）编号", "交易编号")
 LOT_CODE = ("标段编号", "标段(包)编号", "标段（包）编号")
@@ -35,7 +35,17 @@ TITLE_CHROME = ("首页", "交易分类", "信息发布时间", "阅读次数",
 TITLE_TAILS = ("用户登录", "交易平台", "曝光台", "用", "户", "登", "录", "交", "易", "平", "台", "曝", "光")
 WINNER_PAGES = ("中标通知书", "成交通知书", RECOMMENDED)
 PARTICIPANT_PAGES = ("招投标情况书面报告", "招投标基本情况报告", "原件确认签收表", "项目负责人答辩评分表", "按时送达投标文件的投标人名单")
+#: What begins a list of participants, what begins the next section, what separates names, and where a lot's name is sought after its own labels.
+LIST_MARKERS = ("按时送达投标文件的投标人名单", "投标人名单", "投标单位名单")
+A_HEADING = r"^(?:[0-9一二三四五六七八九十百]+)[、.．。]"
+SEPARATORS = "[、，,；;]"
+LOT_FALLBACK = ("工程名称", "项目名称")
+#: The forms of codes, and a notice's sentence on the end of an evaluation.
 A_CODE = r"[A-Za-z0-9][A-Za-z0-9_\-/]{5,}"
+A_DASHED_CODE = r"[A-Za-z0-9][A-Za-z0-9_\-/－—–]{5,}"
+HEAD_CODE = r"(?<![A-Z0-9])[A-Z][A-Z0-9]{4,}(?:-[A-Z]{0,3}\d{1,4})?(?![A-Z0-9])"
+HEAD_LINES = 8
+NARRATIVE = r"(?:^|[：:。；;])[^：:，。；;]{2,80}?的([^，。；;]{4,100}?(?:项目|工程)[^，。；;]{0,40}?)的(?:评标|评审|交易|招标)(?:工作)?(?:已经|已)?(?:结束|完成)"
 ORDER = ("page_number", "line")
 
 
@@ -127,12 +137,25 @@ def _winner(lines: DataFrame) -> DataFrame:
     return said.unionByName(first).withColumns({"award_status": F.lit("是"), "place": F.lit(1)})
 
 
-def award_notice(lines: DataFrame) -> DataFrame:
-    """The winner; codes in the first eight lines of a page override labelled ones; the lot is named like the project."""
-    head = lines.where("line < 8").withColumn("_code", F.regexp_extract(no_space(clean(F.col("text"))), r"(?<![A-Z0-9])[A-Z][A-Z0-9]{4,}(?:-[A-Z]{0,3}\d{1,4})?(?![A-Z0-9])", 0)).where("_code <> ''")
-    head = head.groupBy("doc_path").agg(F.min_by("_code", F.struct(*ORDER)).alias("_code")).select("doc_path", code_and_lot(F.col("_code")).alias("_c"))
-    meta = metadata(lines).join(head, "doc_path", "left")
-    meta = meta.select("doc_path", "project_name", F.coalesce(F.nullif(F.col("_c.project"), F.lit("")), "project_code").alias("project_code"), F.coalesce("_c.lot", F.lit("")).alias("lot_code"), F.col("project_name").alias("lot_name"))
+def narrative_project(pages: DataFrame) -> DataFrame:
+    """(doc_path, narrative): the project in a sentence that its evaluation has ended; a page is read as one text, so the sentence may go over lines."""
+    told = plain_project(F.regexp_extract(no_space(F.coalesce("text", F.lit(""))), NARRATIVE, 1))
+    return pages.select("doc_path", "page_number", told.alias("_t")).where("_t <> ''").groupBy("doc_path").agg(F.min_by("_t", "page_number").alias("narrative"))
+
+
+def head_code(lines: DataFrame) -> DataFrame:
+    """(doc_path, _c): the first code in the first HEAD_LINES lines that aren't blank of a page, split into project and lot."""
+    real = lines.where(clean(F.col("text")) != "").withColumn("_n", F.row_number().over(Window.partitionBy("doc_path", "page_number").orderBy("line")))
+    head = real.where(F.col("_n") <= HEAD_LINES).withColumn("_code", F.regexp_extract(plain_code(F.col("text")), HEAD_CODE, 0)).where("_code <> ''")
+    return head.groupBy("doc_path").agg(F.min_by("_code", F.struct(*ORDER)).alias("_code")).select("doc_path", code_and_lot(F.col("_code")).alias("_c"))
+
+
+def award_notice(lines: DataFrame, pages: DataFrame) -> DataFrame:
+    """The winner; a labelled project, else one told by a sentence, else a likely line; codes in a page's head override labelled ones; the lot is named like the project."""
+    said = labelled(lines, PROJECT, "_said").select("doc_path", plain_project(F.col("_said")).alias("_said"))
+    meta = metadata(lines).join(said, "doc_path", "left").join(narrative_project(pages), "doc_path", "left").join(head_code(lines), "doc_path", "left")
+    named = F.coalesce(F.nullif(F.col("_said"), F.lit("")), "narrative", "project_name")
+    meta = meta.select("doc_path", named.alias("project_name"), F.coalesce(F.nullif(F.col("_c.project"), F.lit("")), "project_code").alias("project_code"), F.coalesce("_c.lot", F.lit("")).alias("lot_code"), named.alias("lot_name"))
     return records(_winner(lines), lines, meta)
 
 
@@ -292,20 +315,58 @@ def bid_candidates(lines: DataFrame, pages: DataFrame) -> DataFrame:
     return made.withColumn("evidence", F.when(F.col("project_name") == "", untitled).otherwise(F.col("evidence")))
 
 
-def archive_info(lines: DataFrame) -> DataFrame:
-    """Participants and the winner of an archive, each once, names held to the strict form."""
+def archive_list(lines: DataFrame) -> DataFrame:
+    """Participants (as occurrences) of the lists in archives: on each page the text from the first list marker up to the next heading, put together over its lines, so
+    that names broken at a line's end are whole, then cut at separators. Each name once, in order; its evidence is the list's lines."""
+    c = compact(F.col("text"))
+    order = Window.partitionBy("doc_path", "page_number").orderBy("line")
+    before, upto = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
+    marker = F.coalesce(*[F.when(F.contains(c, F.lit(m)), F.lit(m)) for m in LIST_MARKERS])
+    rows = lines.withColumns({"_c": c, "_flat": no_space(F.coalesce("text", F.lit("")))}).withColumn("_m", marker)
+    rows = rows.withColumn("_in", F.coalesce(F.max(F.col("_m").isNotNull()).over(before), F.lit(False)))
+    rows = rows.withColumn("_out", F.max(F.col("_in") & F.regexp_like("_c", F.lit(A_HEADING))).over(upto))
+    first = F.expr("substring(_flat, locate(_m, _c) + length(_m))")
+    rows = rows.withColumn("_part", F.when(F.col("_in"), F.col("_flat")).otherwise(first)).where("(_in or _m is not null) and not _out")
+    shown = F.when(F.col("_in") | (F.col("_part") != ""), clean(F.col("text"))).otherwise("")
+    parts = F.array_sort(F.collect_list(F.struct("line", F.col("_part").alias("part"), shown.alias("shown"))))
+    lists = rows.groupBy("doc_path", "page_number").agg(parts.alias("p"), F.min("line").alias("line"), F.first("method").alias("method"))
+    whole = lambda name: F.array_join(F.transform("p", lambda x: x[name]), "")
+    joined = F.regexp_replace(whole("part"), "^[ ：:]+|[ ：:]+$", "")
+    trust = lines.where(clean(F.col("text")) != "").groupBy("doc_path", "page_number").agg(F.min("confidence").alias("confidence"))
+    lists = lists.select("doc_path", "page_number", "line", "method", F.left(whole("shown"), F.lit(300)).alias("evidence"), F.split(nfkc(joined), SEPARATORS).alias("f")).join(trust, ["doc_path", "page_number"])
+    found = lists.select("*", F.posexplode(F.flatten(F.transform("f", lambda x: names_in(x, True)))).alias("pos", "name")).withColumn("name_key", fold_brackets(F.col("name"))).where("name_key <> ''")
+    once = found.withColumn("_r", F.row_number().over(Window.partitionBy("doc_path", "name_key").orderBy(*ORDER, "pos"))).where("_r = 1")
+    return once.select("doc_path", "name", "name_key", "page_number", "line", "pos", "evidence", "confidence", "method", F.row_number().over(Window.partitionBy("doc_path").orderBy(*ORDER, "pos")).alias("place"))
+
+
+def archive_metadata(lines: DataFrame) -> DataFrame:
+    """(doc_path, project_name, project_code, lot_code, lot_name): the lot's name is the project's too; the code is the lot's, else the project's."""
+    out = lines.select("doc_path").distinct()
+    for labels, name in ((LOT, "_lot"), (LOT_FALLBACK, "_other"), (LOT_CODE, "_code"), (CODE, "_any")):
+        out = out.join(labelled(lines, labels, name), "doc_path", "left")
+    filled = lambda *names: F.coalesce(*[F.nullif(F.col(n), F.lit("")) for n in names], F.lit(""))
+    named = F.coalesce(F.nullif(plain_project(filled("_lot")), F.lit("")), plain_project(filled("_other")))
+    raw = filled("_code", "_any")
+    code = code_and_lot(F.coalesce(F.nullif(F.regexp_extract(raw, A_DASHED_CODE, 0), F.lit("")), raw))
+    return out.withColumn("_s", code).select("doc_path", named.alias("project_name"), F.col("_s.project").alias("project_code"), F.col("_s.lot").alias("lot_code"), named.alias("lot_name"))
+
+
+def archive_info(lines: DataFrame, pages: DataFrame) -> DataFrame:
+    """Participants of an archive's lists, else the bidders on participants' pages, and the winner, each once, names held to the strict form."""
     c = compact(F.col("text"))
-    marked = lambda words: lines.join(lines.where(has_any(c, words)).select("doc_path", "page_number").distinct(), ["doc_path", "page_number"], "left_semi")
+    marked = lambda words: lines.join(pages.where(has_any(c, words)).select("doc_path", "page_number").distinct(), ["doc_path", "page_number"], "left_semi")
     winning, taking = marked(WINNER_PAGES), marked(PARTICIPANT_PAGES)
     said = explicit(winning, ("中标人", "中标单位"), True)
     other = occurrences(bidder_lines(winning), True).where("place = 1").drop("place").join(said.select("doc_path"), "doc_path", "left_anti")
     won = said.unionByName(other)
-    took = occurrences(bidder_lines(taking), True)
-    more = won.join(took.select("doc_path", "name_key"), ["doc_path", "name_key"], "left_anti").withColumn("place", F.lit(0))
+    listed = archive_list(lines)
+    took = listed.unionByName(occurrences(bidder_lines(taking), True).join(listed.select("doc_path"), "doc_path", "left_anti"))
+    more = won.join(took.select("doc_path", "name_key"), ["doc_path", "name_key"], "left_anti").withColumn("place", F.lit(1 << 30))
     found = took.unionByName(more.select(*took.columns)).join(won.select("doc_path", F.col("name_key").alias("_won")), "doc_path", "left")
     found = found.withColumn("award_status", F.when(F.col("_won").isNull(), "未知").when(F.col("name_key") == F.col("_won"), "是").otherwise("否")).drop("_won")
-    meta = metadata(lines).withColumn("_s", code_and_lot(F.col("labelled_lot"))).select("doc_path", "project_name", F.coalesce(F.nullif(F.col("_s.project"), F.lit("")), "project_code").alias("project_code"), F.col("_s.lot").alias("lot_code"), "lot_name")
-    return records(found, lines, meta, unknown_needs_review=True)
+    made = records(found, lines, archive_metadata(lines), unknown_needs_review=True)
+    uncoded = (F.col("project_code") == "") & (F.col("lot_code") == "")
+    return made.withColumn("review_status", F.when(uncoded, REVIEW).otherwise(F.col("review_status")))
 
 
 def tender_cover(lines: DataFrame) -> DataFrame:

@@ -397,7 +397,7 @@ def ranked_orders(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", F.rank().over(by.orderBy(F.desc("o_totalprice"))).cast("long").alias("rnk"), F.round(F.sum("o_totalprice").over(by.orderBy("o_orderdate", "o_orderkey").rowsBetween(-2, 0)), 2).alias("last_three"))
 
 
-def _parser(category: str, which: str, status: str, rank: str, review: str = "'通过'", code: str = "''", lot: str = "''"):
+def _parser(category: str, which: str, status: str, rank: str, review: str = "'通过'", code: str = "''", lot: str = "''", tail: str = "''"):
     """Register the extraction of a category: the order's documents laid out as such, and the records that they hold in SQL."""
 
     def run(spark, sf_dir):
@@ -406,18 +406,18 @@ def _parser(category: str, which: str, status: str, rank: str, review: str = "'
 
     run.__name__ = f"parse_{category}"
     page = {"bid_evaluation_report": "2"}.get(category, "1")
-    query(f"""WITH {IN_ORDER} SELECT 'd/中标资料/' || k || '.pdf' AS source_path, '第' || k || '号农田建设项目' AS project_name, {code} AS project_code, {lot} AS lot_code, company AS company_name,
+    query(f"""WITH {IN_ORDER} SELECT 'd/中标资料/' || k || '.pdf' AS source_path, '第' || k || '号农田建设项目' || {tail} AS project_name, {code} AS project_code, {lot} AS lot_code, company AS company_name,
 {status} AS award_status, {rank} AS rank, {review} AS review_status, '{page}' AS source_pages FROM b WHERE {which}""")(run)
 
 
 JS = "printf('JS%08d', k)"
 WON = "CASE WHEN i = n THEN '是' ELSE '否' END"
-_parser("award_notice", "i = 1", "'是'", "''", code=JS, lot="'A1'")
+_parser("award_notice", "i = 1", "'是'", "''", code=JS, lot=f"{JS} || '-A1'", tail="CASE WHEN k % 2 = 1 THEN '施工' ELSE '' END")
 _parser("bid_announcement", "i = n", "'是'", "''", code=JS, lot=JS)
-_parser("bid_list", "true", "'未知'", "''")
-_parser("bid_candidates", "true", WON, "CASE WHEN i = n THEN '1' ELSE i::VARCHAR END")
+_parser("bid_list", "true", "'未知'", "''", code=JS, lot=f"{JS} || '-S04'")
+_parser("bid_candidates", "true", WON, "CASE WHEN i = n THEN '1' ELSE i::VARCHAR END", code=JS, lot=f"{JS} || '-S01'")
 _parser("bid_evaluation_report", "true", WON, "i::VARCHAR")
-_parser("archive_info", "true", WON, "''", code=JS)
+_parser("archive_info", "true", WON, "''", code=JS, lot=f"{JS} || '-01'")
 _parser("tender_cover", "i = 1", "'是'", "''", code=JS, lot=f"{JS} || '-02'")
 
 

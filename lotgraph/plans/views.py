@@ -128,28 +128,38 @@ def tender_pages(spark: SparkSession, sf_dir: str, category: str) -> DataFrame:
     def numbered(y):
         return lambda c, i: line(say((i + 1).cast("string"), " ", c), 5, y + 20 * (i + 1))
 
+    def bare(y):
+        return lambda c, i: line(c, 5, y + 20 * (i + 1))
+
+    listing = F.array_join(names, "、")
+    broken = F.transform(F.sequence(F.lit(0), F.floor((F.length(listing) - 1) / 9).cast("int")), lambda i: F.substring(listing, i * 9 + 1, F.lit(9)))
+
     def page(*texts):
-        """Lines from top to bottom; an array makes a line of each element, with its number before it."""
+        """Lines from top to bottom; an array makes a line of each element, the names' with their number before them."""
         out, y = [], F.lit(0)
         for t in texts:
-            if t is names:
-                out.append(F.transform(names, numbered(y)))
-                y = y + 20 * F.size(names)
+            if t is names or t is broken:
+                out.append(F.transform(t, numbered(y) if t is names else bare(y)))
+                y = y + 20 * F.size(t)
             else:
                 out.append(F.array(line(say(t), 5, y + 20)))
                 y = y + 20
         return F.concat(*out)
 
     facts = F.array(line(F.lit("基本情况一览表"), 50, 5), line(F.lit("工程名称"), 10, 50), line(project, 90, 50))
-    heads = F.array(line(say("项目名称：", project), 600, 1), line(F.lit("序号"), 10, 20), line(F.lit("单位名称"), 100, 20), line(F.lit("联系人"), 300, 20))
+    heads = F.array(line(say("项目名称：", project, "三标段"), 600, 1), line(say("标段（包）编号：", code, "-S04"), 600, 5), line(F.lit("序号"), 10, 20), line(F.lit("单位名称"), 100, 20), line(F.lit("联系人"), 300, 20))
     column = F.transform(names, lambda c, i: line(c, 100, 40 + 30 * i))
     made = {
-        "award_notice": [page(say(code, "-A1"), say("项目名称：", project), say("中标人：", first))],
+        "award_notice": [F.when(F.col("k") % 2 == 0, page(say(code, "-A1"), say("项目名称：", project), say("中标人：", first))).otherwise(
+            page("交易结果通知书", "编号：", say(F.lower(code), "—a1"), say(first, "："), say("甲方的", F.substring(project, F.lit(1), F.length(project) - 2)), "项目施工的评审工作已经", "结束。"))],
         "bid_announcement": [page(say("工程名称：", project), say("标段编号：", code), "招标人：某局有限公司", say("中标单位：", last))],
         "bid_list": [F.concat(heads, column)],
-        "bid_candidates": [page(say(project, "中标候选人公示"), "投标人名称：无关建设有限公司", "五、所有投标人得分汇总表：", "序号 投标人名称 排名", names, say("六、拟定中标人：", last), "征询：无关发展有限公司")],
+        "bid_candidates": [page(say(project, "中标候选人公示"), say("项目编号：", code, "-S01"), "投标人名称：无关建设有限公司", "五、所有投标人得分汇总表：", "序号 投标人名称 排名", names, say("六、拟定中标人：", last), "征询：无关发展有限公司")],
         "bid_evaluation_report": [facts, page("投标人排序及推荐的中标候选人", "投标人名称", names, "推荐的中标候选人", "第一名", last)],
-        "archive_info": [page("按时送达投标文件的投标人名单", F.array_join(names, "、")), page("中标通知书", say("工程名称：", project), say("项目编号：", code), say("中标人：", last))],
+        "archive_info": [
+            page(F.when(F.col("k") % 2 == 0, "2、按时送达投标文件的投标人名单：").otherwise("投标人名单"), broken, "3、开标基本情况：", "无关建设有限公司到场"),
+            page("中标通知书", say("工程名称：", project), say("项目编号：", code, "—01"), say("中标人：", last)),
+        ],
         "tender_cover": [page(project, say("项目编号：", code, "-02"), say("投标人：", first, "（盖章）"))],
     }[category]
     pages = bidders_in_order(spark, sf_dir).select("k", F.posexplode(F.array(*made)).alias("p", "lines"))

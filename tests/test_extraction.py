@@ -20,7 +20,7 @@ def run(spark, category, *made):
 
 def test_award_notice(spark):
     (r,) = run(spark, "award_notice", (["JSABC2024-A01", "项目名称：某县农田建设项目", "招标人：建设局公司", "中标人：江苏甲建设有限公司"], {}))
-    assert (r["project_name"], r["project_code"], r["lot_code"], r["company_name"], r["award_status"], r["review_status"]) == ("某县农田建设项目", "JSABC2024", "A01", "江苏甲建设有限公司", "是", "通过")
+    assert (r["project_name"], r["project_code"], r["lot_code"], r["company_name"], r["award_status"], r["review_status"]) == ("某县农田建设项目", "JSABC2024", "JSABC2024-A01", "江苏甲建设有限公司", "是", "通过")
     assert r["lot_name"] == r["project_name"]
 
 
@@ -105,14 +105,60 @@ def test_list_column_and_continuation(spark):
 
 
 def test_archive_and_cover_and_nothing(spark):
-    got = run(spark, "archive_info", (["按时送达投标文件的投标人名单", "甲建设有限公司、乙建设有限公司"], {}), (["中标通知书", "中标人：乙建设有限公司"], {}))
-    assert [(r["company_name"], r["award_status"]) for r in got] == [("甲建设有限公司", "否"), ("乙建设有限公司", "是")]
+    got = run(spark, "archive_info", (["按时送达投标文件的投标人名单", "甲建设有限公司、乙建设有限公司"], {}), (["中标通知书", "中标人：丙建设有限公司"], {}))
+    assert [(r["company_name"], r["award_status"]) for r in got] == [("甲建设有限公司", "否"), ("乙建设有限公司", "否"), ("丙建设有限公司", "是")]
     (cover,) = run(spark, "tender_cover", (["某农田建设项目", "项目编号：ABC123-02", "投标人：甲建设有限公司（盖章）"], {}))
     assert (cover["company_name"], cover["project_code"], cover["lot_code"], cover["review_status"]) == ("甲建设有限公司", "ABC123", "ABC123-02", "待复核")
     (empty,) = run(spark, "bid_list", (["没有内容"], {}))
     assert (empty["company_name"], empty["review_status"]) == ("", "待复核")
 
 
+def test_notice_sentences_and_head_codes(spark):
+    """Values that the extraction has to give for these notices: whole lot codes, the project of the sentence, also over a line's end."""
+    cases = (
+        (["交易结果通知书", "HSLS20201011-01", "甲建设有限公司：", "甲方的测试农田建设项目施工的评审工作已经结束。"], "测试农田建设项目施工", "HSLS20201011", "HSLS20201011-01", "甲建设有限公司"),
+        (["中标通知书", "编号：", "WXHS20210908001-S04", "乙建设有限公司：", "乙方的测试水利建设项目施工的评标工作已经结束。"], "测试水利建设项目施工", "WXHS20210908001", "WXHS20210908001-S04", "乙建设有限公司"),
+        (["中标通知书", "", " ", "", "", "", "", "", "", "hsls2020—01", "丙建设有限公司：", "丙方的测试水利建", "设项目施工的交易已", "完成。"], "测试水利建设项目施工", "HSLS2020", "HSLS2020-01", "丙建设有限公司"),
+        (["中标通知书", "项目名称：已标明的农田项目", "ABC20_24", "丁建设有限公司：", "丁方的测试水利建设项目施工的评标结束。"], "已标明的农田项目", "ABC20", "", "丁建设有限公司"),
+    )
+    df = spark.createDataFrame([page(f"d/{i}.pdf", "award_notice", 1, case[0]) for i, case in enumerate(cases)], pages.PAGES)
+    got = extraction.extract(df, ["award_notice"]).orderBy("source_path").collect()
+    assert len(got) == len(cases)
+    for r, (_, project, code, lot, company) in zip(got, cases, strict=True):
+        assert (r["project_name"], r["lot_name"], r["project_code"], r["lot_code"], r["company_name"], r["award_status"], r["review_status"]) == (project, project, code, lot, company, "是", "通过")
+
+
+def test_archive_lists_and_metadata(spark):
+    wrapped = ["招投标基本情况报告", "2、按时送达投标文件的投标人名单：", "江苏诣钦工程建设有限公司、江苏翰林工程", "建设有限公司、江苏金隆吉建设工程有限公司、", "3、开标基本情况：", "某见证有限公司"]
+    documents = (
+        (["工程名称：测试农田建设项目"], ["中标通知书", "中标人：甲建设有限公司"], ["按时送达投标文件的投标人名单", "甲建设有限公司", "乙工程有限公司"]),
+        (["工程名称：洛南大道南片高标准农田建设项目"], ["投标人名单", "甲建设有限公司"]),
+        (["项目名称：不应被备案资料解析采用的叙述文本", "标段名称：2022年洛社镇镇北村河西高标准农田建设项目施工", "项目编号：HSLS2022014-01"], ["投标人名单", "甲建设有限公司"]),
+        (wrapped,),
+    )
+    df = spark.createDataFrame([page(f"d/{i}.pdf", "archive_info", n, lines) for i, made in enumerate(documents) for n, lines in enumerate(made, 1)], pages.PAGES)
+    rows = extraction.extract(df, ["archive_info"]).orderBy("source_path", "place").collect()
+    first, second, third, fourth = ([r for r in rows if r.source_path == f"d/{i}.pdf"] for i in range(4))
+    assert [(r.company_name, r.award_status) for r in first] == [("甲建设有限公司", "是"), ("乙工程有限公司", "否")]
+    assert (first[0].project_name, first[0].lot_name, first[0].review_status) == ("测试农田建设项目", "测试农田建设项目", "待复核")
+    assert [(r.company_name, r.project_name, r.lot_name) for r in second] == [("甲建设有限公司", *["洛南大道南片高标准农田建设项目"] * 2)]
+    assert [(r.project_name, r.lot_name, r.project_code, r.lot_code) for r in third] == [("2022年洛社镇镇北村河西高标准农田建设项目施工",) * 2 + ("HSLS2022014", "HSLS2022014-01")]
+    assert [r.company_name for r in fourth] == ["江苏诣钦工程建设有限公司", "江苏翰林工程建设有限公司", "江苏金隆吉建设工程有限公司"]
+    assert "江苏翰林工程建设有限公司" in fourth[1].evidence
+
+
+def test_list_and_candidates_split_codes(spark):
+    cells = ["标段（包）编号：WXHS20210908001-S04", "标段（包）名称：前洲片区生态综合整治项目（农田水利部分）水利基建项目一标段", "序号", "单位名称", "投标联系人", "联系方式", "1", "甲建设有限公司", "联系人建设有限公司", "2", "乙水利工程有限公司", "另一联系人有限公司"]
+    at = [(500, 40), (500, 70), (100, 120), (320, 120), (620, 120), (820, 120), (100, 160), (320, 160), (620, 160), (100, 200), (320, 200), (620, 200)]
+    got = run(spark, "bid_list", (cells, {"at": at, "method": "ocr"}))
+    assert [r["company_name"] for r in got] == ["甲建设有限公司", "乙水利工程有限公司"]
+    assert {(r["project_name"], r["lot_name"]) for r in got} == {("前洲片区生态综合整治项目（农田水利部分）水利基建项目", "前洲片区生态综合整治项目（农田水利部分）水利基建项目一标段")}
+    assert {(r["project_code"], r["lot_code"], r["award_status"], r["review_status"]) for r in got} == {("WXHS20210908001", "WXHS20210908001-S04", "未知", "通过")}
+    listed = ["测试农田建设项目中标候选人公示", "项目编号：ABC20260001-S01", "五、所有投标人得分汇总表：", "序号 投标人名称 排名", "1 甲建设有限公司 1", "2 乙工程有限公司 2", "六、拟定中标人：甲建设有限公司"]
+    got = run(spark, "bid_candidates", (listed, {}))
+    assert [(r["company_name"], r["award_status"], r["project_code"], r["lot_code"]) for r in got] == [("甲建设有限公司", "是", "ABC20260001", "ABC20260001-S01"), ("乙工程有限公司", "否", "ABC20260001", "ABC20260001-S01")]
+
+
 def test_selection_and_process(spark):
     assert api.selected(exclude=["bid_list"])[:2] == ("tender_cover", "bid_evaluation_report")
     for bad in ({"include": []}, {"only": "x"}, {"include": ["bid_list"], "only": "bid_list"}):

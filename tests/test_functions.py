@@ -33,7 +33,8 @@ def test_confidence_and_names(spark):
     assert values(spark, X.company_names, "中标人：江苏甲建设有限公司，乙集团有限公司") == [["江苏甲建设有限公司", "乙集团有限公司"]]
     assert values(spark, lambda c: X.company_names(c, True), "本公司委托江苏丙工程有限公司") == [["江苏丙工程有限公司"]]
     assert values(spark, X.shorten, "x" * 501) == ["x" * 500 + "…"]
-    assert [(r["project"], r["lot"]) for r in values(spark, X.code_and_lot, "JS2024001-A12", "js—01", "ABC")] == [("JS2024001", "A12"), ("JS", "01"), ("ABC", "")]
+    assert [(r["project"], r["lot"]) for r in values(spark, X.code_and_lot, "JS2024001-A12", "js—01", "ABC", "WXHS20210908001-S04", "AB_01", "x－1 ")] == [
+        ("JS2024001", "JS2024001-A12"), ("JS", "JS-01"), ("ABC", ""), ("WXHS20210908001", "WXHS20210908001-S04"), ("AB_01", ""), ("X", "X-1")]
 
 
 def test_readable(spark):
