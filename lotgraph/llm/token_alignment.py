@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -38,7 +39,7 @@ class Encoder:
     path: str
 
     def load(self) -> tuple[Callable[[list[str]], list[list[int]]], list[bytes]]:
-        """(encode, bytes of each id)"""
+        """(encode, bytes of each id), loaded once in a worker."""
         return (_byte_bpe if self.kind == "bytes" else _piece_bpe)(self.path)
 
     def splits(self) -> bool:
@@ -54,6 +55,7 @@ def piece_bpe(path: str = f"{FOLDER}/piece_bpe_32k.model") -> Encoder:
     return Encoder("pieces", path)
 
 
+@lru_cache(2)
 def _byte_bpe(path: str):
     from tokenizers import Tokenizer
 
@@ -68,6 +70,7 @@ def _byte_bpe(path: str):
     return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], of_id
 
 
+@lru_cache(2)
 def _piece_bpe(path: str):
     import sentencepiece
 
@@ -98,8 +101,8 @@ def tokenize(distinct: DataFrame, a: Encoder, b: Encoder) -> DataFrame:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         loaded = [x.load() for x in (a, b)]
         for batch in batches:
-            for at in range(0, len(batch), 4096):
-                piece = batch.slice(at, 4096)
+            for at in range(0, len(batch), 1024):
+                piece = batch.slice(at, 1024)
                 texts = piece.column(0).to_pylist()
                 raw = [x.encode() for x in texts]
                 ids = [encode(texts) for encode, _ in loaded]
