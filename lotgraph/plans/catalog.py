@@ -12,7 +12,7 @@ from ..functions import status as S
 from ..functions import text as X
 from ..operators import crawl, extraction, keys, pages, risk, statistics
 from ..streaming import runs
-from .streams import stream_name_dedup, stream_run_state
+from .streams import run_outcomes, stream_name_dedup, stream_run_outcomes, stream_run_state
 from .views import BIDS, IN_ORDER, NETWORK, bidders, bids, events, facts, members, table, tender_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -456,8 +456,39 @@ def company_evidence(spark, sf_dir):
     return found.groupBy("company_key", "risk_type", "value", "source").agg(F.count("*").alias("n"))
 
 
+#: A run ends with the first poll that ends it, or at the deadline after the first poll whose successor comes later.
+OUTCOMES = """WITH p AS (
+  SELECT user_id * 100 + floor((ts::DATE - DATE '1970-01-01') / 3)::BIGINT % 100 AS run_id, epoch_us(ts) AS us, event_id AS id, event_type <> 'error' AS ok, event_id % 97 = 0 AS cancel, value > 60 AS done,
+         CASE WHEN event_type = 'purchase' THEN 'COMPLETED' WHEN event_type = 'signup' AND value > 60 THEN 'FAILED' WHEN event_type = 'click' THEN 'WAITING' ELSE 'RUNNING' END AS phase,
+         event_type = 'click' AND event_id % 2 <> 0 AS idle, event_type || floor(value / 20)::BIGINT AS print
+  FROM events
+),
+q AS (
+  SELECT *, row_number() OVER o AS n, min(us) OVER (PARTITION BY run_id) AS began, coalesce(lead(us) OVER o, (SELECT max(us) FROM p)) AS till,
+         ok AND NOT cancel AS heard, count(*) FILTER (WHERE ok AND NOT cancel) OVER o AS answers,
+         lag(CASE WHEN ok AND NOT cancel THEN print END IGNORE NULLS) OVER o AS known, last_value(CASE WHEN ok AND NOT cancel THEN idle END IGNORE NULLS) OVER o AS idles
+  FROM p WINDOW o AS (PARTITION BY run_id ORDER BY us, id)
+),
+r AS (
+  SELECT *, coalesce(max(us) FILTER (WHERE heard AND known IS DISTINCT FROM print) OVER (PARTITION BY run_id ORDER BY us, id), began) AS progress,
+         min(us) FILTER (WHERE NOT ok AND NOT cancel) OVER (PARTITION BY run_id, answers ORDER BY us, id) AS outage, least(began + 172800000000, us + 64800000000) AS due,
+         CASE WHEN idles THEN 'stale_waiting' ELSE 'pending_reconciliation' END AS undecided
+  FROM q
+),
+e AS (
+  SELECT *, CASE WHEN cancel THEN 'cancel_requested' WHEN NOT ok AND us - outage >= 21600000000 THEN 'outage' WHEN ok AND phase = 'FAILED' THEN 'failed' WHEN ok AND phase = 'COMPLETED' AND done THEN 'completed'
+                 WHEN ok AND us - progress >= 86400000000 THEN 'stalled' WHEN due <= till AND due = began + 172800000000 THEN 'timeout' WHEN due <= till THEN 'silent' END AS reason
+  FROM r
+),
+f AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY us, id) AS k FROM e WHERE reason IS NOT NULL)
+SELECT run_id, CASE WHEN reason IN ('failed', 'timeout') THEN 'failed' WHEN reason = 'completed' THEN 'completed' ELSE undecided END AS status, reason,
+       (n - (reason = 'cancel_requested')::INT)::BIGINT AS polls, make_timestamp(progress) AS last_progress, make_timestamp(CASE WHEN reason IN ('timeout', 'silent') THEN due ELSE us END) AS ended_at
+FROM f WHERE k = 1"""
+
 query(None)(stream_name_dedup)
 query(STALL)(stream_run_state)
+query(OUTCOMES)(run_outcomes)
+query(OUTCOMES)(stream_run_outcomes)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

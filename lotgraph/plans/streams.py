@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import Scratch
-from ..streaming import runs
+from ..streaming import polls, runs
 from .views import table
 
+#: Limits of the registered run queries, in seconds.
+LIMITS = polls.Limits(hard=172_800, grace=21_600, stall=86_400, silence=64_800)
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under spark.checkpoint.dir, as Scratch has it."""
@@ -44,3 +48,48 @@ def stream_run_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = spark.read.schema("run_id long, events long, changes long, last_state string, stalled boolean, batch int").parquet(f"{folder}/out/*")
     last = Window.partitionBy("run_id").orderBy(F.desc("batch"))
     return states.withColumn("_r", F.row_number().over(last)).where("_r = 1").select("run_id", "events", "changes", "last_state", "stalled")
+
+
+def run_polls(events: DataFrame) -> DataFrame:
+    """The events as polls of runs: a run for each user and three days; errors are polls without an answer."""
+    kind, value = F.col("event_type"), F.col("value")
+    phase = F.when(kind == "purchase", "COMPLETED").when((kind == "signup") & (value > 60), "FAILED").when(kind == "click", "WAITING").otherwise("RUNNING")
+    return events.select(
+        (F.col("user_id") * 100 + F.floor(F.datediff("ts", F.lit("1970-01-01")) / 3) % 100).alias("run_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("poll_id"), (kind != "error").alias("ok"), phase.alias("phase"), (value > 60).alias("terminal"),
+        (kind != "click").cast("int").alias("nodes"), (F.col("event_id") % 2 == 0).alias("begun"), F.concat(kind, F.floor(value / 20).cast("string")).alias("fingerprint"), (F.col("event_id") % 97 == 0).alias("cancel"),
+    )
+
+
+def without_zone(ended: DataFrame) -> DataFrame:
+    return ended.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("last_progress", "ended_at")})
+
+
+def run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each run ended, by windows over the finished table."""
+    return without_zone(polls.outcomes_batch(run_polls(table(spark, sf_dir, "events")), LIMITS))
+
+
+def _arrivals(spark: SparkSession, sf_dir: str, folder: str, parts: int = 3) -> DataFrame:
+    """The events as files that landed one part after the other in the order of time, read as a stream of so many batches."""
+    landed = table(spark, sf_dir, "events")
+    cuts = landed.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [k / parts for k in range(1, parts)]).alias("c")).first().c
+    part = F.lit(0)
+    for c in cuts or []:
+        part = part + (F.unix_micros(F.col("ts").cast("timestamp")) > c).cast("int")
+    for k in range(parts):
+        landed.where(part == k).repartition(4, "event_id").write.mode("append").parquet(f"{folder}/landed")
+    return spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 4).parquet(f"{folder}/landed")
+
+
+def stream_run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """run_outcomes by the stream's timers: each run that ended is one row of the file sink."""
+    folder = shared_folder(spark)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    try:
+        ended = polls.outcomes(run_polls(_arrivals(spark, sf_dir, folder)), LIMITS)
+        query = ended.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/log").outputMode("append").trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    return without_zone(spark.read.schema(polls.OUTCOME).parquet(f"{folder}/out"))
