@@ -9,9 +9,11 @@ a block meets its distinct segments, so occurrences of a common segment never tr
 from __future__ import annotations
 
 import json
+import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -43,8 +45,10 @@ class Encoder:
         return (_byte_bpe if self.kind == "bytes" else _piece_bpe)(self.path)
 
     def splits(self) -> bool:
-        """Whether no entry has a blank after another sign, so that no token crosses a cut."""
-        return not any(b" " in x.lstrip(b" ") for x in self.load()[1])
+        """Whether no entry has a blank where a text may be cut, so that no token crosses a cut. Bytes that are no whole sign count as signs."""
+        before = lambda c: c.isspace() or (unicodedata.category(c)[0] in "ZC" and unicodedata.category(c) != "Cs")
+        shown = (x.decode("utf-8", "surrogateescape") for x in self.load()[1] if b" " in x.lstrip(b" "))
+        return all(before(a) for x in shown for a, b in pairwise(x) if b == " " and a != " ")
 
 
 def byte_bpe(path: str = f"{FOLDER}/byte_bpe_50k.json") -> Encoder:
