@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Callable
 
@@ -13,6 +14,7 @@ from pyspark.sql.types import StringType
 
 #: One explicit class for Unicode white space, so that no engine's idea of \s matters.
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
+BLANK_SIGNS = "".join(c for c in map(chr, range(0x3001)) if re.match(SPACE, c))
 #: Placeholders that stand for no value.
 PLACEHOLDERS = ("", "-", "--", "/", "无", "暂无", "未知", "未披露", "null", "none")
 #: Organisation endings, the longest first.
@@ -43,7 +45,11 @@ def blank_to_empty(value: Column) -> Column:
 
 def clean(value: Column) -> Column:
     """Null to empty, NUL removed, white space stripped at both ends."""
-    return F.regexp_replace(F.replace(blank_to_empty(value), F.lit("\x00"), F.lit("")), f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(without_nul(value), F.lit(BLANK_SIGNS))
+
+
+def without_nul(value: Column) -> Column:
+    return F.replace(blank_to_empty(value), F.lit("\x00"), F.lit(""))
 
 
 def nullable(value: Column) -> Column:
@@ -56,7 +62,7 @@ def no_space(value: Column) -> Column:
 
 def key_part(value: Column) -> Column:
     """What two spellings of one key share: no white space, lower case, ß as ss."""
-    return F.replace(F.lower(no_space(clean(value))), F.lit("ß"), F.lit("ss"))
+    return F.replace(F.lower(no_space(without_nul(value))), F.lit("ß"), F.lit("ss"))
 
 
 def person_key(value: Column) -> Column:
@@ -66,7 +72,8 @@ def person_key(value: Column) -> Column:
 
 def fingerprint(*parts: Column | str) -> Column:
     """sha256 over the parts' keys, separated by U+001F. Parts are never null, as concat_ws would skip nulls."""
-    return F.sha2(F.concat_ws("\x1f", *[key_part(F.lit(p) if isinstance(p, str) else p) for p in parts]), 256)
+    known = F.sha2(F.concat_ws("\x1f", *[key_part(F.lit(p) if isinstance(p, str) else p) for p in parts]), 256)
+    return F.coalesce(known, F.lit(""))  # never null, so a join on it needs no filter that computes it again
 
 
 def confidence(value: Column) -> Column:

@@ -97,7 +97,7 @@ def merge_records(records: DataFrame) -> DataFrame:
         F.min_by("rank", chosen).alias("rank"),
         listed(F.col("category")).alias("category"), listed(F.col("source_path")).alias("source_path"), listed(page).alias("source_pages"),
         listed(F.col("extraction_method")).alias("extraction_method"), listed(F.col("evidence")).alias("evidence"),
-        F.max("confidence").alias("confidence"), F.max("generated_at").alias("generated_at"),
+        F.max("confidence").alias("confidence"), F.max("generated_at").alias("generated_at"), F.min("ord").alias("ord"),
         (F.count_distinct(F.when(decided, F.col("award_status"))) > 1).alias("_conflict"),
         F.max((F.col("review_status") != PASSED).cast("int")).alias("_review"), F.count("*").alias("n_records"),
     )

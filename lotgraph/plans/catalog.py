@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import api
 from ..functions import documents as D
 from ..functions import status as S
 from ..functions import text as X
@@ -35,6 +36,8 @@ def _pairs(spark, sf_dir):
     return risk.competitor_pairs(bidders(spark, sf_dir))
 
 
+K = lambda *parts: f"sha256(concat_ws(chr(31), {', '.join(parts)}))"
+KEY = lambda c: f"lower(replace({c}, ' ', ''))"
 RISK_COLUMNS = ("comparison_type", "risk_type", "value", "root_a", "root_b", "company_a", "company_b", "role_a", "role_b")
 
 
@@ -77,26 +80,62 @@ def common_projects(spark, sf_dir):
     return risk.common_projects(found, b).groupBy("root_a", "root_b").agg(F.count("*").alias("n_projects"), F.min("project_key").alias("first_project"))
 
 
+#: Orders of 1997 on are the current run, the others earlier ones; a supplier of both may be spelled in two ways.
+@query(f"""WITH {NETWORK},
+now AS (SELECT * FROM bidders JOIN (SELECT o_orderkey::VARCHAR AS k FROM orders WHERE o_orderdate >= '1997-01-01') ON project_key = k),
+known AS (SELECT DISTINCT company_key FROM now),
+had AS (SELECT DISTINCT project_key FROM bidders WHERE company_key IN (SELECT company_key FROM known)),
+al AS (SELECT b.project_key, b.company_key, CASE WHEN n.k IS NULL THEN upper(b.company_key) ELSE b.company_key END AS shown FROM bidders b JOIN had ON had.project_key = b.project_key LEFT JOIN now n ON n.project_key = b.project_key AND n.company_key = b.company_key),
+risky AS (
+  SELECT DISTINCT s.root_a, s.root_b FROM (SELECT root_a, root_b, project_key FROM shared UNION ALL SELECT root_a, root_b, project_key FROM identity) s JOIN now n ON n.project_key = s.project_key
+),
+names AS (SELECT project_key, count(*) AS n_bidders, sum((shown = upper(shown))::INT)::BIGINT AS n_past FROM al GROUP BY 1)
+SELECT r.root_a, r.root_b, count(*) AS n_projects, min(a.project_key) AS first_project, sum(n_bidders)::BIGINT AS n_bidders, sum(n_past)::BIGINT AS n_past
+FROM risky r JOIN al a ON a.company_key = r.root_a JOIN al b ON b.company_key = r.root_b AND b.project_key = a.project_key JOIN names ON names.project_key = a.project_key GROUP BY 1, 2""")
+def run_common_projects(spark, sf_dir):
+    """Risks of a run with the projects common to their roots, those of earlier runs too."""
+    everyone = bidders(spark, sf_dir).withColumns({"ord": F.col("project_key"), **{c: F.col("project_key") for c in ("project_name", "project_code", "lot_code", "lot_name")}})
+    recent = table(spark, sf_dir, "orders").where("o_orderdate >= '1997-01-01'").select(F.col("o_orderkey").cast("string").alias("project_key"))
+    now = everyone.join(recent, "project_key", "left_semi").withColumn("company_name", F.col("company_key"))
+    named = everyone.join(now.select("company_key").distinct(), "company_key", "left_semi").select("project_key").distinct()
+    past = everyone.join(named, "project_key", "left_semi").withColumn("company_name", F.upper("company_key"))
+    found = risk.detect(now, members(spark, sf_dir), facts(spark, sf_dir))
+    everything = risk.with_history(now, past)
+    views = risk.project_views(everything).select("project_key", F.size("bidders").alias("b"), F.size(F.filter("bidders", lambda x: x == F.upper(x))).alias("p"))
+    return risk.common_projects(found, everything).join(views, "project_key").groupBy("root_a", "root_b").agg(
+        F.count("*").alias("n_projects"), F.min("project_key").alias("first_project"), F.sum("b").alias("n_bidders"), F.sum("p").alias("n_past")
+    )
+
+
+#: Two runs: line 1 to 3 of each order, then all of them, as the same record when the supplier and status are the same.
+@query(f"""WITH {BIDS}, k AS (SELECT *, {K("'business'", KEY("CASE WHEN project_code <> '' THEN project_code ELSE project_name END"), KEY('lot_code'), KEY('company_name'))} AS business_key FROM bids),
+r AS (SELECT *, 2 AS run FROM k UNION ALL SELECT *, 1 FROM k WHERE source_pages <= '3')
+SELECT business_key, 'run-' || arg_max(run, (run, ord)) AS run_id, arg_max(source_path, (run, ord)) AS source_path, arg_max(award_status, (run, ord)) AS award_status FROM r GROUP BY 1""")
+def stored_runs(spark, sf_dir):
+    """The result table after two runs: of a key the last record of the later run, in the order of reading."""
+    rows = bids(spark, sf_dir)
+    first = api.store(None, rows.where("source_pages <= '3'"), "run-1")
+    return api.store(first, rows.repartition(3, "evidence"), "run-2").select("business_key", "run_id", "source_path", "award_status")
+
+
 @query(f"WITH {NETWORK} SELECT count(*) AS pairs FROM (SELECT DISTINCT root_a, root_b FROM shared)")
 def cross_pair_count(spark, sf_dir):
     found = risk.shared_values(_pairs(spark, sf_dir), members(spark, sf_dir), facts(spark, sf_dir))
     return statistics.visible(found).select("root_a", "root_b").distinct().agg(F.count("*").alias("pairs"))
 
 
-@query(f"""WITH {NETWORK}, m AS (SELECT DISTINCT role, company_key FROM members), has AS (SELECT DISTINCT company_key FROM facts WHERE risk_type = 'shared_email' AND value >= 'b5')
+@query(f"""WITH {NETWORK}, m AS (SELECT DISTINCT role, company_key FROM members), has AS (SELECT DISTINCT company_key FROM facts)
 SELECT role, count(*) AS companies, count(h.company_key) AS matched, count(*) - count(h.company_key) AS unmatched FROM m LEFT JOIN has h ON m.company_key = h.company_key GROUP BY 1""")
 def coverage_summary(spark, sf_dir):
-    return risk.coverage(members(spark, sf_dir), facts(spark, sf_dir).where("risk_type = 'shared_email' and value >= 'b5'"))
+    return risk.coverage(members(spark, sf_dir), facts(spark, sf_dir))
 
 
-@query("SELECT lower(s_name) AS company_key FROM supplier WHERE s_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 9000)")
+@query(f"WITH {NETWORK} SELECT lower(s_name) AS company_key FROM supplier WHERE s_suppkey NOT IN (SELECT s FROM ties)")
 def unmatched(spark, sf_dir):
     m = members(spark, sf_dir)
     return m.where("role = 'root'").join(m.where("role = 'related'"), "root_key", "left_anti").select("company_key")
 
 
-K = lambda *parts: f"sha256(concat_ws(chr(31), {', '.join(parts)}))"
-KEY = lambda c: f"lower(replace({c}, ' ', ''))"
 
 
 @query(f"""WITH {BIDS} SELECT source_path,

@@ -55,10 +55,17 @@ def summary(bidders: DataFrame, members: DataFrame, risks: DataFrame) -> dict:
     return {**totals, **related, "risks": sum(by_type.values()), "riskTypes": {t: by_type.get(t, 0) for t in RISK_TYPES}, "comparisonTypes": {t: by_comparison.get(t, 0) for t in COMPARISONS}}
 
 
-def context(bidders: DataFrame, risks: DataFrame) -> dict:
-    """What the template shows: visible risks, losers, winners, recurring groups. These lists are findings, small by their thresholds."""
+def context(bidders: DataFrame, risks: DataFrame, most: int = 100_000) -> dict:
+    """What the template of one report shows: visible risks, losers, winners, recurring groups. A list of more than ``most`` rows is an error, and
+    write_context_tables is the way."""
     per = statistics.company_statistics(statistics.bid_records(bidders))
-    rows = lambda df: [r.asDict() for r in df.collect()]
+
+    def rows(df: DataFrame) -> list[dict]:
+        got = df.limit(most + 1).collect()
+        if len(got) > most:
+            raise ValueError(f"more than {most} rows are too many for one report; use write_context_tables")
+        return [r.asDict() for r in got]
+
     losers = rows(statistics.long_term_losers(per).orderBy(F.desc("bids"), "company"))
     winners = rows(statistics.high_win_rate(per).orderBy(F.desc("win_rate"), F.desc("bids"), "company"))
     groups = rows(statistics.maximal_groups(statistics.bid_records(bidders)).orderBy(F.desc("n_projects"), "companies"))
@@ -74,30 +81,51 @@ def render(template: str, values: dict, typeset: Callable[[str], bytes] | None =
     return typeset(text) if typeset else text
 
 
-def risk_tables(run_id: str, bidders: DataFrame, members: DataFrame, facts: DataFrame, generated_at: str) -> tuple[dict, DataFrame, DataFrame]:
-    """(head, projects, risks) of a run's document. The head holds counts only; the lists stay distributed."""
+def risk_tables(run_id: str, bidders: DataFrame, members: DataFrame, facts: DataFrame, generated_at: str, everything: DataFrame | None = None) -> tuple[dict, DataFrame, DataFrame, DataFrame]:
+    """(head, projects, risks, common projects) of a run's document. The head holds counts only; the lists stay distributed.
+
+    everything: bidders of current and past projects (risk.with_history), else the run's. Common projects: a row for each pair of roots with risks and each project that both bid for.
+    """
+    everything = bidders if everything is None else everything
     found = risk.detect(bidders, members, facts).withColumn("risk_id", risk.risk_id(run_id))
     coverage = {r["role"]: {"matched": r["matched"], "unmatched": r["unmatched"]} for r in risk.coverage(members, facts).collect()}
     listed = found.select("risk_id", "comparison_type", "risk_type", "value", "root_a", "root_b", "company_a", "company_b", "trigger_projects")
     counted = found.select(F.explode("trigger_projects").alias("projectKey")).groupBy("projectKey").agg(F.count("*").alias("riskCount"))
-    return {"schemaVersion": "2.0", "generatedAt": generated_at, "runId": run_id, "summary": summary(bidders, members, found), "coverage": coverage}, counted, listed
+    common = risk.common_projects(found, everything).join(risk.project_views(everything), "project_key")
+    return {"schemaVersion": "2.0", "generatedAt": generated_at, "runId": run_id, "summary": summary(bidders, members, found), "coverage": coverage}, counted, listed, common
 
 
-def write_risk_tables(run_id: str, bidders: DataFrame, members: DataFrame, facts: DataFrame, generated_at: str, folder: str) -> dict:
-    """The document in parts: projects and risks as JSON lines below the folder, written by the executors. Returns the head."""
-    head, projects, risks = risk_tables(run_id, bidders, members, facts, generated_at)
+def write_risk_tables(run_id: str, bidders: DataFrame, members: DataFrame, facts: DataFrame, generated_at: str, folder: str, everything: DataFrame | None = None) -> dict:
+    """The document in parts: projects, risks and common projects as JSON lines below the folder, written by the executors. Returns the head."""
+    head, projects, risks, common = risk_tables(run_id, bidders, members, facts, generated_at, everything)
     projects.write.mode("overwrite").json(f"{folder}/projects")
     risks.write.mode("overwrite").json(f"{folder}/risks")
+    common.write.mode("overwrite").json(f"{folder}/common_projects")
     return head
 
 
-def risk_document(run_id: str, bidders: DataFrame, members: DataFrame, facts: DataFrame, generated_at: str, most: int = 100_000) -> dict:
-    """The document of a run in one piece: head, projects with risks, and risks with their projects.
+def write_context_tables(bidders: DataFrame, risks: DataFrame, folder: str) -> None:
+    """The report's lists at any size, as JSON lines below the folder, written by the executors: losers, winners, groups, visible risks."""
+    per = statistics.company_statistics(statistics.bid_records(bidders))
+    shown = statistics.visible(risks).select("comparison_type", "report_type", "value", "root_a", "root_b")
+    for name, df in (("losers", statistics.long_term_losers(per)), ("winners", statistics.high_win_rate(per)), ("groups", statistics.maximal_groups(statistics.bid_records(bidders))), ("risks", shown)):
+        df.write.mode("overwrite").json(f"{folder}/{name}")
+
+
+def risk_document(run_id: str, bidders: DataFrame, members: DataFrame, facts: DataFrame, generated_at: str, most: int = 100_000, everything: DataFrame | None = None) -> dict:
+    """The document of a run in one piece: head, projects with risks, and risks with their projects and with all projects common to their roots.
 
-    For runs of a report's size: with more than ``most`` risks it is an error, and write_risk_tables is the way.
+    For runs of a report's size: with more than ``most`` risks or common projects it is an error, and write_risk_tables is the way.
     """
-    head, projects, risks = risk_tables(run_id, bidders, members, facts, generated_at)
+    head, projects, risks, common = risk_tables(run_id, bidders, members, facts, generated_at, everything)
     if head["summary"]["risks"] > most:
         raise ValueError(f"{head['summary']['risks']} risks are too many for one document; use write_risk_tables")
+    rows = common.orderBy("root_a", "root_b", "project_key").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} common projects are too many for one document; use write_risk_tables")
+    of_pair: dict = {}
+    for r in rows:
+        of_pair.setdefault((r.root_a, r.root_b), []).append({k: v for k, v in r.asDict().items() if k not in ("root_a", "root_b")})
     listed = risks.orderBy(F.element_at("trigger_projects", 1), "comparison_type", "risk_type", "value", "root_a")
-    return {**head, "projects": [r.asDict() for r in projects.orderBy("projectKey").collect()], "risks": [r.asDict() for r in listed.collect()]}
+    with_common = [r.asDict() | {"commonProjects": of_pair.get((min(r.root_a, r.root_b), max(r.root_a, r.root_b)), [])} for r in listed.collect()]
+    return {**head, "projects": [r.asDict() for r in projects.orderBy("projectKey").collect()], "risks": with_common}

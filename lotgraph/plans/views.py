@@ -48,34 +48,37 @@ def bidders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each supplier's network: itself, and the rich builders among its nation's customers."""
+    """Each supplier's network: itself, and the customers related to it. Every customer is related to two suppliers, by the remainder of the square of its number;
+    so some suppliers have many and some none."""
     s, c = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
     own = s.select(F.lower("s_name").alias("root_key"), F.lower("s_name").alias("company_key"), F.col("s_name").alias("company_name"), F.lit("root").alias("role"))
-    rich = c.where("c_mktsegment = 'BUILDING' and c_acctbal > 9000").select("c_nationkey", "c_name")
-    related = s.join(rich, F.col("s_nationkey") == F.col("c_nationkey")).select(F.lower("s_name").alias("root_key"), F.lower("c_name").alias("company_key"), F.col("c_name").alias("company_name"), F.lit("related").alias("role"))
+    n, square = s.agg(F.count("*")).scalar(), F.col("c_custkey") * F.col("c_custkey")
+    ties = c.select("c_name", F.explode(F.array(square % n, (square + 1) % n)).alias("_of"))
+    related = s.join(ties, F.col("s_suppkey") == F.col("_of")).select(F.lower("s_name").alias("root_key"), F.lower("c_name").alias("company_key"), F.col("c_name").alias("company_name"), F.lit("related").alias("role"))
     return own.unionByName(related)
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shared phones by nation, shared addresses by thousands of the balance."""
-    s = table(spark, sf_dir, "supplier").select(F.lower("s_name").alias("company_key"), F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("balance"))
-    c = table(spark, sf_dir, "customer").select(F.lower("c_name").alias("company_key"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance"))
-    values = F.explode(F.array(
-        F.struct(F.lit("shared_phone").alias("risk_type"), F.concat(F.lit("n"), F.col("nation")).alias("value")),
-        F.struct(F.lit("shared_email").alias("risk_type"), F.concat(F.lit("b"), F.floor(F.col("balance") / 1000)).alias("value")),
-    )).alias("f")
-    return s.unionByName(c).select("company_key", values).select("company_key", "f.risk_type", "f.value", F.col("f.value").alias("display"))
+    """Phones shared by a nation's suppliers and by three customers each, one of seven customers without any; addresses by tens of the balance, none in debt."""
+    s = table(spark, sf_dir, "supplier").select(F.lower("s_name").alias("company_key"), F.concat(F.lit("n"), F.col("s_nationkey")).alias("phone"), F.col("s_acctbal").alias("balance"))
+    phone = F.when(F.col("c_custkey") % 7 != 0, F.concat(F.lit("p"), F.floor(F.col("c_custkey") / 3)))
+    c = table(spark, sf_dir, "customer").select(F.lower("c_name").alias("company_key"), phone.alias("phone"), F.col("c_acctbal").alias("balance"))
+    address = F.when(F.col("balance") >= 0, F.concat(F.lit("b"), F.floor(F.col("balance") / 10)))
+    values = F.explode(F.array(F.struct(F.lit("shared_phone").alias("risk_type"), F.col("phone").alias("value")), F.struct(F.lit("shared_email").alias("risk_type"), address.alias("value")))).alias("f")
+    return s.unionByName(c).select("company_key", values).where("f.value is not null").select("company_key", "f.risk_type", "f.value", F.col("f.value").alias("display"))
 
 
 NETWORK = """bidders AS (SELECT DISTINCT l_orderkey::VARCHAR AS project_key, lower(s_name) AS company_key FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+ties AS (SELECT c_name, unnest([(c_custkey * c_custkey) % n, (c_custkey * c_custkey + 1) % n]) AS s FROM customer, (SELECT count(*) AS n FROM supplier)),
 members AS (
   SELECT lower(s_name) AS root_key, lower(s_name) AS company_key, 'root' AS role FROM supplier
-  UNION ALL SELECT lower(s_name), lower(c_name), 'related' FROM supplier JOIN customer ON s_nationkey = c_nationkey AND c_mktsegment = 'BUILDING' AND c_acctbal > 9000
+  UNION ALL SELECT lower(s_name), lower(c_name), 'related' FROM supplier JOIN ties ON s_suppkey = s
 ),
-holders AS (SELECT lower(s_name) AS company_key, s_nationkey AS nation, s_acctbal AS balance FROM supplier UNION ALL SELECT lower(c_name), c_nationkey, c_acctbal FROM customer),
 facts AS (
-  SELECT company_key, 'shared_phone' AS risk_type, 'n' || nation AS value FROM holders
-  UNION ALL SELECT company_key, 'shared_email', 'b' || floor(balance / 1000)::BIGINT FROM holders
+  SELECT lower(s_name) AS company_key, 'shared_phone' AS risk_type, 'n' || s_nationkey AS value FROM supplier
+  UNION ALL SELECT lower(c_name), 'shared_phone', 'p' || (c_custkey // 3) FROM customer WHERE c_custkey % 7 <> 0
+  UNION ALL SELECT lower(s_name), 'shared_email', 'b' || floor(s_acctbal / 10)::BIGINT FROM supplier WHERE s_acctbal >= 0
+  UNION ALL SELECT lower(c_name), 'shared_email', 'b' || floor(c_acctbal / 10)::BIGINT FROM customer WHERE c_acctbal >= 0
 ),
 occurs AS (SELECT project_key, root_key, m.company_key, role, risk_type, value FROM bidders b JOIN members m ON b.company_key = m.root_key JOIN facts f ON f.company_key = m.company_key),
 shared AS (
