@@ -2,19 +2,21 @@
 
 Neither tokenizer merges across a place where a blank follows a sign that is no blank (see segments), so a text's tokens are those of its segments, and both
 tokenizers cut there. Segments are aligned as small documents: exploded tokens, running lengths, an equi-join on the ends, running counts of
-common ends as group numbers, a range join for the links. Documents then add up their segments. Documents are dealt into blocks of bounded bytes;
+common ends as group numbers, a range join (by windows over the ends) for the links. Documents then add up their segments. Documents are dealt into blocks of bounded bytes;
 a block meets its distinct segments, so occurrences of a common segment never travel to one task.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import pairwise
+from itertools import chain, pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,8 +29,6 @@ FOLDER = "/opt/tokenizers"
 CUT = r"(?<=[^\s\p{Z}\p{C}])(?= )"
 #: Documents of about so many bytes of text make a block.
 BLOCK_BYTES = 12 << 20
-#: Tokens meet in buckets of so many bytes, so that a long group is no product of its tokens.
-BUCKET = 64
 #: Sides of a join that are both dealt by some of its keys stay where they are.
 CO_LOCATED = {"spark_sql_requireAllClusterKeysForCoPartition": "false"}
 
@@ -83,7 +83,7 @@ def _piece_bpe(path: str):
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i)
         of_id.append(bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode())
-    return lambda texts: [model.encode(x[1:], num_threads=1) for x in texts], of_id
+    return lambda texts: model.encode([x[1:] for x in texts], num_threads=1), of_id
 
 
 def segments(text: Column, cut: bool = True) -> Column:
@@ -100,63 +100,64 @@ def tokenize(distinct: DataFrame, a: Encoder, b: Encoder) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         loaded = [x.load() for x in (a, b)]
+        lengths = [np.array([len(x) for x in of], np.int32) for _, of in loaded]
         for batch in batches:
             for at in range(0, len(batch), 1024):
                 piece = batch.slice(at, 1024)
                 texts = piece.column(0).to_pylist()
-                raw = [x.encode() for x in texts]
                 ids = [encode(texts) for encode, _ in loaded]
-                ok = [all(b"".join([of[i] for i in got[k]]) == raw[k] for (_, of), got in zip(loaded, ids, strict=True)) for k in range(len(texts))]
-                columns = [piece.column(0)]
+                raw = [x.encode() for x in texts]
+                ok = np.ones(len(texts), bool)
                 for (_, of), got in zip(loaded, ids, strict=True):
-                    kept = [x if good else [] for x, good in zip(got, ok, strict=True)]
-                    columns += [pa.array(kept, pa.list_(pa.int32())), pa.array([[len(of[i]) for i in x] for x in kept], pa.list_(pa.int32()))]
+                    if b"".join([of[i] for x in got for i in x]) != b"".join(raw):
+                        ok &= [b"".join([of[i] for i in x]) == r for x, r in zip(got, raw, strict=True)]
+                columns = [piece.column(0)]
+                for got, length in zip(ids, lengths, strict=True):
+                    kept = got if ok.all() else [x if good else [] for x, good in zip(got, ok, strict=True)]
+                    cuts = pa.array(np.cumsum([0, *map(len, kept)]).astype(np.int32))
+                    flat = np.fromiter(chain.from_iterable(kept), np.int32)
+                    columns += [pa.ListArray.from_arrays(cuts, pa.array(flat)), pa.ListArray.from_arrays(cuts, pa.array(length[flat]))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(ok)], names=["seg", "a", "a_len", "b", "b_len", "ok"])
 
     return distinct.mapInArrow(run, "seg string, a array<int>, a_len array<int>, b array<int>, b_len array<int>, ok boolean")
 
 
 def tokens(told: DataFrame, side: str, key: str = "s") -> DataFrame:
-    """A row for each token: key, pos, id, start and end in bytes, by running sums of the lengths."""
+    """A row for each token: key, end in bytes by running sums of the lengths, and the id in a column named ``side``."""
     rows = told.select(key, F.posexplode(F.arrays_zip(F.col(side).alias("id"), F.col(f"{side}_len").alias("n"))).alias("pos", "t"))
     ends = F.sum("t.n").over(Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-    return rows.select(key, "pos", F.col("t.id").alias("id"), (ends - F.col("t.n")).alias("start"), ends.alias("end"))
+    return rows.select(key, ends.alias("end"), F.col("t.id").alias(side))
 
 
-def grouped(own: DataFrame, other: DataFrame, key: str = "s") -> DataFrame:
-    """own with g, the number of ends common with ``other`` before the token: tokens between two common ends are a group."""
-    joined = own.join(shuffled(other.select(key, "end", F.lit(1).alias("cut"))), [key, "end"], "left")
-    before = F.sum("cut").over(Window.partitionBy(key).orderBy("end").rowsBetween(Window.unboundedPreceding, -1))
-    return joined.withColumn("g", F.coalesce(before, F.lit(0)))
+def boundaries(told: DataFrame, key: str = "s") -> DataFrame:
+    """A row for each byte where a token of either tokenizer ends: key, end, a and b (the ids of the tokens that end there, else null), g (the number of
+    common ends before: tokens between two common ends are a group), over_a and over_b (the tokens that hold the byte before the end).
 
+    Two tokens overlap in one stretch without an end inside, so each end stands for one link, the pair (over_a, over_b): the range join of the tokens is
+    the next end of either side, found by a window, and is never larger than the tokens are many.
+    """
+    dealt = told.where("ok").repartition(4 * slices(told.sparkSession), key)
+    met = tokens(dealt, "a", key).join(shuffled(tokens(dealt, "b", key)), [key, "end"], "full")
+    order = Window.partitionBy(key).orderBy("end")
+    before, onward = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
+    common = F.count(F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), 1)).over(before)
+    return met.select("*", common.alias("g"), F.first("a", True).over(onward).alias("over_a"), F.first("b", True).over(onward).alias("over_b"))
 
-def linked(a: DataFrame, b: DataFrame, key: str = "s") -> DataFrame:
-    """A row (key, a, b) for each pair of tokens whose byte ranges overlap: within a group, met in the buckets that both touch, kept where the overlap begins."""
-    wide = lambda x, n: x.select(key, "g", F.col("id").alias(n), F.col("start").alias(f"{n}_start"), F.col("end").alias(f"{n}_end"), F.explode(F.sequence(F.expr(f"start div {BUCKET}"), F.expr(f"(end - 1) div {BUCKET}"))).alias("_k"))
-    first = F.expr(f"greatest(a_start, b_start) div {BUCKET}")
-    met = wide(a, "a").join(shuffled(wide(b, "b")), [key, "g", "_k"])
-    return met.where((F.col("a_start") < F.col("b_end")) & (F.col("b_start") < F.col("a_end")) & (first == F.col("_k"))).select(key, "a", "b")
 
+def pair(a: str, b: str) -> Column:
+    """Two ids as one number."""
+    return F.shiftleft(F.col(a).cast("long"), 32) + F.col(b)
 
-def align_segments(told: DataFrame, key: str = "s") -> tuple[DataFrame, DataFrame]:
-    """(links, groups): (key, a, b, n) with the number of linked occurrences of each pair of ids, and (key, n_groups, groups)
-    with the groups as text: ``a1,a2|b1;a3|b2,b3``, ids in order."""
-    dealt = told.where("ok").repartition(4 * slices(told.sparkSession), key)
-    a, b = tokens(dealt, "a", key), tokens(dealt, "b", key)
-    ga, gb = grouped(a, b, key), grouped(b, a, key)
-    links = linked(ga, gb, key).groupBy(key, "a", "b").agg(F.count("*").alias("n"))
-    both = ga.select(key, "g", F.lit(0).alias("side"), "pos", "id").union(gb.select(key, "g", F.lit(1), "pos", "id"))
-    listed = F.array_sort(F.collect_list(F.struct("side", "pos", "id")))
-    by_group = both.groupBy(key, "g").agg(listed.alias("x"))
-    shown = lambda side: F.array_join(F.transform(F.filter("x", lambda t: t["side"] == side), lambda t: t["id"].cast("string")), ",")
-    by_group = by_group.select(key, "g", F.concat(shown(0), F.lit("|"), shown(1)).alias("x"))
+
+def align_segments(told: DataFrame, key: str = "s") -> DataFrame:
+    """(key, n_groups, groups, pairs): the groups as text ``a1,a2|b1;a3|b2,b3``, ids in order, and the pair of ids of each link (see pair)."""
+    listed = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("end", c)))), lambda x: x[c].cast("string")), ",")
+    by_group = boundaries(told, key).groupBy(key, "g").agg(F.concat(listed("a"), F.lit("|"), listed("b")).alias("x"), F.collect_list(pair("over_a", "over_b")).alias("p"))
     whole = F.array_sort(F.collect_list(F.struct("g", "x")))
-    groups = by_group.groupBy(key).agg(F.count("*").alias("n_groups"), whole.alias("x"))
-    return links, groups.select(key, "n_groups", F.array_join(F.transform("x", lambda t: t["x"]), ";").alias("groups"))
+    out = by_group.groupBy(key).agg(F.count("*").alias("n_groups"), whole.alias("x"), F.flatten(F.collect_list("p")).alias("pairs"))
+    return out.select(key, "n_groups", F.array_join(F.transform("x", lambda t: t["x"]), ";").alias("groups"), "pairs")
 
 
 def align(docs: DataFrame, a: Encoder, b: Encoder, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -176,40 +177,41 @@ def align(docs: DataFrame, a: Encoder, b: Encoder, id_col: str = "doc_id", text_
     texts = scratch.keep(texts, "texts")
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(slices(spark), -(-total // BLOCK_BYTES))
-    split = texts.select("k", "id", F.pmod(F.xxhash64("k"), F.lit(n_blocks)).alias("blk"), segments(F.col("text"), cut).alias("segs"))
-    blocks = scratch.keep(split.select("blk", F.explode("segs").alias("seg")).distinct(), "blocks")
-    told = tokenize(blocks.select("seg").distinct(), a, b).select(F.monotonically_increasing_id().alias("s"), F.xxhash64("seg").alias("h"), "*")
-    told = scratch.keep(told, "tokens")
+    texts = texts.withColumn("blk", F.pmod(F.xxhash64("k"), F.lit(n_blocks)))
+    cut_up = lambda df: df.withColumn("segs", segments(F.col("text"), cut)).drop("text")
+    blocks = scratch.keep(cut_up(texts).select("blk", F.explode("segs").alias("seg")).distinct(), "blocks")
+    told = scratch.keep(tokenize(blocks.select("seg").distinct(), a, b).withColumn("s", F.monotonically_increasing_id()), "tokens")
     bad = told.where("not ok").select("seg")
     if not bad.isEmpty():
-        fail = split.select("k", F.explode("segs").alias("seg")).join(shuffled(bad), "seg", "left_semi").select("k").distinct()
+        fail = cut_up(texts).select("k", F.explode("segs").alias("seg")).join(shuffled(bad), "seg", "left_semi").select("k").distinct()
         fail = scratch.keep(fail.withColumn("fail", F.lit(True)), "fail")
-        split = split.join(shuffled(fail), "k", "left").withColumn("segs", F.when(F.col("fail"), F.array().cast("array<string>")).otherwise(F.col("segs"))).drop("fail")
-    links, groups = align_segments(told)
-    links = scratch.keep(links, "links", **CO_LOCATED)
-    groups = scratch.keep(groups, "groups", **CO_LOCATED)
-    by_block = lambda x: x.repartition(n_blocks, "blk")
+        texts = texts.join(shuffled(fail), "k", "left").withColumn("text", F.when(F.col("fail").isNull(), F.col("text"))).drop("fail")
+    aligned = told.select("s", "seg", F.size("a").alias("n_a"), F.size("b").alias("n_b")).join(shuffled(align_segments(told)), "s")
+    aligned = scratch.keep(aligned, "aligned", **CO_LOCATED)
+    scratch.drop("tokens")
     same = ["blk", "h", "seg"]
+    dealt = cut_up(texts.repartition(n_blocks, "blk"))  # texts travel, not their segments
 
     def in_blocks(of: DataFrame) -> DataFrame:
         """Each block's distinct segments with what ``of`` has of them."""
-        return by_block(blocks.join(shuffled(of), "seg").withColumn("h", F.xxhash64("seg")))
-
-    pairs = links.groupBy("s").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
-    pairs = told.where("ok").select("s", "seg").join(shuffled(pairs), "s").select("seg", "pairs")
-    once = by_block(split).select("blk", "k", F.explode(F.array_distinct("segs")).alias("seg")).withColumn("h", F.xxhash64("seg"))
-    held = once.join(shuffled(in_blocks(pairs)), same).select("blk", "k", F.explode("pairs").alias("p")).select("blk", "k", "p.a", "p.b").distinct()
-    counts = scratch.keep(held.groupBy("a", "b").agg(F.count("*").alias("count")), "counts", **CO_LOCATED)
-    best = counts.groupBy("a").agg(F.max("count").alias("best"))
-    counts = scratch.keep(counts.join(shuffled(best), "a"), "ranked")
-    sums = links.join(shuffled(counts), ["a", "b"]).groupBy("s").agg(
-        F.sum("n").alias("n_links"), F.sum(F.when(F.col("count") == F.col("best"), F.col("n")).otherwise(0)).alias("n_best"), F.sum(F.col("n") * F.col("count")).alias("count_sum")
-    )
-    each = told.where("ok").select("s", "seg", F.size("a").alias("n_a"), F.size("b").alias("n_b")).join(shuffled(groups), "s").join(shuffled(sums), "s").drop("s")
-    each = scratch.keep(each, "each")
+        return blocks.join(shuffled(of), "seg").withColumn("h", F.xxhash64("seg")).repartition(n_blocks, "blk")
+
+    once = dealt.select("blk", "k", F.explode(F.array_distinct("segs")).alias("seg")).withColumn("h", F.xxhash64("seg"))
+    held = once.join(shuffled(in_blocks(aligned.select("seg", F.array_distinct("pairs").alias("pairs")))), same)
+    held = held.select("blk", "k", F.explode("pairs").alias("p")).distinct()
+    counts = scratch.keep(held.groupBy("p").agg(F.count("*").alias("count")), "counts", **CO_LOCATED)
+    of_a = F.shiftright("p", 32).alias("a")
+    best = counts.groupBy(of_a).agg(F.max("count").alias("best"))
+    ranked = counts.select("p", "count", of_a).join(shuffled(best), "a").select("p", "count", (F.col("count") == F.col("best")).cast("long").alias("is_best"))
+    links = aligned.select("s", F.explode("pairs").alias("p")).groupBy("s", "p").agg(F.count("*").alias("n"))
+    sums = links.join(shuffled(ranked), "p").groupBy("s").agg(F.sum("n").alias("n_links"), F.sum(F.col("n") * F.col("is_best")).alias("n_best"), F.sum(F.col("n") * F.col("count")).alias("count_sum"))
+    each = scratch.keep(aligned.drop("pairs").join(shuffled(sums), "s").drop("s"), "each")
+    scratch.drop("aligned", "counts")
     named = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    again = by_block(split).select("blk", "k", "id", F.posexplode_outer("segs").alias("pos", "seg")).withColumn("h", F.xxhash64("seg"))
+    again = dealt.select("blk", "k", "id", F.posexplode_outer("segs").alias("pos", "seg")).withColumn("h", F.xxhash64("seg"))
     found = again.join(shuffled(in_blocks(each)), same, "left")
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("groups").isNotNull(), F.struct("pos", "groups")))), lambda x: x["groups"]), ";")
     out = found.groupBy("blk", "k").agg(F.first("id").alias("doc_id"), *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in named], listed.alias("groups"))
-    return scratch.keep(out.select("doc_id", *named, digest(F.col("groups")).alias("groups")), "aligned", **CO_LOCATED)
+    out = scratch.keep(out.select("doc_id", *named, digest(F.col("groups")).alias("groups")), "result", **CO_LOCATED)
+    scratch.drop(*(set(scratch.paths) - {"result"}))
+    return out
