@@ -83,7 +83,9 @@ def _piece_bpe(path: str):
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i)
         of_id.append(bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode())
-    return lambda texts: model.encode([x[1:] for x in texts], num_threads=1), of_id
+    # a lone blank can only be the end of a text: the model adds none to an empty one
+    blank = model.encode("a ")[len(model.encode("a")) :]
+    return lambda texts: [ids if x != " " else blank for x, ids in zip(texts, model.encode([x[1:] for x in texts], num_threads=1), strict=True)], of_id
 
 
 def segments(text: Column, cut: bool = True) -> Column:
