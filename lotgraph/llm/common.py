@@ -18,6 +18,13 @@ NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def need_integers(docs: DataFrame, id_col: str) -> None:
+    """An error unless the ids are whole numbers: operators that compare and pack ids as 64-bit numbers say so before any job runs."""
+    kind = docs.schema[id_col].dataType.typeName()
+    if kind not in ("byte", "short", "integer", "long", "void"):
+        raise TypeError(f"column {id_col} has type {kind}; ids must be integers: number other ids, or take xxhash64 of them, first")
+
+
 def slices(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import rolling
-from .common import Scratch, components, shuffled, slices
+from .common import Scratch, components, need_integers, shuffled, slices
 
 U = np.uint64
 #: Documents of a list are searched in blocks of about so many, or so many shingles; two blocks meet in a task.
@@ -183,6 +183,7 @@ class Join:
             raise ValueError("percent must be from 1 to 100")
         if k < 1:
             raise ValueError("k must be positive")
+        need_integers(docs, id_col)
         self.k, self.percent, self.spark = k, percent, docs.sparkSession
         self.scratch = Scratch(self.spark)
         self.source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
@@ -381,7 +382,7 @@ def link_classes(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
     4. Documents that lists connect meet in a task, or, if they are too many, meet the hub of each list first, and then in blocks
        those that aren't connected yet. DivideSkip finds the links in each task, and their connected components are the classes.
     No list is capped, and no pair that may link is left out unless it is connected already. Null, empty or blank texts have an
-    empty set and link with nothing. Very long texts are whole, in a block of their own size. Rows of one id are one document. Null ids link with
+    empty set and link with nothing. Very long texts are whole, in a block of their own size. Rows of one id are one document. Ids are integers; others are a TypeError. Null ids link with
     nothing (component_id null). Other columns, whatever their names, are ignored. An empty table gives no rows.
     Returns doc_id, n_shingles, component_id (the least id of the class).
     """

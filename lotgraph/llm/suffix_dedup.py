@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import rolling
-from .common import Scratch, slices
+from .common import Scratch, need_integers, slices
 
 U = np.uint64
 #: Up to so many different surroundings of a q-gram are compared by one task; beyond, their windows are dealt out one by one.
@@ -137,13 +137,14 @@ def dedup(docs: DataFrame, length: int = 100, q: int = 32, id_col: str = "doc_id
        but the first window of a final bucket are repeats. Of q-grams with more than LOCAL pieces each window goes by
        its final identifier, made by the same levels, to the task of its bucket.
     Buckets are told apart by 64-bit hashes within equal 64-bit q-gram hashes.
-    A null text is empty; texts shorter than ``length`` bytes stay whole; ids identify documents, a null id is the
+    A null text is empty; texts shorter than ``length`` bytes stay whole; ids are integers (others are a TypeError) and identify documents, a null id is the
     smallest; repeated rows of one id are judged alike; very long texts are whole, ties go to the smaller id and offset; other
     columns are ignored, whatever their names; an empty table gives no rows.
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256.
     """
     if not 0 < q < length or length - q > 65535:
         raise ValueError("length must exceed q, by 65535 at most")
+    need_integers(docs, id_col)
     spark = docs.sparkSession
     scratch, lowest = Scratch(spark), -(1 << 63)
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(lowest)).alias("doc"), F.col(text_col).alias("text"))

@@ -67,11 +67,37 @@ def test_empty_benchmark_clashing_names_and_repeated_ids(spark, tmp_path):
     path, docs = folder(spark, tmp_path, listed, [])
     extra = docs.selectExpr("*", "1 as _k", "2 as _n", "3 as _i", "4 as _times", "5 as k", "6 as id", "7 as found", "8 as size", "9 as repeats")
     assert sorted(map(str, cp.decontaminate(spark, extra, path).collect())) == sorted(map(str, extra.collect()))
-    assert sorted(str(r.doc_id) for r in cp.drop_near_duplicates(spark, extra, path).collect()) == ["1", "None", "None", "None"]
+    assert sorted(str(r.doc_id) for r in cp.drop_near_duplicates(spark, extra, path).collect()) == ["1", "1", "None", "None", "None"]
     mixed = cp.mix_sources(spark, extra, path)
     assert mixed.columns == extra.columns and {tuple(r) for r in mixed.collect()} <= {tuple(r) for r in extra.collect()}
 
 
+def test_ids_of_any_type_and_texts_of_one_id(spark, tmp_path):
+    """String ids; two texts under one id stay; equal rows are one, the same on each run; a copy under a greater id goes."""
+    words = [f"word{i}" for i in range(60)]
+    first, second = " ".join(words), " ".join(reversed(words))
+    listed = [("b", first, "s2"), ("b", first, "s1"), ("b", second, "s1"), ("a", second + " end", "s1"), ("c", first, "s1"), (None, first, "s1"), ("d", "", "s1"), ("d", "", "s1"), ("e", None, "s1")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in listed], SCHEMA.replace("doc_id long", "doc_id string"))
+    want = sorted(map(repr, [("b", first, "s1"), ("a", second + " end", "s1"), ("d", "", "s1"), ("d", "", "s1"), ("e", None, "s1")]))
+    for parts in (1, 5):
+        got = cp.drop_near_duplicates(spark, docs.repartition(parts), "").select("doc_id", "text", "source").collect()
+        assert sorted(repr(tuple(r)) for r in got) == want
+    spark.createDataFrame([(1, "zzz yyy xxx")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert cp.decontaminate(spark, docs, str(tmp_path)).count() == len(listed)
+    assert cp.shard(spark, cp.mix_sources(spark, docs, ""), "").count() > 0
+
+
+def test_mixing_takes_equal_rows_as_often_as_the_operator(spark):
+    from lotgraph.llm import mixing
+
+    rows = [(7, "one two three", "en", "a", 3)] * 9 + [(i, "four five six seven", "en", "bcd"[i % 3], 4) for i in range(40)] + [(7, None, "en", "a", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    want = mixing.mix(docs).groupBy("source").agg(F.sum("repeats").alias("n")).where("n > 0")
+    got = cp.mix_sources(spark, docs, "").groupBy("source").count()
+    own = mixing.mix(docs).where("size > 0").groupBy("source").agg(F.sum("repeats").cast("long").alias("n")).where("n > 0")
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in own.collect()) and want.count() > 0
+
+
 def test_near_duplicates_against_brute_force(spark, planted):
     from test_jaccard_join import brute
 
