@@ -20,7 +20,11 @@ LEAST_FAMILIAR = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents of learned languages, one or several. Documents without a letter (und) or below LEAST_FAMILIAR go."""
+    """Keep documents of learned languages, one or several. Documents without a letter (und) or below LEAST_FAMILIAR go.
+
+    Null and empty texts have no letter and go; ids may be null or repeated and of any type, each row is judged by its whole text; of equal scores the first language in
+    order counts, which changes nothing here. Extra columns, whatever their names, are kept. An empty table stays empty.
+    """
     model = language_id.fit(docs, F.lit(True))
     out = language_id.predict(docs, model, familiar=True)
     return out.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("familiar") >= LEAST_FAMILIAR)).select(*docs.columns)
@@ -42,21 +46,33 @@ def of_row(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates (5-word shingles, similarity 0.8) the document with the least id stays; of rows of one id one.
+    """Of each class of near duplicates (5-word shingles, similarity 0.8) the document with the least id stays (of equal ids the one whose hash is least).
 
-    Null ids and texts without words stay. An empty table stays empty.
+    A document is an id with a text: texts of one id are documents of their own, equal rows are one, the least by its other columns stays. Ids may be of any
+    type that can be ordered; a null id is the greatest. Null texts and texts without words stay, each row of them. An empty table stays empty. Reruns agree. Documents are
+    told apart by a 64-bit hash of id and text.
     """
-    scratch = Scratch(spark)
-    classes = scratch.keep(jaccard_join.link_classes(docs, k=5, percent=80), "classes")
-    gone = classes.where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(shuffled(gone), "doc_id", "left_anti").select(*docs.columns)
-    if classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
+    scratch, key = Scratch(spark), fresh(docs, "_key")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    found = jaccard_join.link_classes(keyed.select(key, "text"), k=5, percent=80, id_col=key)
+    classes = scratch.keep(found.where("n_shingles > 0").select(F.col("doc_id").alias("k"), F.col("component_id").alias("c")).distinct(), "classes")
+    ids = keyed.groupBy(F.col(key).alias("k")).agg(F.first("doc_id").alias("id"), F.count("*").alias("n")).join(shuffled(classes), "k")
+    ids = scratch.keep(ids, "ids")
+    stays = ids.groupBy("c").agg(F.min_by("k", F.struct(F.col("id").isNull(), "id", "k")).alias("stays"), F.count("*").alias("of")).where("of > 1")
+    gone = ids.join(shuffled(stays), "c").where("k <> stays").select(F.col("k").alias(key))
+    kept = keyed.join(shuffled(gone), key, "left_anti")
+    twice = ids.where("n > 1").select(F.col("k").alias(key))
+    if twice.isEmpty():
+        return kept.select(*docs.columns)
+    once = kept.join(shuffled(twice), key, "left_semi").groupBy(key).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")).select("row.*")
+    return kept.join(shuffled(twice), key, "left_anti").select(*docs.columns).union(once)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that have ten words in a row of a benchmark item, or a whole shorter item. Without items or documents nothing goes."""
+    """Drop documents that have ten words in a row of a benchmark item, or a whole shorter item. Without items or documents nothing goes.
+
+    Null and empty texts stay; texts of one id are judged one by one, equal rows alike; ids may be null and of any type. Extra columns, whatever their names, are kept.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.decontaminate(docs, items).where("n_hit > 0").select(F.col("doc_id").alias("id"), "k")
     found = Scratch(spark).keep(found.distinct(), "found")
@@ -64,17 +80,29 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: rows are repeated, documents that it leaves out go. Null ids are documents like others."""
+    """Each document as often as the mix takes it: rows are repeated, documents that it leaves out go.
+
+    Equal rows (id and text) are as many documents; where the mix takes some of them once more, those copies are of the least of them by the other columns, so a
+    source's words come as near its target as the operator's. Null ids are ids, null and blank texts have no words and are never taken. Ties go by id and size. An empty table stays
+    empty. Extra columns, whatever their names, are kept.
+    """
     keyed = docs.select(F.struct(F.col("doc_id").alias("id"), F.xxhash64("doc_id", "text").alias("k")).alias("key"), "source", "text")
-    taken = mixing.mix(keyed, id_col="key").where("repeats > 0").groupBy("doc_id.id", "doc_id.k").agg(F.max("repeats").alias("_n"))
-    taken = Scratch(spark).keep(taken, "taken")
+    taken = mixing.mix(keyed, id_col="key").where("size > 0").groupBy("doc_id.id", "doc_id.k").agg(F.min("repeats").alias("_n"), F.sum("repeats").alias("_all"), F.count("*").alias("_rows"))
+    taken = Scratch(spark).keep(taken.withColumn("_more", F.col("_all") - F.col("_n") * F.col("_rows")), "taken")
+    columns = [F.col("docs." + "`" + c + "`").alias(c) for c in docs.columns]
     times = fresh(docs, "_times")
-    out = of_row(docs, taken, "inner").withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col("found._n"))))
-    return out.select(*[F.col("docs." + "`" + c + "`").alias(c) for c in docs.columns])
+    again = lambda df, n: df.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))).drop(times)
+    out = again(of_row(docs, taken.where("_n > 0"), "inner"), "found._n").select(*columns)
+    more = taken.where("_more > 0")
+    if more.isEmpty():
+        return out
+    least = of_row(docs, more, "inner").groupBy("found._id", "found._k").agg(F.min(F.struct(*columns)).alias("row"), F.first("found._more").alias("more"))
+    return out.union(again(least, "more").select("row.*"))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contiguous shards of equal bytes: doc_id, size, text_crc32, shard, slot."""
+    """Contiguous shards of equal bytes: doc_id, size, text_crc32, shard, slot. Null ids come first; ties in the id go by size and checksum; null texts have no bytes; other
+    columns are ignored, whatever their names; an empty table stays empty."""
     return sharding.byte_shards(docs, N_SHARDS)
 
 
