@@ -26,7 +26,7 @@ from .common import Scratch, shuffled, slices
 #: Folder of the public vocabulary files.
 FOLDER = "/opt/tokenizers"
 #: Where a text may be cut: a blank comes next, and what is before is neither white space nor a control or format sign.
-CUT = r"(?<=[^\s\p{Z}\p{C}])(?= )"
+CUT = r"(?= )(?<=[^\s\p{Z}\p{C}])"
 #: Documents of about so many bytes of text make a block.
 BLOCK_BYTES = 12 << 20
 #: Sides of a join that are both dealt by some of its keys stay where they are.
@@ -194,26 +194,31 @@ def align(docs: DataFrame, a: Encoder, b: Encoder, id_col: str = "doc_id", text_
     same = ["blk", "h", "seg"]
     dealt = cut_up(texts.repartition(n_blocks, "blk"))  # texts travel, not their segments
 
-    def in_blocks(of: DataFrame) -> DataFrame:
-        """Each block's distinct segments with what ``of`` has of them."""
-        return blocks.join(shuffled(of), "seg").withColumn("h", F.xxhash64("seg")).repartition(n_blocks, "blk")
+    def in_blocks(of: DataFrame, name: str) -> DataFrame:
+        """Each block's distinct segments with what ``of`` has of them; written, so that the joins' shuffles are gone before the texts travel."""
+        return scratch.keep(blocks.join(shuffled(of), "seg"), name).repartition(n_blocks, "blk").withColumn("h", F.xxhash64("seg"))
 
     once = dealt.select("blk", "k", F.explode(F.array_distinct("segs")).alias("seg")).withColumn("h", F.xxhash64("seg"))
-    held = once.join(shuffled(in_blocks(aligned.select("seg", F.array_distinct("pairs").alias("pairs")))), same)
+    held = once.join(shuffled(in_blocks(aligned.select("seg", F.array_distinct("pairs").alias("pairs")), "held")), same)
     held = held.select("blk", "k", F.explode("pairs").alias("p")).distinct()
     counts = scratch.keep(held.groupBy("p").agg(F.count("*").alias("count")), "counts", **CO_LOCATED)
+    scratch.drop("held")
     of_a = F.shiftright("p", 32).alias("a")
     best = counts.groupBy(of_a).agg(F.max("count").alias("best"))
     ranked = counts.select("p", "count", of_a).join(shuffled(best), "a").select("p", "count", (F.col("count") == F.col("best")).cast("long").alias("is_best"))
     links = aligned.select("s", F.explode("pairs").alias("p")).groupBy("s", "p").agg(F.count("*").alias("n"))
-    sums = links.join(shuffled(ranked), "p").groupBy("s").agg(F.sum("n").alias("n_links"), F.sum(F.col("n") * F.col("is_best")).alias("n_best"), F.sum(F.col("n") * F.col("count")).alias("count_sum"))
+    sums = links.join(shuffled(ranked), "p").groupBy("s").agg(F.sum(F.col("n") * F.col("is_best")).alias("n_best"), F.sum(F.col("n") * F.col("count")).alias("count_sum"))
     each = scratch.keep(aligned.drop("pairs").join(shuffled(sums), "s").drop("s"), "each")
     scratch.drop("aligned", "counts")
-    named = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    found = in_blocks(each, "told")
+    scratch.drop("each", "blocks")
+    named = ["n_a", "n_b", "n_groups", "n_best", "count_sum"]
     again = dealt.select("blk", "k", "id", F.posexplode_outer("segs").alias("pos", "seg")).withColumn("h", F.xxhash64("seg"))
-    found = again.join(shuffled(in_blocks(each)), same, "left")
+    found = again.join(shuffled(found), same, "left")
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("groups").isNotNull(), F.struct("pos", "groups")))), lambda x: x["groups"]), ";")
     out = found.groupBy("blk", "k").agg(F.first("id").alias("doc_id"), *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in named], listed.alias("groups"))
-    out = scratch.keep(out.select("doc_id", *named, digest(F.col("groups")).alias("groups")), "result", **CO_LOCATED)
+    n_links = F.col("n_a") + F.col("n_b") - F.col("n_groups")  # an end of either side is a link, a common end ends both
+    out = out.select("doc_id", "n_a", "n_b", "n_groups", n_links.alias("n_links"), "n_best", "count_sum", digest(F.col("groups")).alias("groups"))
+    out = scratch.keep(out, "result", **CO_LOCATED)
     scratch.drop(*(set(scratch.paths) - {"result"}))
     return out
