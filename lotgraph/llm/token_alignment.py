@@ -28,9 +28,11 @@ FOLDER = "/opt/tokenizers"
 #: Where a text may be cut: a blank comes next, and what is before is neither white space nor a control or format sign.
 CUT = r"(?= )(?<=[^\s\p{Z}\p{C}])"
 #: Documents of about so many bytes of text make a block.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 24 << 20
 #: Sides of a join that are both dealt by some of its keys stay where they are.
 CO_LOCATED = {"spark_sql_requireAllClusterKeysForCoPartition": "false"}
+#: A block's documents are put together in memory, side by side: they are as many as fit into BLOCK_BYTES.
+BY_DOCUMENT = {"spark_sql_objectHashAggregate_sortBased_fallbackThreshold": "100000"}
 
 
 @dataclass(frozen=True)
@@ -191,15 +193,18 @@ def align(docs: DataFrame, a: Encoder, b: Encoder, id_col: str = "doc_id", text_
     aligned = told.select("s", "seg", F.size("a").alias("n_a"), F.size("b").alias("n_b")).join(shuffled(align_segments(told)), "s")
     aligned = scratch.keep(aligned, "aligned", **CO_LOCATED)
     scratch.drop("tokens")
-    same = ["blk", "h", "seg"]
+    same = ["blk", "seg"]
     dealt = cut_up(texts.repartition(n_blocks, "blk"))  # texts travel, not their segments
 
     def in_blocks(of: DataFrame, name: str) -> DataFrame:
-        """Each block's distinct segments with what ``of`` has of them; written, so that the joins' shuffles are gone before the texts travel."""
-        return scratch.keep(blocks.join(shuffled(of), "seg"), name).repartition(n_blocks, "blk").withColumn("h", F.xxhash64("seg"))
+        """Each block's distinct segments with what ``of`` has of them; written, so that the joins' shuffles are gone before the texts travel.
 
-    once = dealt.select("blk", "k", F.explode(F.array_distinct("segs")).alias("seg")).withColumn("h", F.xxhash64("seg"))
-    held = once.join(shuffled(in_blocks(aligned.select("seg", F.array_distinct("pairs").alias("pairs")), "held")), same)
+        A block's are no more than its texts' bytes, so a hash table of them is bounded, and the occurrences need no sort.
+        """
+        return scratch.keep(blocks.join(shuffled(of), "seg"), name).repartition(n_blocks, "blk").hint("shuffle_hash")
+
+    once = dealt.select("blk", "k", F.explode(F.array_distinct("segs")).alias("seg"))
+    held = once.join(in_blocks(aligned.select("seg", F.array_distinct("pairs").alias("pairs")), "held"), same)
     held = held.select("blk", "k", F.explode("pairs").alias("p")).distinct()
     counts = scratch.keep(held.groupBy("p").agg(F.count("*").alias("count")), "counts", **CO_LOCATED)
     scratch.drop("held")
@@ -213,12 +218,12 @@ def align(docs: DataFrame, a: Encoder, b: Encoder, id_col: str = "doc_id", text_
     found = in_blocks(each, "told")
     scratch.drop("each", "blocks")
     named = ["n_a", "n_b", "n_groups", "n_best", "count_sum"]
-    again = dealt.select("blk", "k", "id", F.posexplode_outer("segs").alias("pos", "seg")).withColumn("h", F.xxhash64("seg"))
-    found = again.join(shuffled(found), same, "left")
+    again = dealt.select("blk", "k", "id", F.posexplode_outer("segs").alias("pos", "seg"))
+    found = again.join(found, same, "left")
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("groups").isNotNull(), F.struct("pos", "groups")))), lambda x: x["groups"]), ";")
     out = found.groupBy("blk", "k").agg(F.first("id").alias("doc_id"), *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in named], listed.alias("groups"))
     n_links = F.col("n_a") + F.col("n_b") - F.col("n_groups")  # an end of either side is a link, a common end ends both
     out = out.select("doc_id", "n_a", "n_b", "n_groups", n_links.alias("n_links"), "n_best", "count_sum", digest(F.col("groups")).alias("groups"))
-    out = scratch.keep(out, "result", **CO_LOCATED)
+    out = scratch.keep(out, "result", **CO_LOCATED, **BY_DOCUMENT)
     scratch.drop(*(set(scratch.paths) - {"result"}))
     return out
