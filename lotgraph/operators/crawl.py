@@ -36,6 +36,48 @@ def fold(results: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+#: Fields of an entity's result that the prevailing row fills, else the last one that prevailed before it, else the first that has any.
+FILLED = ("effective_fields", "raw_status", "expansion_status", "pending_reason", "submission_time", "last_progress_time")
+#: Fields of the first row that has any.
+FIRST = ("company_id", "run_id")
+
+
+def fold_entities(results: DataFrame, entity: str = "entity", preferred: tuple[str, ...] = ("company_type", "company_name", "status"), filled: tuple[str, ...] = FILLED, first: tuple[str, ...] = FIRST) -> DataFrame:
+    """One result for each entity, as merging its rows in order of ``ord`` gives: the row whose state prevails (the first of equals), with fields filled from the others.
+
+    Merging goes by the states that prevailed one after the other: of each state's rows only the first can. So rows are combined by (entity, state) before they travel, and an entity
+    is folded from one row for each state, however many rows it has. Its distinct messages and sources are lists, as they are shown; its rows stay as the audit (see audit_rows).
+    """
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    rows = results.withColumn("_p", priority(F.col("status")))
+    per = rows.groupBy(entity, "_p").agg(
+        F.min("ord").alias("at"), F.min_by(F.struct(*preferred, *[text(c).alias(c) for c in filled]), "ord").alias("row"),
+        *[F.min(F.when(text(c) != "", F.struct("ord", F.col(c).alias("v")))).alias(f"_f_{c}") for c in (*filled, *first)],
+        F.sum("attempts").alias("attempts"), F.sum("poll_count").alias("poll_count"), F.max("database_rows").alias("database_rows"), F.max("has_data").alias("has_data"), F.count("*").alias("n_results"),
+        F.collect_set("related_sources").alias("_sources"),
+    )
+    folded = per.groupBy(entity).agg(
+        F.array_sort(F.collect_list(F.struct("at", F.col("_p").alias("p"), "row"))).alias("_s"), *[F.min(f"_f_{c}").alias(f"_f_{c}") for c in (*filled, *first)], F.min("at").alias("ord"),
+        F.sum("attempts").alias("attempts"), F.sum("poll_count").alias("poll_count"), F.max("database_rows").alias("database_rows"), F.max("has_data").alias("has_data"), F.sum("n_results").alias("n_results"),
+        F.array_sort(F.array_distinct(F.flatten(F.flatten(F.collect_list("_sources"))))).alias("related_sources"),
+    )
+    folded = folded.withColumn("_s", F.filter("_s", lambda x, i: F.forall(F.slice("_s", 1, i), lambda y: y["p"] < x["p"])))
+    last = F.element_at("_s", -1)["row"]
+    own = lambda c: F.try_element_at(F.filter(F.transform("_s", lambda x: x["row"][c]), lambda v: v != ""), F.lit(-1))
+    said = rows.where(text("message") != "").groupBy(entity, "message").agg(F.min("ord").alias("o")).groupBy(entity).agg(F.array_sort(F.collect_list(F.struct("o", "message"))).alias("m"))
+    out = folded.join(said, entity, "left").select(
+        entity, *[last[c].alias(c) for c in preferred], *[F.coalesce(own(c), F.col(f"_f_{c}.v"), F.lit("")).alias(c) for c in filled], *[F.coalesce(F.col(f"_f_{c}.v"), F.lit("")).alias(c) for c in first],
+        "attempts", "poll_count", "database_rows", "has_data", "related_sources", F.coalesce(F.array_join(F.transform("m", lambda x: x["message"]), "; "), F.lit("")).alias("message"), "ord", "n_results",
+    )
+    return out
+
+
+def audit_rows(results: DataFrame, entity: str = "entity") -> DataFrame:
+    """The rows behind each entity's result, equal ones once: entity, ord of the first, and the audited fields."""
+    fields = [c for c in results.columns if c not in (entity, "ord", "related_sources")]
+    return results.groupBy(entity, *fields).agg(F.min("ord").alias("ord"))
+
+
 def consolidate(results: DataFrame) -> DataFrame:
     """results and ``entity``: by type, in order, the same id, or the same name while one side has no id; an id found later is taken over.
 

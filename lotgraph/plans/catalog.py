@@ -11,9 +11,9 @@ from .. import api
 from ..functions import documents as D
 from ..functions import status as S
 from ..functions import text as X
-from ..operators import crawl, extraction, keys, pages, risk, statistics
+from ..operators import crawl, extraction, keys, pages, responses, risk, statistics
 from ..streaming import runs
-from .streams import run_outcomes, stream_name_dedup, stream_run_outcomes, stream_run_state
+from .streams import run_outcomes, stream_name_dedup, stream_reconcile, stream_run_outcomes, stream_run_state
 from .views import BIDS, IN_ORDER, NETWORK, bidders, bids, events, facts, members, table, tender_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -524,7 +524,72 @@ SELECT run_id, CASE WHEN reason IN ('failed', 'timeout') THEN 'failed' WHEN reas
        (n - (reason = 'cancel_requested')::INT)::BIGINT AS polls, make_timestamp(progress) AS last_progress, make_timestamp(CASE WHEN reason IN ('timeout', 'silent') THEN due ELSE us END) AS ended_at
 FROM f WHERE k = 1"""
 
-query(None)(stream_name_dedup)
+query("SELECT DISTINCT replace(lower(event_type || ' ' || floor(value / 10)::BIGINT), ' ', '') AS name_key FROM events")(stream_name_dedup)
+query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value, 3::BIGINT AS analyses FROM events GROUP BY 1")(stream_reconcile)
+
+
+RESPONSES = """d AS (
+  SELECT event_id AS id, CASE event_type WHEN 'error' THEN 'Error' WHEN 'purchase' THEN 'FINISHED' WHEN 'click' THEN 'pending' ELSE event_type END AS said, event_id % 4 AS k, value > 40 AS much FROM events
+),
+j AS (
+  SELECT id, CASE k WHEN 0 THEN '{"data":{"items":[{"Query_Status":"' || said || '"},{"x":[{"msg":"step, \\\"' || id % 7 || '\\\""}]}],"hasData":' || (CASE WHEN much THEN 'true' ELSE 'false' END) || '}}'
+                    WHEN 1 THEN '{"st\\u0061tus":"' || said || '","code":' || id % 500 || ',"note":"failed"}'
+                    WHEN 2 THEN '[[{"state":{"message":"' || said || '"}}],{"has_data":' || (CASE WHEN id % 8 = 2 THEN 'true' ELSE '"true"' END) || ',"other":"failed"}]' ELSE 'no json ' || said END AS doc
+  FROM d
+)"""
+
+
+@query(f"""WITH RECURSIVE {RESPONSES},
+t AS (SELECT id, ''::VARCHAR AS key, doc::JSON AS v FROM j WHERE json_valid(doc) UNION ALL SELECT t.id, e.key, e.value FROM t, json_each(t.v) e WHERE json_type(t.v) IN ('OBJECT', 'ARRAY')),
+s AS (
+  SELECT id, lower(CASE WHEN json_type(v) IN ('OBJECT', 'ARRAY') THEN v::VARCHAR ELSE v ->> '$' END) AS value FROM t
+  WHERE lower(replace(key, '_', '')) IN ('status', 'state', 'taskstatus', 'crawlstatus', 'querystatus', 'code', 'message', 'msg')
+  UNION ALL SELECT id, 'has_data' FROM t WHERE lower(replace(key, '_', '')) = 'hasdata' AND v::VARCHAR = 'true'
+),
+g AS (SELECT id, string_agg(value, '|' ORDER BY value) AS listed, bool_or(value = 'has_data') AS d, bool_or(regexp_matches(value, 'fail|error|exception|cancel')) AS f, bool_or(regexp_matches(value, 'success|succeeded|finish|completed|done|ok')) AS o,
+  bool_or(regexp_matches(value, 'running|pending|processing|started|queued|doing|waiting')) AS r FROM s GROUP BY 1)
+SELECT id, coalesce(listed, '') AS listed, CASE WHEN d THEN 'existing' WHEN f THEN 'failed' WHEN o THEN 'success' WHEN r THEN 'running' ELSE 'unknown' END AS state FROM j LEFT JOIN g USING (id)""")
+def nested_statuses(spark, sf_dir):
+    """States told anywhere in nested responses that are made from the events: objects in arrays, escaped keys, containers under a state's key, text that is no JSON."""
+    e = table(spark, sf_dir, "events")
+    said = F.when(F.col("event_type") == "error", "Error").when(F.col("event_type") == "purchase", "FINISHED").when(F.col("event_type") == "click", "pending").otherwise(F.col("event_type"))
+    one = F.concat(F.lit('{"data":{"items":[{"Query_Status":"'), said, F.lit('"},{"x":[{"msg":"step, \\"'), F.col("event_id") % 7, F.lit('\\""}]}],"hasData":'), F.when(F.col("value") > 40, "true").otherwise("false"), F.lit("}}"))
+    two = F.concat(F.lit('{"st\\u0061tus":"'), said, F.lit('","code":'), F.col("event_id") % 500, F.lit(',"note":"failed"}'))
+    three = F.concat(F.lit('[[{"state":{"message":"'), said, F.lit('"}}],{"has_data":'), F.when(F.col("event_id") % 8 == 2, "true").otherwise('"true"'), F.lit(',"other":"failed"}]'))
+    k = F.col("event_id") % 4
+    made = e.select(F.col("event_id").alias("id"), F.when(k == 0, one).when(k == 1, two).when(k == 2, three).otherwise(F.concat(F.lit("no json "), said)).alias("value"))
+    listed = responses.nested_values(made).groupBy("id").agg(F.array_join(F.array_sort(F.collect_list("value")), "|").alias("listed"))
+    return responses.response_states(made).join(listed, "id", "left").select("id", F.coalesce("listed", F.lit("")).alias("listed"), "state")
+
+
+@query("""WITH r AS (
+  SELECT user_id AS entity, event_id AS ord, CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'success' WHEN 'click' THEN 'running' WHEN 'signup' THEN 'timeout' ELSE 'waiting' END AS status,
+         CASE event_type WHEN 'error' THEN 4 WHEN 'purchase' THEN 5 WHEN 'click' THEN 1 WHEN 'signup' THEN 3 ELSE 0 END AS p, 'name ' || event_id AS company_name,
+         CASE WHEN event_id % 3 = 0 THEN 'f' || event_id ELSE '' END AS effective_fields, CASE WHEN event_id % 4 = 1 THEN 'raw' || event_id ELSE '' END AS raw_status,
+         CASE WHEN event_id % 5 = 0 THEN '' ELSE 'c' || event_id END AS company_id, floor(value)::BIGINT AS database_rows, 'm' || event_id % 3 AS message, 's' || event_id % 4 AS source
+  FROM events
+),
+q AS (SELECT *, p > coalesce(max(p) OVER (PARTITION BY entity ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -2) AS rose FROM r),
+m AS (SELECT entity, string_agg(message, '; ' ORDER BY o) AS message FROM (SELECT entity, message, min(ord) AS o FROM r GROUP BY 1, 2) GROUP BY 1)
+SELECT entity, arg_min(company_name, (-p, ord)) AS company_name, arg_min(status, (-p, ord)) AS status, coalesce(arg_max(effective_fields, ord) FILTER (WHERE rose AND effective_fields <> ''), arg_min(effective_fields, ord) FILTER (WHERE effective_fields <> ''), '') AS effective_fields,
+       coalesce(arg_max(raw_status, ord) FILTER (WHERE rose AND raw_status <> ''), arg_min(raw_status, ord) FILTER (WHERE raw_status <> ''), '') AS raw_status, coalesce(arg_min(company_id, ord) FILTER (WHERE company_id <> ''), '') AS company_id,
+       count(*)::BIGINT AS attempts, max(database_rows) AS database_rows, any_value(m.message) AS message, string_agg(DISTINCT source, ',' ORDER BY source) AS related_sources, count(*) AS n_results
+FROM q JOIN m USING (entity) GROUP BY 1""")
+def folded_entities(spark, sf_dir):
+    """Each user's events as results of one entity, merged in order."""
+    e, n = table(spark, sf_dir, "events"), F.col("event_id")
+    kind = F.col("event_type")
+    status = F.when(kind == "error", "failed").when(kind == "purchase", "success").when(kind == "click", "running").when(kind == "signup", "timeout").otherwise("waiting")
+    tagged = lambda c, tag: F.when(c, F.concat(F.lit(tag), n)).otherwise("")
+    rows = e.select(
+        F.col("user_id").alias("entity"), n.alias("ord"), status.alias("status"), F.lit("root").alias("company_type"), F.concat(F.lit("name "), n).alias("company_name"), tagged(n % 3 == 0, "f").alias("effective_fields"),
+        tagged(n % 4 == 1, "raw").alias("raw_status"), tagged(n % 5 != 0, "c").alias("company_id"), F.lit("").alias("run_id"), F.lit(1).alias("attempts"), F.lit(0).alias("poll_count"), F.floor("value").alias("database_rows"),
+        F.lit(False).alias("has_data"), F.concat(F.lit("m"), n % 3).alias("message"), F.array(F.concat(F.lit("s"), n % 4)).alias("related_sources"),
+    )
+    out = crawl.fold_entities(rows, filled=("effective_fields", "raw_status"))
+    return out.select("entity", "company_name", "status", "effective_fields", "raw_status", "company_id", "attempts", "database_rows", "message", F.array_join("related_sources", ",").alias("related_sources"), "n_results")
+
+
 query(STALL)(stream_run_state)
 query(OUTCOMES)(run_outcomes)
 query(OUTCOMES)(stream_run_outcomes)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import Scratch
-from ..streaming import polls, runs
+from ..streaming import polls, runs, upserts
 from .views import table
 
 #: Limits of the registered run queries, in seconds.
@@ -27,12 +27,25 @@ def _events(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
 
 
 def stream_name_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event types as names: each once over the stream, written by the file sink's exactly-once log."""
+    """Event types with tens of their values as names: each once, by a state that is bounded by the watermark and the names stored before."""
     folder = shared_folder(spark)
-    names = runs.new_names(_events(spark, sf_dir, folder).select(F.col("event_type").alias("company_name"))).select("name_key")
-    query = names.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/log").outputMode("append").trigger(availableNow=True).start()
+    rows = _arrivals(spark, sf_dir, folder).select(F.col("ts").cast("timestamp").alias("ts"), F.concat_ws(" ", "event_type", F.floor(F.col("value") / 10)).alias("company_name"))
+    names = upserts.names_once(rows, "ts")
+    query = names.writeStream.foreachBatch(upserts.store_names(spark, f"{folder}/names")).option("checkpointLocation", f"{folder}/log").outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.schema("name_key string").parquet(f"{folder}/out")
+    return upserts.stored_names(spark, f"{folder}/names")
+
+
+def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last state of each user after all batches, and how many batches changed the table, so that analysis ran."""
+    folder = shared_folder(spark)
+    rows = _arrivals(spark, sf_dir, folder).select("user_id", "event_type", "value", F.struct("ts", "event_id").alias("ord"))
+    log = upserts.ResultLog(spark, f"{folder}/results", rows.schema, ["user_id"], "ord")
+    analyze = lambda table, number: table.agg(F.count("*").alias("users")).write.mode("overwrite").parquet(f"{folder}/analyses/batch={number}")
+    query = upserts.reconcile_stream(rows, log, ["user_id", "event_type", "value"], analyze, f"{folder}/log").trigger(availableNow=True).start()
+    query.awaitTermination()
+    analyses = spark.read.schema("users long, batch int").parquet(f"{folder}/analyses").agg(F.count("*")).scalar()
+    return log.current().select("user_id", "event_type", "value", analyses.alias("analyses"))
 
 
 def stream_run_state(spark: SparkSession, sf_dir: str) -> DataFrame:
