@@ -67,22 +67,6 @@ def queue_has_data(json: Column) -> Column:
     return truth(F.get_json_object(json, "$.hasData")) | F.upper(first_text(json, "source")).isin("DATABASE_REUSE", "CURRENT_RUN_REUSE")
 
 
-def nested_states(variant: Column) -> Column:
-    """The values of state-like keys at any depth of a document, lower-cased, by a pattern over its canonical text."""
-    text = F.to_json(variant)
-    keys = r'(?i)"(?:task_?status|crawl_?status|query_?status|status|state|code|message|msg)"\s*:\s*(?:"((?:[^"\\]|\\.)*)"|(-?[\d.]+|true|false))'
-    strings, plain = (F.regexp_extract_all(text, F.lit(keys), F.lit(k)) for k in (1, 2))
-    found = F.filter(F.transform(F.arrays_zip(strings.alias("a"), plain.alias("b")), lambda x: F.lower(F.concat(blank_to_empty(x["a"]), blank_to_empty(x["b"])))), lambda x: x != "")
-    marked = F.regexp_like(text, F.lit(r'(?i)"has_?data"\s*:\s*true'))
-    return F.when(marked, F.array_append(found, F.lit("has_data"))).otherwise(found)
-
-
-def response_state(variant: Column) -> Column:
-    """existing if data is there, else failed, success, running or unknown over all state-like values."""
-    values = nested_states(variant)
-    return entity_state(F.array_join(values, " "), F.array_contains(values, "has_data"), "unknown")
-
-
 def at_most(part: Column, *limits: Column) -> Column:
     """A count that is no number or negative is 0; none exceeds what is left."""
     return F.greatest(F.lit(0), F.least(F.coalesce(part.cast("long"), F.lit(0)), *limits))

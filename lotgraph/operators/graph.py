@@ -62,6 +62,12 @@ class Scratch:
         self.drop(*self.paths)
 
 
+def there(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whichever store it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def salted_join(rows: DataFrame, of: DataFrame, key: str, salt: str) -> DataFrame:
     """rows joined with one row for each key: copies of that row meet the key's rows in SALTS groups, dealt by ``salt``.
 

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.documents import cover_score, fragmented, native_is_enough
 from ..functions.text import company_names
+from ..operators.graph import Scratch, there
+from .files import add_to_cache, cached
 
 
 class Backend(Protocol):
@@ -96,3 +98,38 @@ def needs_recognition(pages: DataFrame, forced: bool = False) -> tuple[DataFrame
     """(native, images): pages whose text layer is enough never reach the recognition branch."""
     enough = F.lit(not forced) & native_is_enough(F.col("text"))
     return pages.where(enough), pages.where(~enough)
+
+
+#: What the cache keeps of a page.
+READ = ["sha256", "page_number", "dpi", "profile", "text", "mean_score", "variant", "company"]
+READ_SCHEMA = "sha256 string, page_number int, dpi int, profile string, text string, mean_score double, variant string, company string"
+
+
+def read_with_fallback(pages: DataFrame, cache_path: str, factory: Callable[[], Backend], render: Callable[[str, int, int], np.ndarray], profile: str = "default", forced: bool = False) -> DataFrame:
+    """Pages as they are read in the end: (doc_path, page_number, sha256, text, method, dpi, mean_score, variant, source).
+
+    pages: doc_path, sha256, page_number, dpi, text (of the text layer, null without). A text layer that is enough is taken as it is (source native). Of the others those that the
+    cache has for the file, page, resolution and profile come from it (cache). The rest alone are recognised in all variants; a page whose best variant is fragmented is
+    recognised once more at a higher resolution, and the better of both readings counts (read). Recognition is evaluated once: its results are written, then appended to the cache and
+    returned. Copies of a file are recognised once. Null hashes are never cached.
+    """
+    spark = pages.sparkSession
+    scratch = Scratch(spark)
+    native, images = needs_recognition(pages, forced)
+    images = images.withColumn("profile", F.lit(profile))
+    cache = spark.read.schema(READ_SCHEMA).parquet(cache_path) if there(spark, cache_path) else spark.createDataFrame([], READ_SCHEMA)
+    hits, misses = cached(images.select("doc_path", "sha256", "page_number", "dpi", "profile"), cache)
+    key = F.coalesce("sha256", "doc_path")
+    once = misses.groupBy(key.alias("_file"), "page_number", "dpi").agg(F.min("doc_path").alias("doc_path"), F.first("sha256").alias("sha256"))
+    once = scratch.keep(once, "misses")
+    first = scratch.keep(best_variant(recognize(once, factory, render, profile)), "first")
+    retried = first.where("again").select("doc_path", "page_number", retry_dpi(F.col("dpi")).alias("dpi"))
+    second = scratch.keep(best_variant(recognize(retried, factory, render, profile, retry=True)), "second")
+    both = first.unionByName(second).groupBy("doc_path", "page_number").agg(F.max_by(F.struct("text", "mean_score", "variant", "company"), F.struct("score", -F.col("dpi"))).alias("b"))
+    got = once.join(both, ["doc_path", "page_number"]).select("_file", "sha256", "page_number", "dpi", F.lit(profile).alias("profile"), "b.text", "b.mean_score", "b.variant", "b.company")
+    got = scratch.keep(got, "read")
+    add_to_cache(got.where("sha256 is not null").select(*READ), cache_path)
+    shown = lambda df, method, source: df.select("doc_path", "page_number", "sha256", "text", F.lit(method).alias("method"), "dpi", "mean_score", "variant", F.lit(source).alias("source"))
+    fresh = misses.select("doc_path", "sha256", "page_number", "dpi", key.alias("_file")).join(got.drop("sha256", "profile"), ["_file", "page_number", "dpi"])
+    plain = native.withColumns({"mean_score": F.lit(1.0), "variant": F.lit("native")})
+    return shown(plain, "text", "native").unionByName(shown(hits, "ocr", "cache")).unionByName(shown(fresh, "ocr", "read"))

@@ -11,11 +11,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.text import key_part
 from ..operators.crawl import signature
-
-
-def there(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+from ..operators.graph import there
 
 
 class ResultLog:

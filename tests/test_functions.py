@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from lotgraph.functions import documents as D
 from lotgraph.functions import status as S
 from lotgraph.functions import text as X
+from lotgraph.operators import responses
 
 
 def values(spark, column, *inputs):
@@ -55,7 +56,8 @@ def test_entity_state(spark, raw, state):
 
 def test_json_states(spark):
     rows = ['{"a": {"Task_Status": "FAILED"}}', '{"data": [{"status": "done"}]}', '{"x": {"hasData": true, "status": "failed"}}', '{"k": 1}']
-    assert values(spark, lambda c: S.response_state(F.parse_json(c)), *rows) == ["failed", "success", "existing", "unknown"]
+    made = spark.createDataFrame(list(enumerate(rows)), "id int, value string")
+    assert [r.state for r in responses.response_states(made).orderBy("id").collect()] == ["failed", "success", "existing", "unknown"]
     assert values(spark, S.queue_state, '{"status": "ok"}', '{"traversalStatus": "a", "collectionStatus": "b"}', "{}") == ["ok", "traversalStatus=a; collectionStatus=b", ""]
     assert values(spark, S.error_message, '{"error": "", "message": "m"}') == ["m"]
     assert values(spark, S.queue_has_data, '{"hasData": "yes"}', '{"source": "database_reuse"}', "{}") == [True, True, False]
