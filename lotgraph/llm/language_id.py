@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 BUCKETS = 1 << 15
+#: So many signs of a text are taken for each word that is learned from.
+SIGNS = 64
 UNKNOWN = "und"
 #: Runs of scripts written without blanks: Thai, Lao, Tibetan (to the syllable mark), Burmese, Khmer, kana, Han. Digits aren't among them.
 UNSPACED = re.compile("([\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ecf\u0edc-\u0edf\u0f40-\u0fbc\u1000-\u103f\u1050-\u108f\u1780-\u17d3\u3005-\u3007\u3041-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff]+)")
@@ -192,14 +194,17 @@ def remainder(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
 
 
-def fit(docs: DataFrame, learn: Column, per_label: int = 120, words: int = 250, seed: int = 2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Field:
+def fit(docs: DataFrame, learn: Column, per_label: int = 120, words: int = 250, seed: int = 2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_labels: int = 1000) -> Field:
     """Learn from at most ``per_label`` documents of each language, the first in a seeded order of the ids, and their first lines
     up to ``words`` words. Only rows where ``learn`` is true and text, language and id aren't null are used.
 
-    The counts of all labelled rows fix what share of each language is looked at, so no group is ever gathered whole.
+    The counts of all labelled rows fix what share of each language is looked at, so no group is ever gathered whole. Only the beginnings of texts, of SIGNS for each of the words, reach
+    the driver; more than ``max_labels`` languages are an error, as a language's weights are part of the model. Repeated rows count as often as they are there.
     """
     usable = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    counted = {r[0]: r[1] for r in usable.groupBy(lang_col).count().collect()}
+    counted = {r[0]: r[1] for r in usable.groupBy(lang_col).count().limit(max_labels + 1).collect()}
+    if len(counted) > max_labels:
+        raise ValueError(f"more than {max_labels} labels; a larger max_labels must be asked for")
     labels = sorted(counted)
     if not labels:
         return Field([], np.zeros((BUCKETS, 0), np.float32), np.zeros((0, 0)))
@@ -208,7 +213,7 @@ def fit(docs: DataFrame, learn: Column, per_label: int = 120, words: int = 250,
     small = usable.withColumn("_draw", draw).where(F.conv(F.substring("_draw", 1, 8), 16, 10).cast("double") / 2.0**32 < share)
     ranked = small.select(lang_col, text_col, "_draw", F.row_number().over(Window.partitionBy(lang_col).orderBy("_draw", text_col)).alias("_r"))
     lines = []
-    for row in ranked.where(F.col("_r") <= per_label).orderBy(lang_col, "_r").select(lang_col, text_col).collect():
+    for row in ranked.where(F.col("_r") <= per_label).orderBy(lang_col, "_r").select(lang_col, F.left(text_col, F.lit(SIGNS * words))).collect():
         left = words
         for line in row[1].split("\n"):
             chain = [w for token in line.split() for w in elements(token)][:left]

@@ -12,18 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling
+from .license_texts import NOTICES, TEXTS
 
 U = np.uint64
-#: Fixed values: (license, notice).
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-)
+TEMPLATES = NOTICES + TEXTS
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +91,7 @@ def scan_chunk(data: np.ndarray, offsets: np.ndarray, templates: Templates, cont
             for i, t in group:
                 for w in np.flatnonzero(low == (t * factor).min()).tolist():
                     hit[w].add(i)
-        sets = dict(group) if len({i for i, _ in group}) == len(group) else {}
+        sets = dict(group)
         for w, names in hit.items():
             window = h[block[w] : stop[w]]
             for i in names:

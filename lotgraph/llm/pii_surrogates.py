@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,8 +52,20 @@ HINT = re.compile(rf"[@\d]|(?i:password|token)|\b(?:{TITLE})\b")
 
 
 def script(word: str) -> str:
-    x = max(word)
-    return "greek" if "Ͱ" <= x <= "Ͽ" or "ἀ" <= x <= "῿" else "cyrillic" if "Ѐ" <= x <= "ӿ" else "latin"
+    """latin, cyrillic, greek, or other: that of the word's greatest letter."""
+    name = unicodedata.name(max(word), "").split(" ")[0].lower()
+    return name if name in SURNAME else "other"
+
+
+@lru_cache(4096)
+def alike(sign: str) -> str:
+    """The letters beside a letter that are of its script and category, itself among them; empty for what is no letter."""
+    kind = unicodedata.category(sign)
+    if kind[0] != "L":
+        return ""
+    of = lambda c: (unicodedata.category(c), unicodedata.name(c, "").split(" ")[0])
+    start = ord(sign) & ~63
+    return "".join(c for c in map(chr, range(start, start + 64)) if of(c) == of(sign))
 
 
 def entities(text: str) -> list[tuple[int, int, str, str]]:
@@ -96,12 +110,17 @@ def luhn(digits: str) -> bool:
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     """The replacement of a canonical value: characters keep their class; addresses and cards stay valid; names keep gender and script.
 
-    From attempt WIDEN on the format is taken to be full and grows: two letters or digits for each WIDEN attempts, for addresses other octets.
+    Names in Latin, Cyrillic and Greek letters come from lists by gender; those in any other script have each letter replaced by one beside it in its script, as gender isn't told by
+    letters there. From attempt WIDEN on the format is taken to be full and grows: two letters or digits for each WIDEN attempts, for addresses other octets.
     """
     stream = hmac.new(key, f"{kind}\x1f{value}\x1f{attempt}".encode(), hashlib.sha512).digest()
     while len(stream) < 2 * len(value) + 16 + attempt:
         stream += hashlib.sha512(stream).digest()
     pick = lambda i, n: int.from_bytes(stream[2 * i : 2 * i + 2], "big") % n
+    if (kind == "surname" or kind.startswith("given_")) and script(value) == "other":
+        drawn = "".join(alike(c)[pick(i, len(alike(c)))] if alike(c) else c for i, c in enumerate(value))
+        first = next(alike(c) for c in value if alike(c))
+        return drawn + "".join(first[b % len(first)] for b in stream[len(stream) - attempt // WIDEN :]) if attempt >= WIDEN else drawn
     if kind.startswith("given_"):
         names = GIVEN[script(value), kind[-1]]
         # beyond the list a syllable is added, so any number of people stay apart
@@ -188,7 +207,7 @@ def resolve(found: DataFrame, key: bytes, scratch: Scratch) -> DataFrame:
 def replace(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Texts with every entity replaced; the same entity gets the same surrogate in all documents, different ones different surrogates.
 
-    Entities: e-mail addresses, secrets, IPv4 addresses, social security, phone and card numbers, and names behind a title (no others). Secrets stand
+    Entities: e-mail addresses, secrets, IPv4 addresses, social security, phone and card numbers, and names behind a title (no others), in any script (see surrogate). Secrets stand
     behind password or token in any case, with = or : and with or without quotes; phones have a country code, an area code in
     brackets, a leading zero or the form ddd-ddd-dddd. Surrogates
     depend on the key, the type and the entity alone, but for collisions (see resolve). A null text stays null; an empty one empty.

@@ -146,6 +146,68 @@ def test_replaced_as_a_plain_version_does(spark):
         assert got[i] == out + text[at:]
 
 
+def test_entities_are_those_planted():
+    """Texts put together from pieces whose kinds and places are known, without the module's own detection."""
+    r = random.Random(12)
+    digits = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    letters = lambda n, of="abcdefghijklmnopqrstuvwxyz": "".join(r.choice(of) for _ in range(n))
+    makers = {
+        "email": lambda: [("", "email", f"{letters(6)}.{letters(3)}@{letters(5)}.example.org")],
+        "ip": lambda: [("", "ip", ".".join(str(r.randrange(1, 255)) for _ in range(4)))],
+        "ssn": lambda: [("", "ssn", f"{digits(3)}-{digits(2)}-{digits(4)}")],
+        "phone": lambda: [("", "phone", r.choice((f"+1 (706) 555-{digits(4)}", f"+49 (030) 555-{digits(4)}", f"(212) 555-{digits(4)}")))],
+        "card": lambda: [("", "card", r.choice((f"4{digits(15)}", f"5{digits(3)} {digits(4)} {digits(4)} {digits(4)}")))],
+        "secret": lambda: [(r.choice(("token=", 'Token: "', "TOKEN = ")), "secret", letters(24, "0123456789abcdef"))],
+        "name": lambda: [(r.choice(("Mr. ", "Herr ", "Monsieur ")), "given_m", letters(1, "ABCDEFG") + letters(5)), (" ", "surname", letters(1, "ABCDEFG") + letters(6))],
+        "lady": lambda: [(r.choice(("Mrs. ", "Frau ", "Señora ")), "given_f", letters(1, "ABCDEFG") + letters(5)), (" ", "surname", letters(1, "ABCDEFG") + letters(6))],
+        "han": lambda: [("Mr ", "given_m", "太郎"), (" ", "surname", "山田")],
+    }
+    for _ in range(300):
+        text, want = "", []
+        for _ in range(r.randrange(6)):
+            text += " ".join(letters(r.randrange(2, 8)) for _ in range(r.randrange(1, 5))) + r.choice((" ", ", see ", "\n"))
+            for before, kind, value in makers[r.choice(list(makers))]():
+                text += before
+                want.append((len(text), len(text) + len(value), kind, value))
+                text += value
+            text += r.choice((", ", " ; ", "\n"))
+        assert pii_surrogates.entities(text) == want
+
+
+def test_names_stay_in_their_script(spark):
+    import unicodedata
+
+    names = ["山田", "太郎", "花子", "משה", "ליאור", "محمد", "สมชาย", "김민수", "Ödön", "Łukasz", "Иван", "Νίκος"]
+    of = lambda x: {unicodedata.name(c).split(" ")[0] for c in x if c.isalpha()}
+    rows = [(i, f"Mr {a} {b} spoke", "", "") for i, (a, b) in enumerate(zip(names, names[1:]))] + [(50 + 3 * i + j, f"Frau {chr(0x5D0 + i)}{chr(0x5D0 + j)} x", "", "") for i in range(27) for j in range(3)]
+    got = {x.doc_id: x for x in pii_surrogates.replace(spark.createDataFrame(rows, SCHEMA).repartition(3), b"key").collect()}
+    for i, (a, b) in enumerate(zip(names, names[1:])):
+        _, x, y, _ = got[i].text.split(" ")
+        assert of(x) == of(a) and of(y) == of(b) and (x, y) != (a, b) and got[i].n_entities == 2
+    made = {(t, x.text.split(" ")[1]) for (i, t, *_), x in ((r, got[r[0]]) for r in rows if r[0] >= 50)}
+    assert len({b for _, b in made}) == len({a for a, _ in made}) and all(of(b) == {"HEBREW"} for _, b in made)
+
+
+def test_full_license_texts(spark):
+    """Whole texts with words left out here and there, among other words; half a text is none, but may have a notice."""
+    r = random.Random(6)
+    noise = lambda n: " ".join(f"w{r.randrange(500)}" for _ in range(n))
+    rows, want = [], {}
+    for i, (name, text) in enumerate(license_scan.TEXTS * 6):
+        words = text.split()
+        for _ in range(max(1, len(words) // 60)):
+            words[r.randrange(len(words))] = "changed"
+        rows.append((i, f"{noise(r.randrange(400))} {' '.join(words)} {noise(r.randrange(200))}", "", ""))
+        want[i] = name
+    got = {x.doc_id: x for x in license_scan.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {i: name in got[i].licenses.split(",") for i, name in want.items()} == dict.fromkeys(want, True)
+    assert all(set(got[i].licenses.split(",")) == {name} for i, name in want.items())
+    halves = [(i, " ".join(t.split()[len(t.split()) // 2 :]), "", "") for i, (_, t) in enumerate(license_scan.TEXTS)]
+    assert all(x.licenses == "" for x in license_scan.scan(spark.createDataFrame(halves, SCHEMA)).collect())
+    sizes = {(k, m): len(f) for (k, m), f in license_scan.Templates(license_scan.TEMPLATES, 5, 0.8, 0.9999).factors.items()}
+    assert max(m for _, m in sizes) >= 128 and all(n > 3 for (k, m), n in sizes.items() if m > 4)
+
+
 def test_licenses(spark):
     r = random.Random(8)
     words = ["alpha", "beta", "licensed", "under", "the", "license", "work", "version"]
