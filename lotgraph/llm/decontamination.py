@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NOT_ALNUM, Scratch, lower_ascii, small, split_words
+from .common import NOT_ALNUM, Scratch, lower_ascii, shuffled, small, split_words
 
 #: Broadcast the test set's words and terms up to this many rows; beyond it they are shuffled.
 MAX_BROADCAST = 1_000_000
@@ -65,7 +65,9 @@ class PositionalIndex:
         whole item if that is shorter. All remaining lists are intersected for the candidates alone."""
         found = self.scratch.keep(self.candidates(length), f"candidates{length}")
         expected = found.join(small(self.item_words, MAX_BROADCAST), "item").select("k", "item", "d", "n", "o", "term", (F.col("d") + F.col("o")).alias("pos"))
-        met = self.postings.join(expected.hint("shuffle_hash"), ["k", "term", "pos"])
+        # only candidates' postings are met, and both sides are sorted, so nothing that grows with the hits is held in memory
+        near = self.postings.join(small(found.select("k").distinct(), MAX_BROADCAST), "k", "left_semi")
+        met = near.join(shuffled(expected), ["k", "term", "pos"])
         run = F.col("o") - F.row_number().over(Window.partitionBy("k", "item", "d").orderBy("o"))
         runs = met.select("k", "item", "d", "n", "o").distinct().withColumn("run", run).groupBy("k", "item", "d", "n", "run").agg(F.min("o").alias("f"), F.max("o").alias("t"))
         return runs.where(F.col("t") - F.col("f") + 1 >= F.least("n", F.lit(length))).select("k", "item", (F.col("d") + F.col("f")).alias("from_pos"), (F.col("d") + F.col("t")).alias("to_pos"))
