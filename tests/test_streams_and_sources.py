@@ -212,6 +212,31 @@ def test_document_has_common_projects_of_all_runs(spark):
     assert past["bidders"] == sorted(["甲公司", "乙公司", "丙公司"]) and past["awarded_companies"] == ["乙公司"]
 
 
+def test_whole_run_in_one_call(spark, tmp_path):
+    """Two runs over notices of two projects: the second finds a shared phone and the project that both firms had in the first."""
+    from lotgraph.operators import pages
+
+    def notice(doc, code, firms):
+        lines = [f"{t}" for t in (f"第{code}号农田建设项目中标候选人公示", f"项目编号：ABC2024{code}-S01", "五、所有投标人得分汇总表：", "序号 投标人名称 排名", *(f"{i} {f} {i}" for i, f in enumerate(firms, 1)), f"六、拟定中标人：{firms[0]}")]
+        boxes = [(t, 0.98, [[1.0, 10.0 * i], [9.0, 10.0 * i], [9.0, 10.0 * i + 8], [1.0, 10.0 * i + 8]]) for i, t in enumerate(lines)]
+        return (doc, "bid_candidates", 1, "\n".join(lines), "text", 300, "", boxes, [])
+
+    firms = ["江苏甲建设有限公司", "江苏乙建设有限公司"]
+    make = lambda *rows: spark.createDataFrame(list(rows), pages.PAGES)
+    first = api.run(make(notice("a.pdf", "0001", firms)), "r1", "t1", categories=("bid_candidates",))
+    assert (first.outcome.records, first.document, first.lookups, first.outcome.exit_code) == (2, None, None, 0)
+    company = spark.createDataFrame([("1", "", f, "13800000000", "") for f in firms], "record_id string, search_value string, company_name string, phone_number string, email string")
+    none = "record_id string, search_value string, {0} string, {1} string"
+    relations = spark.createDataFrame([], "search_value string, company_name string, source_type string, relation_type string, person_name string, position string, holding_ratio string, related_ent_id string, ord int")
+    blank = {c: "" for c in (*crawl.FILLED, *crawl.FIRST)}
+    lookups = spark.createDataFrame([Row(ord=i, company_type="root", company_name=f, status=s, message="", attempts=1, poll_count=1, database_rows=0, has_data=False, related_sources=["a"], **blank) for i, (f, s) in enumerate([(firms[0], "waiting"), (firms[0], "success"), (firms[1], "timeout")])])
+    people = (spark.createDataFrame([], none.format("shareholder_name", "subscribed_ratio")), spark.createDataFrame([], none.format("staff_name", "position")))
+    second = api.run(make(notice("b.pdf", "0002", firms)), "r2", "t2", first.results, lookups, company, *people, relations, categories=("bid_candidates",))
+    assert (second.results.count(), second.lookups.count(), second.outcome.open_lookups, second.outcome.exit_code, second.document["finality"]) == (4, 2, 1, 2, "provisional")
+    (only,) = second.document["risks"]
+    assert (only["risk_type"], len(only["commonProjects"]), len(only["trigger_projects"])) == ("shared_phone", 2, 1)
+
+
 def test_current_names_and_awards_count(spark):
     schema = "project_key string, company_key string, company_name string, awarded boolean, ord string, project_name string, project_code string, lot_code string, lot_name string"
     now = spark.createDataFrame([("p", "a", "A now", False, "1", "new", "", "", ""), ("q", "a", "A now", False, "1", "only now", "", "", "")], schema)
