@@ -20,6 +20,7 @@ FILE_KEYWORDS = (
 #: Folder names by category.
 FOLDERS = {"tender_cover": "tender_cover", "bid_evaluation_report": "bid_evaluation_report", "bid_candidates": "bid_candidates", "award_notice": "award_notice",
            "bid_announcement": "bid_announcement", "bid_list": "bid_list", "archive_info": "archive_info", "archived_info": "archive_info"}
+#: Names, folders, titles and fields of covers.
 COVER_STEMS = ("封面", "1")
 COVER_PATH = ("第一信封", "第一封信", "投标文件", "中标单位", "未中标")
 COVER_TITLES = ("投标文件", "参与文件")
@@ -28,6 +29,7 @@ COVER_FIELDS = ("项目名称", "项目编号", "投标人", "参与单位")
 PROJECT_LABELS = ("项目名称", "工程名称", "招标项目名称")
 CODE_LABELS = ("标段编号", "项目编号", "招标编号", "交易编号", "编号")
 BIDDER_LABELS = ("投标人名称", "投标单位名称", "投标人", "参与单位")
+#: What the pages of an archive that matter have.
 ARCHIVE_KEYWORDS = ("中标通知书", "成交通知书", "推荐的中标候选人", "招投标情况书面报告", "招投标基本情况报告", "原件确认签收表", "项目负责人答辩评分表", "按时送达投标文件的投标人名单")
 #: Endings of complete organisation names and their scores.
 ENDING_SCORES = (("有限责任公司", 50.0), ("股份有限公司", 50.0), ("集团有限公司", 48.0), ("有限公司", 45.0), ("股份公司", 42.0), ("集团公司", 42.0), ("研究院", 38.0), ("研究所", 38.0), ("集团", 32.0), ("公司", 25.0))

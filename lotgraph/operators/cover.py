@@ -20,6 +20,7 @@ TITLE_STOPS = ("投标文件", "参与文件", *BIDDER_LABELS, "法定代表人"
 HINTS = ("(工程项目名称)", "(工程名称)", "(标段名称)", "工程项目名称", "标段名称")
 KINDS = ("投标文件", "参与文件", "商务标", "技术标", "资格审查资料")
 TITLE_ENDS = ("投标文件内容", "投标文件", "参与文件", "投标人名称", "投标人", "参与单位", "法定代表人", "其委托代理人", "日期")
+#: The forms of hints, codes, sections and organisation names on covers.
 HINT = r"[（(【\[]?(?:工程项目名称|工程名称|项目名称|标段名称)[）)】\]]?"
 A_CODE = r"[A-Za-z0-9][A-Za-z0-9_\-/]{5,}"
 SECTION = r"第?[一二三四五六七八九十0-9]{1,3}(?:标段|合同段|施工标)"
