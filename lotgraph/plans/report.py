@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import risk, statistics
+from ..operators.graph import Scratch
 
 BLOCK = re.compile(r"\{\{#([^{}#/]+)\}\}(.*?)\{\{/\1\}\}", re.S)
 VARIABLE = re.compile(r"\{\{([^{}#/]+)\}\}")
@@ -86,8 +87,10 @@ def risk_tables(run_id: str, bidders: DataFrame, members: DataFrame, facts: Data
 
     everything: bidders of current and past projects (risk.with_history), else the run's. Common projects: a row for each pair of roots with risks and each project that both bid for.
     """
-    everything = bidders if everything is None else everything
-    found = risk.detect(bidders, members, facts).withColumn("risk_id", risk.risk_id(run_id))
+    scratch = Scratch(bidders.sparkSession)  # each table is read several times below
+    bidders, members, facts = (scratch.keep(df, name) for df, name in ((bidders, "bidders"), (members, "members"), (facts, "facts")))
+    everything = bidders if everything is None else scratch.keep(everything, "everything")
+    found = scratch.keep(risk.detect(bidders, members, facts).withColumn("risk_id", risk.risk_id(run_id)), "risks")
     coverage = {r["role"]: {"matched": r["matched"], "unmatched": r["unmatched"]} for r in risk.coverage(members, facts).collect()}
     listed = found.select("risk_id", "comparison_type", "risk_type", "value", "root_a", "root_b", "company_a", "company_b", "trigger_projects")
     counted = found.select(F.explode("trigger_projects").alias("projectKey")).groupBy("projectKey").agg(F.count("*").alias("riskCount"))

@@ -195,17 +195,26 @@ def test_pages_fall_back_once(spark, tmp_path):
     assert {k: r.text for k, r in again.items()} == {k: r.text for k, r in got.items()} and len(list(calls.iterdir())) == len(made)
 
 
-def test_document_has_common_projects_of_all_runs(spark):
-    def bid(run, project, company, award="否"):
-        return (run, f"k-{run}-{project}-{company}", project, f"P{project}", "L", "", company, award, "", "bid_list", "x.pdf", "1", "text", "e", "通过", "t", 1.0)
+RESULTS = "run_id string, business_key string, project_name string, project_code string, lot_code string, lot_name string, company_name string, award_status string, rank string, category string, source_path string, source_pages string, extraction_method string, evidence string, review_status string, generated_at string, confidence double"
+COMPANY, PEOPLE = "record_id string, search_value string, company_name string, phone_number string, email string", "record_id string, search_value string, {0} string, {1} string"
+RELATIONS = "search_value string, company_name string, source_type string, relation_type string, person_name string, position string, holding_ratio string, related_ent_id string, ord int"
+
+
+def bid(run, project, company, award="否"):
+    return (run, f"k-{run}-{project}-{company}", project, f"P{project}", "L", "", company, award, "", "bid_list", "x.pdf", "1", "text", "e", "通过", "t", 1.0)
+
 
-    schema = "run_id string, business_key string, project_name string, project_code string, lot_code string, lot_name string, company_name string, award_status string, rank string, category string, source_path string, source_pages string, extraction_method string, evidence string, review_status string, generated_at string, confidence double"
+def registry(spark, *firms):
+    """(company, shareholder, staff, relations): the firms with one phone, nobody in them, nothing related."""
+    company = spark.createDataFrame([(str(i), "", f, "13800000000", "") for i, f in enumerate(firms)], COMPANY)
+    people = (spark.createDataFrame([], PEOPLE.format(a, b)) for a, b in (("shareholder_name", "subscribed_ratio"), ("staff_name", "position")))
+    return company, *people, spark.createDataFrame([], RELATIONS)
+
+
+def test_document_has_common_projects_of_all_runs(spark):
     rows = [bid("r2", "1", "甲公司", "是"), bid("r2", "1", "乙公司"), bid("r1", "2", "甲公司"), bid("r1", "2", "乙公司", "是"), bid("r1", "2", "丙公司"), bid("r1", "3", "甲公司"), bid("r1", "4", "丁公司")]
-    results = spark.createDataFrame(rows, schema)
-    company = spark.createDataFrame([("1", "", "甲公司", "13800000000", ""), ("2", "", "乙公司", "13800000000", "")], "record_id string, search_value string, company_name string, phone_number string, email string")
-    none = "record_id string, search_value string, {0} string, {1} string"
-    relations = spark.createDataFrame([], "search_value string, company_name string, source_type string, relation_type string, person_name string, position string, holding_ratio string, related_ent_id string, ord int")
-    made = api.analyze("r2", results, company, spark.createDataFrame([], none.format("shareholder_name", "subscribed_ratio")), spark.createDataFrame([], none.format("staff_name", "position")), relations, "t")
+    results = spark.createDataFrame(rows, RESULTS)
+    made = api.analyze("r2", results, *registry(spark, "甲公司", "乙公司"), "t")
     (only,) = made["risks"]
     assert len(only["trigger_projects"]) == 1 and [p["project_name"] for p in sorted(only["commonProjects"], key=lambda p: p["project_name"])] == ["1", "2"]
     past = next(p for p in only["commonProjects"] if p["project_name"] == "2")
@@ -213,7 +222,7 @@ def test_document_has_common_projects_of_all_runs(spark):
 
 
 def test_whole_run_in_one_call(spark, tmp_path):
-    """Two runs over notices of two projects: the second finds a shared phone and the project that both firms had in the first."""
+    """A run over a notice finds the phone that its firms share and the project that both had in an earlier run."""
     from lotgraph.operators import pages
 
     def notice(doc, code, firms):
@@ -223,15 +232,10 @@ def test_whole_run_in_one_call(spark, tmp_path):
 
     firms = ["江苏甲建设有限公司", "江苏乙建设有限公司"]
     make = lambda *rows: spark.createDataFrame(list(rows), pages.PAGES)
-    first = api.run(make(notice("a.pdf", "0001", firms)), "r1", "t1", categories=("bid_candidates",))
-    assert (first.outcome.records, first.document, first.lookups, first.outcome.exit_code) == (2, None, None, 0)
-    company = spark.createDataFrame([("1", "", f, "13800000000", "") for f in firms], "record_id string, search_value string, company_name string, phone_number string, email string")
-    none = "record_id string, search_value string, {0} string, {1} string"
-    relations = spark.createDataFrame([], "search_value string, company_name string, source_type string, relation_type string, person_name string, position string, holding_ratio string, related_ent_id string, ord int")
+    earlier = spark.createDataFrame([bid("r1", "1", f) for f in firms], RESULTS)
     blank = {c: "" for c in (*crawl.FILLED, *crawl.FIRST)}
     lookups = spark.createDataFrame([Row(ord=i, company_type="root", company_name=f, status=s, message="", attempts=1, poll_count=1, database_rows=0, has_data=False, related_sources=["a"], **blank) for i, (f, s) in enumerate([(firms[0], "waiting"), (firms[0], "success"), (firms[1], "timeout")])])
-    people = (spark.createDataFrame([], none.format("shareholder_name", "subscribed_ratio")), spark.createDataFrame([], none.format("staff_name", "position")))
-    second = api.run(make(notice("b.pdf", "0002", firms)), "r2", "t2", first.results, lookups, company, *people, relations, categories=("bid_candidates",))
+    second = api.run(make(notice("b.pdf", "0002", firms)), "r2", "t2", earlier, lookups, *registry(spark, *firms), categories=("bid_candidates",))
     assert (second.results.count(), second.lookups.count(), second.outcome.open_lookups, second.outcome.exit_code, second.document["finality"]) == (4, 2, 1, 2, "provisional")
     (only,) = second.document["risks"]
     assert (only["risk_type"], len(only["commonProjects"]), len(only["trigger_projects"])) == ("shared_phone", 2, 1)
