@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+from lotgraph.operators import risk
 from lotgraph.plans import catalog
 from tests.test_catalog import FOLDER, TABLES, plain
 
@@ -37,3 +38,23 @@ def test_halves_go_to_the_even_row_count(spark, copies, tmp_path):
     for t in set(TABLES) - {"events"}:
         (tmp_path / f"{t}.parquet").symlink_to(f"{FOLDER}/{t}.parquet")
     assert equal(spark, str(tmp_path), "run_consolidate")
+
+
+@pytest.mark.parametrize("name", ["risk_ids", "shared_value_risk", "cross_pair_count"])
+def test_members_listed_several_times_count_once(spark, copies, name):
+    assert len(set(got := equal(spark, copies, name))) == len(got)
+
+
+def test_values_of_many_roots_are_met_by_pairs_with_equal_rows(spark):
+    """Every way to meet gives the same rows: all values by themselves, some by the pairs, all by the pairs."""
+    pairs, members, facts = catalog._pairs(spark, FOLDER), catalog.members(spark, FOLDER), catalog.whole_facts(spark, FOLDER)
+    for find in (lambda n: risk.shared_values(pairs, members, facts, n), lambda n: risk.shared_identities(pairs, members, n)):
+        one, *others = (sorted(map(str, find(n).select("root_a", "root_b", "value", "company_a", "company_b", "role_a", "role_b").collect())) for n in (1, 3, 1000))
+        assert one and all(one == x for x in others)
+
+
+def test_every_customer_and_value_takes_part(spark):
+    """Debtors' addresses and all customers' phones are facts of the three whole risk queries, as each round's SQL before had them."""
+    whole = catalog.whole_facts(spark, FOLDER).groupBy("risk_type").agg({"company_key": "count"}).collect()
+    companies = sum(spark.read.parquet(f"{FOLDER}/{t}.parquet").count() for t in ("customer", "supplier"))
+    assert {r[0]: r[1] for r in whole} == {"shared_phone": companies, "shared_email": companies}
