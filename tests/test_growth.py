@@ -58,3 +58,14 @@ def test_every_customer_and_value_takes_part(spark):
     whole = catalog.whole_facts(spark, FOLDER).groupBy("risk_type").agg({"company_key": "count"}).collect()
     companies = sum(spark.read.parquet(f"{FOLDER}/{t}.parquet").count() for t in ("customer", "supplier"))
     assert {r[0]: r[1] for r in whole} == {"shared_phone": companies, "shared_email": companies}
+
+
+def test_stored_runs_are_dealt_by_the_session_not_into_three(spark):
+    plan = catalog.queries()["stored_runs"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" not in plan and "REPARTITION_BY_COL" in plan
+
+
+def test_repeated_names_meet_once_in_root_networks(spark, copies):
+    plan = catalog.queries()["root_networks"](spark, copies)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [c_name" in plan
+    assert equal(spark, copies, "root_networks")
