@@ -11,6 +11,8 @@ from .views import table
 
 #: Limits of the registered run queries, in seconds.
 LIMITS = polls.Limits(hard=172_800, grace=21_600, stall=86_400, silence=64_800)
+#: A landed file has about so many rows; a batch at most so many files, and larger ones beyond.
+FILE_ROWS, MOST_FILES = 50_000, 400
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -83,15 +85,20 @@ def run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _arrivals(spark: SparkSession, sf_dir: str, folder: str, parts: int = 3) -> DataFrame:
-    """The events as files that landed one part after the other in the order of time, read as a stream of so many batches."""
+    """The events as files that landed one part after the other in the order of time, read as a stream of so many batches.
+
+    A part is as many files as its rows need, four at least; each has rows, so that a batch is a part.
+    """
     landed = table(spark, sf_dir, "events")
-    cuts = landed.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [k / parts for k in range(1, parts)]).alias("c")).first().c
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    found = landed.agg(F.percentile_approx(at, [k / parts for k in range(1, parts)]).alias("c"), F.count("*").alias("n")).first()
     part = F.lit(0)
-    for c in cuts or []:
-        part = part + (F.unix_micros(F.col("ts").cast("timestamp")) > c).cast("int")
+    for c in found.c or []:
+        part = part + (at > c).cast("int")
+    files = min(max(4, found.n // parts // FILE_ROWS), MOST_FILES)
     for k in range(parts):
-        landed.where(part == k).repartition(4, "event_id").write.mode("append").parquet(f"{folder}/landed")
-    return spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 4).parquet(f"{folder}/landed")
+        landed.where(part == k).repartition(files, "event_id").write.mode("append").parquet(f"{folder}/landed")
+    return spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/landed")
 
 
 def stream_run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:

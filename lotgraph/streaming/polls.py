@@ -12,7 +12,8 @@ SECOND = 1_000_000
 #: Phases in which a run has failed, and what an end is called.
 BROKEN = ("FAILED", "CANCELLED")
 OUTCOME = "run_id long, status string, reason string, polls long, last_progress timestamp, ended_at timestamp"
-STATE = "started long, last_poll long, progress long, outage long, fingerprint string, polls long, answered boolean, idle boolean, ended boolean, timer long"
+STATE = "started long, last_poll long, progress long, outage long, fingerprint string, polls long, answered boolean, idle boolean, ended boolean, due long, timer long"
+STATE_NAMES = [x.split()[0] for x in STATE.split(", ")]
 
 
 @dataclass(frozen=True)
@@ -34,7 +35,11 @@ def pending(answered, idle):
 
 
 class Runs(StatefulProcessor):
-    """The state of one run. Polls are handled in order of (at, poll_id) within a batch; a poll that comes after a run's deadline finds it ended at the deadline."""
+    """The state of one run. Polls are handled in order of (at, poll_id) within a batch; a poll that comes after a run's deadline finds it ended at the deadline.
+
+    Each call to the state is a message to the JVM, so a run's state is read and written once for its polls of a batch, and a timer that is armed too early
+    stays: when it fires it is armed again for what is due then.
+    """
 
     def __init__(self, limits: Limits):
         self.limits = limits
@@ -69,8 +74,7 @@ class Runs(StatefulProcessor):
         return (pending(True, s["idle"]), "stalled") if poll.at - s["progress"] >= self.limits.stall * SECOND else None
 
     def end(self, key, s: dict, status: str, reason: str, at: int) -> Row:
-        s["ended"] = True
-        self.arm(s, at + self.limits.forget * SECOND)
+        s["ended"], s["due"] = True, at + self.limits.forget * SECOND
         return Row(run_id=key[0], status=status, reason=reason, polls=s["polls"], last_progress=instant(s["progress"]), ended_at=instant(at))
 
     def at_deadline(self, key, s: dict) -> Row:
@@ -78,48 +82,51 @@ class Runs(StatefulProcessor):
         status = "failed" if reason == "timeout" and self.limits.fail_at_hard else pending(s["answered"], s["idle"])
         return self.end(key, s, status, reason, at)
 
-    def arm(self, s: dict, at: int) -> None:
-        """One timer a run, in milliseconds and never before ``at``."""
-        due = -(-at // 1000)
-        if s["timer"] != due:
+    def recall(self) -> dict | None:
+        kept = self.run.get()
+        return None if kept is None else dict(zip(STATE_NAMES, kept, strict=True))
+
+    def store(self, s: dict) -> None:
+        """Write the state, with one timer a run, in milliseconds and never after what is due."""
+        due = -(-s["due"] // 1000)
+        if s["timer"] is None or s["timer"] > due:
             if s["timer"] is not None:
                 self.handle.deleteTimer(s["timer"])
             self.handle.registerTimer(due)
             s["timer"] = due
+        self.run.update(tuple(s[n] for n in STATE_NAMES))
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
-        names = [x.split()[0] for x in STATE.split(", ")]
-        s = dict(zip(names, self.run.get(), strict=True)) if self.run.exists() else None
+        s = self.recall()
+        if s is not None and s["ended"]:
+            return
         out = []
         for poll in sorted(rows, key=lambda r: (r.at, r.poll_id)):
             if s is None:
-                s = dict.fromkeys(names) | {"started": poll.at, "last_poll": poll.at, "progress": poll.at, "fingerprint": "", "polls": 0, "answered": False, "idle": False, "ended": False}
-            if s["ended"]:
-                break
+                s = dict.fromkeys(STATE_NAMES) | {"started": poll.at, "last_poll": poll.at, "progress": poll.at, "fingerprint": "", "polls": 0, "answered": False, "idle": False, "ended": False}
             if poll.at >= self.deadline(s)[0]:
                 out.append(self.at_deadline(key, s))
             elif told := self.decided(s, poll):
                 out.append(self.end(key, s, *told, poll.at))
-            else:
-                self.arm(s, self.deadline(s)[0])
+            if s["ended"]:
+                break
+            s["due"] = self.deadline(s)[0]
         if s is not None:
-            self.run.update(tuple(s[n] for n in names))
+            self.store(s)
         yield from out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
-        names = [x.split()[0] for x in STATE.split(", ")]
-        if not self.run.exists():
-            return
-        s = dict(zip(names, self.run.get(), strict=True))
-        if expiredTimerInfo.getExpiryTimeInMs() != s["timer"]:
+        s = self.recall()
+        if s is None or expiredTimerInfo.getExpiryTimeInMs() != s["timer"]:
             return
         s["timer"] = None
-        if s["ended"]:
+        reached = -(-s["due"] // 1000) <= timerValues.getCurrentWatermarkInMs()
+        if reached and s["ended"]:
             self.run.clear()
             return
-        out = self.at_deadline(key, s)
-        self.run.update(tuple(s[n] for n in names))
-        yield out
+        out = [self.at_deadline(key, s)] if reached else []
+        self.store(s)
+        yield from out
 
     def close(self) -> None:
         pass
