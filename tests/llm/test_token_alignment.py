@@ -73,3 +73,24 @@ def test_texts_are_cut_only_between_tokens(spark):
     assert T.byte_bpe().splits() and T.piece_bpe().splits()
     parts = [r.s for r in spark.createDataFrame([(t,) for t in TEXTS if t], "text string").select(T.segments(F.col("text")).alias("s")).collect()]
     assert ["".join(p) for p in parts] == [f" {t}" for t in TEXTS if t] and all(x.startswith(" ") for p in parts for x in p)
+
+
+def test_documents_are_numbers_of_their_blocks_segments(spark):
+    """An occurrence is a number in its document's row; a block lists each segment once, whatever its copies, and takes no more than its bytes."""
+    whole = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "id long, text string").coalesce(1)
+    for most in (1, 1 << 20):
+        rows = T.code_texts(whole, True, most).collect()
+        listed = [(r.blk, r.base + i, s) for r in rows if r.segs is not None for i, s in enumerate(r.segs)]
+        assert len({(b, s) for b, _, s in listed}) == len(listed) == len({(b, i) for b, i, _ in listed})
+        named = {(b, i): s for b, i, s in listed}
+        docs = [r for r in rows if r.codes is not None]
+        assert {r.id: "".join(named[r.blk, c] for c in r.codes) for r in docs} == {i: f" {t}" if t else "" for i, t in enumerate(TEXTS)}
+        assert len(docs) == len(TEXTS)
+
+
+def test_a_long_segment_is_aligned_as_a_whole_text(spark):
+    """Text without blanks is one segment of many tokens; its rows add to what is known, from the last end to the first."""
+    long = "漢字とかな交じり文。" * 100
+    docs = spark.createDataFrame([(0, long), (1, "漢字 x")], "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in T.align(docs, T.byte_bpe(), T.piece_bpe()).collect()}
+    assert [got[0], got[1]] == plain([long, "漢字 x"])
