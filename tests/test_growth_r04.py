@@ -44,3 +44,22 @@ def test_root_networks_rows_are_not_moved_after_the_join(spark, copies):  # noqa
     plan = catalog.queries()["root_networks"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     made = [line for line in plan.splitlines() if line.strip()][:3]
     assert "Union" in made[0] and "Project" in made[1] and "Join Inner" in made[2] and "_groups" in made[2]
+
+
+@pytest.mark.parametrize("common", [1, 3, 1000])
+def test_sharing_finds_the_pairs_of_shared_values(spark, common):
+    """By bits of words, by values' own pairs and by both; 70 values of many roots take more than one word, and roots that share one company alone don't count."""
+    members = [(f"r{i}", f"c{j}", "related") for i in range(9) for j in range(40) if (i * i + j) % 5 == 0 or i == j] + [("p", "only", "related"), ("q", "only", "related"), ("p", "only", "related")]
+    facts = [(f"c{j}", "t", f"v{(j * k) % 70}") for j in range(40) for k in (1, 3)] + [("only", "t", "v_only"), ("c0", "t", "v_only")]
+    roots = sorted({m[0] for m in members})
+    pairs = spark.createDataFrame([(a, b, "1") for a in roots for b in roots if a < b] * 2, "root_a string, root_b string, project_key string")
+    m, f = spark.createDataFrame(members, "root_key string, company_key string, role string"), spark.createDataFrame([(*x, x[2]) for x in facts], "company_key string, risk_type string, value string, display string")
+    want = {(r.root_a, r.root_b) for r in risk.shared_values(pairs, m, f).select("root_a", "root_b").distinct().collect()}
+    got = [(r.root_a, r.root_b) for r in risk.sharing(pairs, m, f, common).collect()]
+    assert want and ("p", "q") not in want and len(got) == len(set(got)) and set(got) == want
+
+
+@pytest.mark.parametrize("name", ["cross_pair_count"])
+def test_pairs_are_found_without_a_row_for_each_company(spark, copies, name):  # noqa: F811
+    assert "company_a" not in catalog.queries()[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    equal(spark, copies, name)
