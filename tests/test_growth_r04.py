@@ -59,7 +59,7 @@ def test_sharing_finds_the_pairs_of_shared_values(spark, common):
     assert want and ("p", "q") not in want and len(got) == len(set(got)) and set(got) == want
 
 
-@pytest.mark.parametrize("name", ["cross_pair_count"])
+@pytest.mark.parametrize("name", ["cross_pair_count", "common_projects"])
 def test_pairs_are_found_without_a_row_for_each_company(spark, copies, name):  # noqa: F811
     assert "company_a" not in catalog.queries()[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     equal(spark, copies, name)
